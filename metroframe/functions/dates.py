@@ -18,7 +18,7 @@ def parse_date(c) -> Column:
 
 def parse_month(c, fmt: str = "yyyyMM") -> Column:
     """DT-2: year-month text to the first day of that month."""
-    return F.try_to_date(_col(c), F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(_col(c), fmt)
+    return F.try_to_date(_col(c), fmt)
 
 
 def month_end(c) -> Column:

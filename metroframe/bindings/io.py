@@ -1 +1,330 @@
-"""Bindings (filled in below)."""
+"""Sources and sinks as round trips through the shared scratch folder
+(SRC-1..7, SRC-11, SET-3, SNK-1..5, SNK-8, AGG-4, AGG-5, FLT-5).
+
+Each query writes driver tables with the operator under test into a fresh
+folder below ``spark.checkpoint.dir`` and returns the read-back DataFrame;
+the oracle selects the expected rows from the original tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from metroframe.bindings import query
+from metroframe.bindings import tables as tb
+from metroframe.operators.aggregates import collect_latest, max_value
+from metroframe.operators.filters import partition_equals
+from metroframe.session import scratch_path, unique_name
+from metroframe.sinks import files as SK
+from metroframe.sinks import tables as ST
+from metroframe.sources import csv as CSV
+from metroframe.sources import snapshot as SNAP
+from metroframe.sources import xml as XML
+
+NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+# --- CSV -----------------------------------------------------------------------------
+ORDERS_CSV_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType()),
+    T.StructField("note", T.StringType())])
+
+# a text field holding a comma, doubled quotes and a line break
+NOTE_SQL = "o_orderpriority || ', \"' || o_orderstatus || '\"' || chr(10) || 'line 2'"
+
+
+def _orders_with_note(spark, d):
+    o = tb.table(spark, d, "orders")
+    note = F.concat(F.col("o_orderpriority"), F.lit(', "'), F.col("o_orderstatus"), F.lit('"\nline 2'))
+    return o.withColumn("note", note)
+
+
+def _orders_csv(spark, d):
+    path = scratch_path(spark, "orders_csv")
+    SK.write_csv(_orders_with_note(spark, d), path)
+    return path
+
+
+@query("src_csv_scan", f"SELECT *, {NOTE_SQL} AS note FROM orders")
+def q_src_csv_scan(spark, d):
+    """SRC-1: header CSV with an explicit schema; quoted fields keep their
+    commas, quotes and line breaks (multiLine)."""
+    return CSV.read_csv(spark, _orders_csv(spark, d), ORDERS_CSV_SCHEMA)
+
+
+@query("src_csv_inferred", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_day,
+       o_orderpriority, {NOTE_SQL} AS note FROM orders""")
+def q_src_csv_inferred(spark, d):
+    """SRC-2: types inferred from the text (ints, doubles, timestamps)."""
+    df = CSV.read_csv_inferred(spark, _orders_csv(spark, d))
+    return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                     F.col("o_custkey").cast("bigint").alias("o_custkey"), "o_orderstatus",
+                     F.col("o_totalprice").cast("double").alias("o_totalprice"),
+                     F.col("o_orderdate").cast("date").alias("order_day"), "o_orderpriority", "note")
+
+
+@query("src_csv_charset", """
+SELECT n_nationkey, '국가 ' || n_name || ' 구' AS name_ko, n_regionkey FROM nation""")
+def q_src_csv_charset(spark, d):
+    """SRC-3: Hangul text written and read back in CP949."""
+    n = tb.table(spark, d, "nation")
+    ko = n.select("n_nationkey", F.concat(F.lit("국가 "), F.col("n_name"), F.lit(" 구")).alias("name_ko"),
+                  "n_regionkey")
+    path = scratch_path(spark, "nation_cp949")
+    SK.write_csv_charset(ko, path, "CP949")
+    return CSV.read_csv_charset(spark, path, "CP949", "n_nationkey int, name_ko string, n_regionkey int")
+
+
+# --- dated snapshots (events by request_date = yyMMdd, district = event_type) ----------
+EVENTS_SNAPSHOT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType())])
+
+
+def _event_snapshots(spark, d):
+    e = tb.table(spark, d, "events")
+    path = scratch_path(spark, "event_snapshots")
+    landed = e.select("event_id", "ts", "user_id", "value", "props",
+                      F.date_format("ts", "yyMMdd").alias("request_date"), F.col("event_type").alias("district"))
+    SK.write_csv(landed, path, ["request_date", "district"])
+    return path
+
+
+def _read_snapshots(spark, path):
+    return SNAP.read_partitioned(spark, path, "csv", EVENTS_SNAPSHOT_SCHEMA,
+                                 {"request_date": "string", "district": "string"})
+
+
+EV_COLS = "event_id, ts, user_id, value, props, strftime(ts, '%y%m%d') AS request_date, event_type AS district"
+
+
+@query("src_latest_snapshot", f"""
+SELECT * FROM (SELECT {EV_COLS} FROM events)
+WHERE request_date = (SELECT max(strftime(ts, '%y%m%d')) FROM events)""")
+def q_src_latest_snapshot(spark, d):
+    """SRC-4: the rows of the largest request_date only (max over all
+    partitions, then a pruned scan of that one)."""
+    return SNAP.read_latest_snapshot(spark, _event_snapshots(spark, d), "csv", EVENTS_SNAPSHOT_SCHEMA)
+
+
+@query("flt_partition_prune", f"""
+SELECT * FROM (SELECT {EV_COLS} FROM events)
+WHERE request_date = (SELECT min(strftime(ts, '%y%m%d')) FROM events)""")
+def q_flt_partition_prune(spark, d):
+    """FLT-5: equality on the partition column; only that folder is scanned
+    (PartitionFilters)."""
+    df = _read_snapshots(spark, _event_snapshots(spark, d))
+    first = df.agg(F.min("request_date").alias("m")).first()["m"]
+    return partition_equals(df, "request_date", first)
+
+
+@query("agg_max_partition", "SELECT max(strftime(ts, '%y%m%d')) AS latest_request_date FROM events")
+def q_agg_max_partition(spark, d):
+    """AGG-4: max of the text partition column."""
+    return max_value(_read_snapshots(spark, _event_snapshots(spark, d)), "request_date", "latest_request_date")
+
+
+@query("agg_collect_latest", """
+SELECT request_date, list_sort(list(DISTINCT district)) AS members FROM (SELECT {cols} FROM events)
+WHERE request_date = (SELECT max(strftime(ts, '%y%m%d')) FROM events) GROUP BY request_date""".replace(
+    "{cols}", EV_COLS))
+def q_agg_collect_latest(spark, d):
+    """AGG-5: the districts present in the latest snapshot."""
+    return collect_latest(_read_snapshots(spark, _event_snapshots(spark, d)), "request_date", "district")
+
+
+# --- XML pages with a status code ---------------------------------------------------------
+PAGE_SIZE = 25  # records per response page; a page is one bounded group
+ERROR_PAGE = 1  # the second page answers with an error code
+XML_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("S_SUPPKEY", "S_NAME", "S_ACCTBAL", "NOTE")])
+
+
+def _xml_pages(spark, d):
+    """supplier as API responses: pages of 25 <row> records, each file with a
+    RESULT/CODE; page 1 is an error page, and one extra page ends the feed."""
+    s = tb.table(spark, d, "supplier")
+    note = (F.when(F.col("s_nationkey") < 10, F.lit("<NOTE></NOTE>"))
+            .when(F.col("s_nationkey") < 20, F.lit("<NOTE> A &amp; B </NOTE>")).otherwise(F.lit("")))
+    row = F.concat(F.lit("<row><S_SUPPKEY>"), F.col("s_suppkey").cast("string"), F.lit("</S_SUPPKEY><S_NAME>  "),
+                   F.col("s_name"), F.lit("  </S_NAME><S_ACCTBAL>"), F.format_string("%.2f", F.col("s_acctbal")),
+                   F.lit("</S_ACCTBAL>"), note, F.lit("</row>"))
+    page = F.floor(F.col("s_suppkey") / PAGE_SIZE)
+    rows = s.select(page.alias("page"), F.col("s_suppkey"), row.alias("xml"))
+    docs = rows.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list(F.struct("s_suppkey", "xml"))).getField("xml"), "").alias("body"))
+    code = F.when(F.col("page") == ERROR_PAGE, F.lit("ERROR-500")).otherwise(F.lit("INFO-000"))
+    files = docs.select("page", F.concat(F.lit("<response><RESULT><CODE>"), code, F.lit("</CODE><MESSAGE>m</MESSAGE>"
+                                                                                        "</RESULT>"), F.col("body"),
+                                         F.lit("</response>")).alias("value"))
+    end = files.agg(F.max("page").alias("page")).select(
+        (F.col("page") + 1).alias("page"),
+        F.lit("<response><CODE>INFO-200</CODE><MESSAGE>no data</MESSAGE></response>").alias("value"))
+    path = scratch_path(spark, "supplier_xml")
+    files.unionByName(end).repartition("page").write.partitionBy("page").text(path)
+    return path
+
+
+XML_ROWS_SQL = """SELECT s_suppkey, s_name, CAST(printf('%.2f', s_acctbal) AS DOUBLE) AS s_acctbal,
+    CASE WHEN s_nationkey < 10 THEN '' WHEN s_nationkey < 20 THEN 'A & B' END AS note FROM supplier"""
+
+
+def _typed(df):
+    return df.select(F.col("S_SUPPKEY").cast("bigint").alias("s_suppkey"), F.col("S_NAME").alias("s_name"),
+                     F.col("S_ACCTBAL").try_cast("double").alias("s_acctbal"), F.col("NOTE").alias("note"))
+
+
+def _read_xml(spark, path):
+    return (spark.read.format("xml").option("rowTag", "row").option("recursiveFileLookup", True)
+            .option("ignoreSurroundingSpaces", True).schema(XML_SCHEMA).load(path))
+
+
+@query("src_xml_records", XML_ROWS_SQL)
+def q_src_xml_records(spark, d):
+    """SRC-6: every <row> of every page: child tag = column, text trimmed,
+    entities decoded, empty element '', missing element null."""
+    return _typed(_read_xml(spark, _xml_pages(spark, d)))
+
+
+@query("src_xml_status_gate", f"SELECT * FROM ({XML_ROWS_SQL}) WHERE floor(s_suppkey / {PAGE_SIZE}) <> {ERROR_PAGE}")
+def q_src_xml_status_gate(spark, d):
+    """SRC-7: only pages coded INFO-000 contribute rows; the error page goes
+    to the rejects, the INFO-200 page ends the feed."""
+    rows, _rejects = XML.read_xml_gated(spark, _xml_pages(spark, d), "row", XML_SCHEMA)
+    return _typed(rows)
+
+
+@query("set_concat_pages", f"""
+SELECT floor(s_suppkey / {PAGE_SIZE}) AS page, count(*) AS records FROM supplier
+WHERE floor(s_suppkey / {PAGE_SIZE}) <> {ERROR_PAGE} GROUP BY 1""")
+def q_set_concat_pages(spark, d):
+    """SET-3: the good pages appended into one frame, columns united by name
+    (inferred from all files); one row per page with its record count."""
+    path = _xml_pages(spark, d)
+    status = XML.status_of_files(spark, path)
+    good = status.where(F.col("code") == "INFO-000").select("file")
+    rows = (spark.read.format("xml").option("rowTag", "row").option("recursiveFileLookup", True).load(path)
+            .withColumn("file", F.col("_metadata.file_path")))
+    kept = rows.join(good, "file", "left_semi")
+    return (kept.groupBy(F.floor(F.col("S_SUPPKEY").cast("bigint") / PAGE_SIZE).alias("page"))
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
+# --- sinks ---------------------------------------------------------------------------------
+ORDERS_SQL = "SELECT * FROM orders"
+
+
+@query("snk_parquet_overwrite", ORDERS_SQL)
+def q_snk_parquet_overwrite(spark, d):
+    """SNK-1: partitioned Parquet overwrite, run twice: rows appear once."""
+    o = tb.table(spark, d, "orders")
+    path = scratch_path(spark, "orders_overwrite")
+    for _ in range(2):
+        SK.write_parquet(o, path, ["o_orderstatus"])
+    return spark.read.parquet(path).select(*o.columns)
+
+
+@query("snk_full_refresh", ORDERS_SQL)
+def q_snk_full_refresh(spark, d):
+    """SNK-3: a full refresh replaces every old partition, including ones the
+    new data does not have."""
+    o = tb.table(spark, d, "orders")
+    path = scratch_path(spark, "orders_refresh")
+    stale = o.withColumn("o_orderstatus", F.concat(F.lit("stale-"), F.col("o_orderstatus")))
+    SK.write_parquet(stale, path, ["o_orderstatus"])
+    SK.write_parquet(o, path, ["o_orderstatus"])
+    return spark.read.parquet(path).select(*o.columns)
+
+
+LINE_SQL = "SELECT * FROM lineitem"
+
+
+@query("snk_parquet_append", LINE_SQL)
+def q_snk_parquet_append(spark, d):
+    """SNK-2: two appends (line numbers <= 3, then > 3) into one partitioned
+    folder; all rows are there once."""
+    li = tb.table(spark, d, "lineitem")
+    path = scratch_path(spark, "lineitem_append")
+    SK.append_parquet(li.where(F.col("l_linenumber") <= 3), path, ["l_returnflag"])
+    SK.append_parquet(li.where(F.col("l_linenumber") > 3), path, ["l_returnflag"])
+    return spark.read.parquet(path).select(*li.columns)
+
+
+PART_SQL = "SELECT * FROM part"
+PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double, p_type string"
+
+
+@query("snk_csv_partitioned", PART_SQL)
+def q_snk_csv_partitioned(spark, d):
+    """SNK-4: header CSV, one folder per key (p_type), read back."""
+    p = tb.table(spark, d, "part")
+    path = scratch_path(spark, "part_csv")
+    SK.write_csv(p, path, ["p_type"])
+    back = spark.read.option("header", True).schema(PART_SCHEMA).csv(path)
+    return back.select(*p.columns)
+
+
+@query("snk_ctas", PART_SQL)
+def q_snk_ctas(spark, d):
+    """SNK-5: CREATE TABLE ... USING parquet LOCATION ... AS SELECT."""
+    p = tb.table(spark, d, "part")
+    view, name = unique_name("part_src"), unique_name("part_ctas")
+    p.createOrReplaceTempView(view)
+    ST.create_table_as_select(spark, name, view, scratch_path(spark, "part_ctas"))
+    return spark.table(name)
+
+
+@query("snk_bulk_load", PART_SQL)
+def q_snk_bulk_load(spark, d):
+    """SNK-7: Parquet files loaded into a typed table by position."""
+    p = tb.table(spark, d, "part")
+    src = scratch_path(spark, "part_files")
+    p.write.parquet(src)
+    name = unique_name("part_loaded")
+    ST.create_empty_table(spark, name, p.schema, scratch_path(spark, "part_table"))
+    ST.bulk_load(spark, name, src, p.columns)
+    return spark.table(name)
+
+
+@query("snk_insert_overwrite", ORDERS_SQL)
+def q_snk_insert_overwrite(spark, d):
+    """SNK-6: drop-create-insert rebuild as INSERT OVERWRITE by name, twice."""
+    o = tb.table(spark, d, "orders")
+    name = unique_name("orders_mart")
+    ST.create_empty_table(spark, name, o.schema, scratch_path(spark, "orders_mart"))
+    shuffled_cols = list(reversed(o.columns))
+    for _ in range(2):
+        ST.insert_overwrite(o.select(*shuffled_cols), name)
+    return spark.table(name)
+
+
+COPY_MONTHS = [(1997, 1), (1997, 2)]
+KEPT_MONTH = (1998, 6)
+
+
+@query("snk_partition_copy", f"""
+SELECT o_orderkey, o_totalprice, year(o_orderdate) AS yr, month(o_orderdate) AS mo FROM orders
+WHERE (year(o_orderdate), month(o_orderdate)) IN ({', '.join(f'({y}, {m})' for y, m in COPY_MONTHS)})
+UNION ALL
+SELECT o_orderkey, -1.0 AS o_totalprice, year(o_orderdate), month(o_orderdate) FROM orders
+WHERE year(o_orderdate) = {KEPT_MONTH[0]} AND month(o_orderdate) = {KEPT_MONTH[1]}""")
+def q_snk_partition_copy(spark, d):
+    """SNK-8: copy two (year, month) partitions into a store that holds stale
+    copies of them and one other month; the two are replaced, the other kept."""
+    o = tb.table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("yr"),
+                                             F.month("o_orderdate").alias("mo"))
+    src, dst = scratch_path(spark, "orders_by_month"), scratch_path(spark, "orders_copy")
+    SK.write_parquet(o, src, ["yr", "mo"])
+    wanted = None
+    for y, m in COPY_MONTHS + [KEPT_MONTH]:
+        c = (F.col("yr") == y) & (F.col("mo") == m)
+        wanted = c if wanted is None else wanted | c
+    SK.write_parquet(o.where(wanted).withColumn("o_totalprice", F.lit(-1.0)), dst, ["yr", "mo"])
+    chosen = None
+    for y, m in COPY_MONTHS:
+        c = (F.col("yr") == y) & (F.col("mo") == m)
+        chosen = c if chosen is None else chosen | c
+    SK.copy_partitions(spark, src, dst, chosen, ["yr", "mo"])
+    return spark.read.parquet(dst).select("o_orderkey", "o_totalprice", "yr", "mo")

@@ -60,3 +60,12 @@ def copy_partitions(spark, source_path: str, target_path: str, partition_filter,
     """
     df = spark.read.format(fmt).load(source_path).where(partition_filter)
     overwrite_partitions(df, target_path, partition_by)
+
+
+def write_csv_charset(df: DataFrame, path: str, encoding: str = "CP949", *, mode: str = "overwrite") -> None:
+    """SNK-4 in a legacy charset (CP949 / EUC-KR); the legacy setting is on
+    for this write only and then put back."""
+    from metroframe.sources.csv import legacy_charsets
+
+    with legacy_charsets(df.sparkSession):
+        df.write.mode(mode).option("header", True).option("encoding", encoding).csv(path)

@@ -7,6 +7,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# timestamps are written and read with microseconds, so text round trips are exact
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, *,
              multiline: bool = True, encoding: str = "UTF-8", infer: bool = False,
@@ -19,7 +22,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """
     reader = (spark.read.option("header", True).option("sep", ",").option("quote", '"')
               .option("escape", '"').option("multiLine", multiline).option("encoding", encoding)
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "PERMISSIVE").option("timestampNTZFormat", TIMESTAMP_TEXT))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if schema is not None:
@@ -36,7 +39,7 @@ def read_csv_inferred(spark: SparkSession, path: str, *, encoding: str = "UTF-8"
 
 
 @contextmanager
-def _legacy_charsets(spark: SparkSession):
+def legacy_charsets(spark: SparkSession):
     key = "spark.sql.legacy.javaCharsets"
     old = spark.conf.get(key, None)
     spark.conf.set(key, "true")
@@ -54,11 +57,14 @@ def read_csv_charset(spark: SparkSession, path: str, encoding: str = "CP949",
     """SRC-3: CSV in a legacy charset such as CP949 / EUC-KR.
 
     Spark 4 refuses non-standard charsets unless ``spark.sql.legacy.javaCharsets``
-    is on; it is set for the read only. The text is decoded at scan time, so
-    the returned frame is materialised against the same reader options.
+    is on, and checks it again whenever the scan runs. The setting is turned
+    on for this read only: the text is decoded once into a reliable checkpoint
+    (in the shared ``spark.checkpoint.dir``), which later plans read instead
+    of the CSV, so no other query runs with the legacy setting.
     """
-    with _legacy_charsets(spark):
-        df = read_csv(spark, path, schema, encoding=encoding, infer=infer)
-        # resolve the schema while the setting is on
-        df.schema
+    from metroframe.session import shared_dir
+
+    shared_dir(spark)
+    with legacy_charsets(spark):
+        df = read_csv(spark, path, schema, encoding=encoding, infer=infer).checkpoint(eager=True)
     return df

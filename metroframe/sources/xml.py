@@ -16,13 +16,13 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: T.Str
     one null. Every file of the folder is read (SET-3: pages united by name).
     """
     return (spark.read.format("xml").option("rowTag", row_tag).option("ignoreSurroundingSpaces", True)
-            .schema(schema).load(path))
+            .option("recursiveFileLookup", True).schema(schema).load(path))
 
 
 def status_of_files(spark: SparkSession, path: str) -> DataFrame:
     """SRC-7: (file, code) for every response file; the code is read at
     RESULT/CODE and, when absent there, at the first CODE element."""
-    raw = spark.read.format("binaryFile").load(path).select(
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
         F.col("path").alias("file"), F.decode(F.col("content"), "UTF-8").alias("__xml"))
     code = F.coalesce(
         F.nullif(F.xpath_string("__xml", F.lit("//RESULT/CODE")), F.lit("")),
@@ -38,7 +38,7 @@ def read_xml_gated(spark: SparkSession, path: str, row_tag: str, schema: T.Struc
     and is listed in ``rejects`` (file, code) instead of stopping the job.
     """
     status = status_of_files(spark, path)
-    rows = read_xml_records(spark, path, row_tag, schema).withColumn("file", F.input_file_name())
+    rows = read_xml_records(spark, path, row_tag, schema).withColumn("file", F.col("_metadata.file_path"))
     good = status.where(F.col("code").isin(list(ok_codes))).select("file")
     kept = rows.join(good, "file", "left_semi").drop("file")
     rejects = status.where(~F.col("code").isin(list(ok_codes) + list(end_codes)) | F.col("code").isNull())

@@ -92,7 +92,7 @@ def q_jn_scalar_subquery(spark, d):
     views; facilities carry their neighbour cells so the correlation is an
     equality on (district, cell) and decorrelates into an equi-join."""
     cust, supp = customers_at(spark, d), suppliers_at(spark, d)
-    grid = Grid(RADIUS, max_abs_latitude((cust, "c_lat"), (supp, "s_lat")))
+    grid = Grid(RADIUS, max_abs_latitude((supp, "s_lat")))
     ev, fv = unique_name("acc_entities"), unique_name("acc_facilities")
     entity_cells(cust, grid, "c_lat", "c_lon").createOrReplaceTempView(ev)
     (facility_cells(supp, grid, "s_lat", "s_lon")

@@ -84,7 +84,10 @@ def radius_pairs(left: DataFrame, right: DataFrame, *, left_key: str, left_lat:
     plus ``distance_col`` when given.
     """
     if max_abs_lat is None:
-        max_abs_lat = max_abs_latitude((left, left_lat), (right, right_lat))
+        # The right side's bound suffices: a left point within the radius of a
+        # right point is at most r/R further from the equator, and the cell
+        # width already allows for that reach.
+        max_abs_lat = max_abs_latitude((right, right_lat))
     grid = Grid(radius_m, max_abs_lat, earth_radius_m)
     l = (left.where(F.col(left_key).isNotNull() & F.col(left_lat).isNotNull() & F.col(left_lon).isNotNull())
          .withColumn("__cy", grid.cell_y(F.col(left_lat)))
@@ -126,7 +129,7 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     pairs = radius_pairs(positions, facs, left_key="__d", left_lat="__lat", left_lon="__lon",
                          right_key="__fd", right_lat="__flat", right_lon="__flon",
                          radius_m=radius_m, earth_radius_m=earth_radius_m,
-                         max_abs_lat=max_abs_latitude((positions, "__lat"), (facs, "__flat")))
+                         max_abs_lat=max_abs_latitude((facs, "__flat")))
     names = pairs.select("__d", "__lat", "__lon", "__kind", "__name").distinct()
     counts = names.groupBy("__d", "__lat", "__lon").agg(*[
         F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).cast("int").alias(out) for k, out in kinds.items()

@@ -19,6 +19,7 @@ from metroframe.functions.text import html_to_text, words
 from metroframe.operators.aggregates import value_counts
 from metroframe.operators.filters import exclude_words
 from metroframe.operators.ranking import ranks_to_columns, top_k_per_group
+from metroframe.session import spread
 
 
 def page_words(pages: DataFrame, id_col: str, html_col: str, *, pattern: str = K.HANGUL_WORD,
@@ -31,8 +32,8 @@ def page_words(pages: DataFrame, id_col: str, html_col: str, *, pattern: str = K
     """
     text = html_to_text(F.col(html_col), tag_separator)
     tokens = tokenizer(text) if tokenizer is not None else words(text, pattern)
-    return (pages.where(F.col(html_col).isNotNull())
-            .select(F.col(id_col), F.posexplode(tokens).alias("pos", "word")))
+    src = spread(pages.where(F.col(html_col).isNotNull()).select(id_col, html_col), id_col)
+    return src.select(F.col(id_col), F.posexplode(tokens).alias("pos", "word"))
 
 
 def top_keywords(pages: DataFrame, id_col: str, html_col: str, *, pattern: str = K.HANGUL_WORD,

@@ -89,3 +89,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     shuffle join (sort-merge or shuffled hash), which scales with the data.
     """
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a narrow input by ``keys`` before CPU-heavy per-row work.
+
+    A large input already arrives in many splits and is returned unchanged;
+    only an input read as fewer partitions than the cluster has cores (one
+    big Parquet row group, say) is spread, at the cost of one shuffle of it.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    cols = [F.col(k) for k in keys]
+    return df.repartition(target, *cols) if cols else df.repartition(target)

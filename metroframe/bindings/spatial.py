@@ -9,7 +9,7 @@ from metroframe.bindings import query
 from metroframe.bindings import tables as tb
 from metroframe.functions.geo import haversine_sql
 from metroframe.operators.spatial import (Grid, correlated_count_sql, count_within_radius, entity_cells,
-                                          facility_cells, max_abs_latitude, radius_pairs)
+                                          facility_cells, radius_pairs)
 from metroframe.session import unique_name
 
 RADIUS = 5000.0
@@ -89,16 +89,16 @@ def q_agg_count_distinct(spark, d):
 @query("jn_scalar_subquery", COUNT_SQL)
 def q_jn_scalar_subquery(spark, d):
     """JN-6: the reference's correlated scalar subquery, run by Spark SQL over
-    views; facilities carry their neighbour cells so the correlation is an
-    equality on (district, cell) and decorrelates into an equi-join."""
+    views; the pairs come from a (district, cell) equi-join and the subquery
+    correlates by equality only, so it decorrelates into equi-joins."""
     cust, supp = customers_at(spark, d), suppliers_at(spark, d)
-    grid = Grid(RADIUS, max_abs_latitude((supp, "s_lat")))
+    grid = Grid(RADIUS)
     ev, fv = unique_name("acc_entities"), unique_name("acc_facilities")
     entity_cells(cust, grid, "c_lat", "c_lon").createOrReplaceTempView(ev)
     (facility_cells(supp, grid, "s_lat", "s_lon")
      .select(F.lit("Supplier").alias("kind"), F.col("s_name").alias("name"), F.col("s_district").alias("district"),
              F.col("s_lat").alias("lat"), F.col("s_lon").alias("lon"), "cy", "cx")
      .createOrReplaceTempView(fv))
-    sql = correlated_count_sql(ev, fv, district="c_district", lat="c_lat", lon="c_lon", cy="cy", cx="cx",
+    sql = correlated_count_sql(ev, fv, keys=["c_custkey"], district="c_district", lat="c_lat", lon="c_lon", cy="cy", cx="cx",
                                outputs={"Supplier": "n_suppliers"}, radius_m=RADIUS, select_cols=["c_custkey"])
     return spark.sql(sql).withColumn("n_suppliers", F.col("n_suppliers").cast("int"))

@@ -42,15 +42,3 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_m: float =
 def lat_step_deg(radius_m: float, earth_radius_m: float = EARTH_RADIUS_M) -> float:
     """Latitude span (degrees) that no pair within ``radius_m`` can exceed."""
     return math.degrees(radius_m / earth_radius_m)
-
-
-def lon_step_deg(radius_m: float, max_abs_lat: float, earth_radius_m: float = EARTH_RADIUS_M) -> float | None:
-    """Longitude span (degrees) no pair within ``radius_m`` can exceed, for
-    points whose |latitude| is at most ``max_abs_lat``; None near the poles."""
-    ang = radius_m / earth_radius_m
-    reach = min(89.999999, abs(max_abs_lat) + math.degrees(ang))
-    denom = math.cos(math.radians(reach))
-    ratio = math.sin(ang) / denom if denom > 0 else 2.0
-    if ratio >= 1.0:
-        return None
-    return math.degrees(math.asin(ratio))

@@ -4,17 +4,20 @@ No spatial index exists in Catalyst, so the radius join is an equi-join on
 (district, grid cell) with the great-circle distance as the residual:
 
 * a cell is ``lat_step`` degrees high (no pair within the radius is further
-  apart in latitude) and ``360 / n_x`` degrees wide, where ``n_x`` is chosen
-  so that no pair within the radius at the data's highest latitude is further
-  apart in longitude; column indexes wrap at +-180 degrees;
+  apart in latitude) and, in each row, at least as wide as the longitude
+  reach of the radius at that row's latitude (so cells are narrow near the
+  equator and wide near the poles); column indexes wrap at +-180 degrees and
+  the geometry needs no statistics of the data;
 * the right side is copied to its 3 x 3 neighbouring cells, the left side
   keeps its own cell, so every pair within the radius meets exactly once;
 * the candidate count is within a small constant of the true pair count,
   instead of all pairs of a district.
 
-A district (or a cell) holding a third of the rows is split across tasks by
-the cell key and by AQE's skew-join handling; the counts themselves are two
-hash aggregates with map-side partial aggregation.
+A district holding a third of the rows is split across tasks by the cell
+key; a single cell holding a large share is salted (see ``hot_cells``), and
+AQE's skew-join handling splits what remains uneven at run time. The counts
+are two hash aggregates with map-side partial aggregation, so a hot
+position is combined before its shuffle.
 """
 
 from __future__ import annotations
@@ -25,92 +28,139 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroframe.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_sql, lat_step_deg, lon_step_deg
+from metroframe.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_sql, lat_step_deg
 
 
 class Grid:
-    """Cell geometry for a radius and a latitude bound."""
+    """Cell geometry for a radius; needs no statistics of the data.
+
+    Rows are ``lat_step`` degrees high. Each row ``y`` has its own number of
+    columns ``n_x(y)``: the columns are at least as wide as the longest
+    longitude reach of a radius around any point of that row (largest at the
+    row's edge furthest from the equator), so a pair within the radius lies
+    in the same row or an adjacent one, and in the same column or an
+    adjacent one of the entity's row. Rows whose reach is too wide (near the
+    poles) have one column.
+    """
 
-    def __init__(self, radius_m: float, max_abs_lat: float, earth_radius_m: float = EARTH_RADIUS_M):
+    def __init__(self, radius_m: float, earth_radius_m: float = EARTH_RADIUS_M):
         self.radius_m = radius_m
         self.earth_radius_m = earth_radius_m
         # a relative margin keeps pairs at exactly the radius inside the 3 x 3 block
         self.lat_step = lat_step_deg(radius_m, earth_radius_m) * (1 + 1e-9)
-        lon_step = lon_step_deg(radius_m, max_abs_lat, earth_radius_m)
-        lon_step = None if lon_step is None else lon_step * (1 + 1e-9)
-        n_x = 1 if lon_step is None else int(math.floor(360.0 / lon_step))
-        self.n_x = n_x if n_x >= 3 else 1
+        self._sin_ang = math.sin(radius_m / earth_radius_m)
+        self._reach_deg = math.degrees(radius_m / earth_radius_m)
 
     def cell_y(self, lat):
         return F.floor((lat + F.lit(90.0)) / F.lit(self.lat_step)).cast("long")
 
-    def cell_x(self, lon):
-        if self.n_x == 1:
-            return F.lit(0).cast("long")
-        return F.pmod(F.floor((lon + F.lit(180.0)) * F.lit(self.n_x / 360.0)).cast("long"), F.lit(self.n_x))
-
-    def neighbours(self, cy, cx):
-        """Array of the distinct (cy, cx) cells around and including a cell."""
-        dxs = (0,) if self.n_x == 1 else (-1, 0, 1)
-        cells = [
-            F.struct((cy + F.lit(dy)).alias("cy"),
-                     (F.pmod(cx + F.lit(dx), F.lit(self.n_x)) if self.n_x > 1 else cx).alias("cx"))
-            for dy in (-1, 0, 1) for dx in dxs
-        ]
-        return F.array_distinct(F.array(*cells))
-
-
-def max_abs_latitude(*frames_and_cols: tuple[DataFrame, str]) -> float:
-    """The highest |latitude| over the given (frame, column) pairs.
-
-    One scalar comes back to the driver; the scan itself is distributed.
+    def n_x(self, cy):
+        """Columns of row ``cy`` (1 near the poles, else at least 3)."""
+        lo = cy.cast("double") * F.lit(self.lat_step) - F.lit(90.0)
+        hi = lo + F.lit(self.lat_step)
+        edge = F.least(F.lit(89.999999), F.greatest(F.abs(lo), F.abs(hi)) + F.lit(self._reach_deg + 1e-9))
+        ratio = F.lit(self._sin_ang) / F.cos(F.radians(edge))
+        width = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) * F.lit(1 + 1e-9)
+        n = F.floor(F.lit(360.0) / width).cast("long")
+        return F.when((ratio >= 1.0) | (n < 3), F.lit(1).cast("long")).otherwise(n)
+
+    def cell_x(self, lon, n):
+        """Column of ``lon`` in a row with ``n`` columns."""
+        return F.pmod(F.floor((lon + F.lit(180.0)) * n.cast("double") / F.lit(360.0)).cast("long"), n)
+
+    def with_cell(self, df: DataFrame, lat: str, lon: str, cy: str = "cy", cx: str = "cx") -> DataFrame:
+        """Add the point's own cell."""
+        out = df.withColumn(cy, self.cell_y(F.col(lat)))
+        out = out.withColumn("__n", self.n_x(F.col(cy)))
+        return out.withColumn(cx, self.cell_x(F.col(lon), F.col("__n"))).drop("__n")
+
+    def with_neighbour_cells(self, df: DataFrame, lat: str, lon: str, cy: str = "cy", cx: str = "cx") -> DataFrame:
+        """One row per cell the point must be copied to: rows cy-1..cy+1 and,
+        in each, its column and the two beside it (one column near the poles)."""
+        out = df.withColumn("__dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+        out = out.withColumn(cy, self.cell_y(F.col(lat)) + F.col("__dy")).drop("__dy")
+        out = out.withColumn("__n", self.n_x(F.col(cy)))
+        out = out.withColumn("__x", self.cell_x(F.col(lon), F.col("__n")))
+        out = out.withColumn("__dx", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+        out = out.where((F.col("__n") > 1) | (F.col("__dx") == 0))
+        return out.withColumn(cx, F.pmod(F.col("__x") + F.col("__dx"), F.col("__n"))).drop("__n", "__x", "__dx")
+
+
+def hot_cells(cells: DataFrame, keys: Sequence[str], *, max_share: float = 0.01, min_rows: int = 200_000,
+              max_salt: int = 512) -> DataFrame | None:
+    """Cells holding more than ``max_share`` of all rows (and ``min_rows``),
+    with the number of ways each should be split.
+
+    One aggregation over ``cells`` (partial counts map-side); no cell list
+    comes back to the driver. At most ``1 / max_share`` cells can pass the
+    threshold, so the result is bounded by construction and may be broadcast.
+    Returns None when no cell is hot.
     """
-    parts = [df.select(F.abs(F.col(c)).alias("__abs_lat")) for df, c in frames_and_cols]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
-    v = union.agg(F.max("__abs_lat").alias("m")).first()["m"]
-    return 0.0 if v is None else float(v)
+    counts = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    stats = counts.agg(F.sum("__n").alias("total"), F.max("__n").alias("top")).first()
+    if not stats["total"]:
+        return None
+    threshold = max(float(min_rows), stats["total"] * max_share)
+    if stats["top"] <= threshold:
+        return None
+    salts = F.least(F.lit(max_salt), F.ceil(F.col("__n") / F.lit(threshold))).cast("int")
+    return F.broadcast(counts.where(F.col("__n") > threshold).select(*keys, salts.alias("__salts")))
 
 
 def radius_pairs(left: DataFrame, right: DataFrame, *, left_key: str, left_lat: str, left_lon: str,
                  right_key: str, right_lat: str, right_lon: str, radius_m: float,
                  earth_radius_m: float = EARTH_RADIUS_M, distance_col: str | None = None,
-                 max_abs_lat: float | None = None) -> DataFrame:
+                 split_hot_cells: bool = False,
+                 hot_share: float = 0.01, hot_min_rows: int = 200_000) -> DataFrame:
     """JN-4 / GEO-3: all (left, right) pairs with equal keys within ``radius_m``
     (inclusive). Rows with a null key or coordinate never match.
 
     Output: all left columns and all right columns (names must not clash),
     plus ``distance_col`` when given.
+
+    A hot cell is split at run time by AQE's skew-join handling (from shuffle
+    statistics, no extra pass). With ``split_hot_cells`` it is also salted
+    up front: one aggregation finds the cells holding more than ``hot_share``
+    of the left rows, their left rows are spread over several salt values and
+    their right rows copied to each; other cells keep salt 0.
     """
-    if max_abs_lat is None:
-        # The right side's bound suffices: a left point within the radius of a
-        # right point is at most r/R further from the equator, and the cell
-        # width already allows for that reach.
-        max_abs_lat = max_abs_latitude((right, right_lat))
-    grid = Grid(radius_m, max_abs_lat, earth_radius_m)
-    l = (left.where(F.col(left_key).isNotNull() & F.col(left_lat).isNotNull() & F.col(left_lon).isNotNull())
-         .withColumn("__cy", grid.cell_y(F.col(left_lat)))
-         .withColumn("__cx", grid.cell_x(F.col(left_lon))))
-    r = (right.where(F.col(right_key).isNotNull() & F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull())
-         .withColumn("__cell", F.explode(grid.neighbours(grid.cell_y(F.col(right_lat)), grid.cell_x(F.col(right_lon)))))
-         .withColumn("__cy", F.col("__cell.cy"))
-         .withColumn("__cx", F.col("__cell.cx"))
-         .drop("__cell"))
+    grid = Grid(radius_m, earth_radius_m)
+    l = grid.with_cell(
+        left.where(F.col(left_key).isNotNull() & F.col(left_lat).isNotNull() & F.col(left_lon).isNotNull())
+        .withColumn("__k", F.col(left_key)), left_lat, left_lon, "__cy", "__cx")
+    r = grid.with_neighbour_cells(
+        right.where(F.col(right_key).isNotNull() & F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull())
+        .withColumn("__k", F.col(right_key)), right_lat, right_lon, "__cy", "__cx")
+    cell = ["__k", "__cy", "__cx"]
+    hot = hot_cells(l.select(*cell), cell, max_share=hot_share, min_rows=hot_min_rows) if split_hot_cells else None
+    if hot is None:
+        l = l.withColumn("__salt", F.lit(0))
+        r = r.withColumn("__salt", F.lit(0))
+    else:
+        row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+        l = (l.join(hot, cell, "left")
+             .withColumn("__salt", F.when(F.col("__salts").isNull(), F.lit(0))
+                         .otherwise(F.pmod(row_hash, F.col("__salts")).cast("int")))
+             .drop("__salts"))
+        r = (r.join(hot, cell, "left")
+             .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
+             .drop("__salts"))
     dist = haversine_m(F.col(left_lat), F.col(left_lon), F.col(right_lat), F.col(right_lon), earth_radius_m)
-    cond = ((l[left_key] == r[right_key]) & (l["__cy"] == r["__cy"]) & (l["__cx"] == r["__cx"]))
+    l = l.select(*[F.col(c) for c in left.columns], *cell, "__salt")
+    r = r.select(*[F.col(c) for c in right.columns], *[F.col(c).alias("__r" + c) for c in cell], F.col("__salt").alias("__rsalt"))
+    cond = ((F.col("__k") == F.col("__r__k")) & (F.col("__cy") == F.col("__r__cy")) & (F.col("__cx") == F.col("__r__cx"))
+            & (F.col("__salt") == F.col("__rsalt")))
     joined = l.join(r, cond, "inner").where(dist <= F.lit(radius_m))
-    out_cols = [c for c in left.columns] + [c for c in right.columns]
-    sel = [l[c] for c in left.columns] + [r[c] for c in right.columns]
+    sel = [F.col(c) for c in left.columns] + [F.col(c) for c in right.columns]
     if distance_col:
         sel.append(dist.alias(distance_col))
-    return joined.select(*sel).toDF(*(out_cols + ([distance_col] if distance_col else [])))
+    return joined.select(*sel)
 
 
 def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district: str, lat: str, lon: str,
                         fac_kind: str, fac_name: str, fac_district: str, fac_lat: str, fac_lon: str,
                         kinds: Mapping[str, str], radius_m: float,
-                        earth_radius_m: float = EARTH_RADIUS_M) -> DataFrame:
+                        earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False) -> DataFrame:
     """AGG-1 over JN-4: for every entity row, the number of distinct facility
     names of each kind in the same district within ``radius_m``.
 
@@ -128,8 +178,7 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
             .distinct())
     pairs = radius_pairs(positions, facs, left_key="__d", left_lat="__lat", left_lon="__lon",
                          right_key="__fd", right_lat="__flat", right_lon="__flon",
-                         radius_m=radius_m, earth_radius_m=earth_radius_m,
-                         max_abs_lat=max_abs_latitude((facs, "__flat")))
+                         radius_m=radius_m, earth_radius_m=earth_radius_m, split_hot_cells=split_hot_cells)
     names = pairs.select("__d", "__lat", "__lon", "__kind", "__name").distinct()
     counts = names.groupBy("__d", "__lat", "__lon").agg(*[
         F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).cast("int").alias(out) for k, out in kinds.items()
@@ -144,36 +193,40 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     )
 
 
-def correlated_count_sql(entity_view: str, facility_cells_view: str, *, district: str, lat: str, lon: str,
-                         cy: str, cx: str, outputs: Mapping[str, str], radius_m: float,
+def correlated_count_sql(entity_view: str, facility_cells_view: str, *, keys: Sequence[str], district: str,
+                         lat: str, lon: str, cy: str, cx: str, outputs: Mapping[str, str], radius_m: float,
                          select_cols: Sequence[str], earth_radius_m: float = EARTH_RADIUS_M,
                          fac_kind: str = "kind", fac_name: str = "name", fac_district: str = "district",
                          fac_lat: str = "lat", fac_lon: str = "lon", fac_cy: str = "cy", fac_cx: str = "cx") -> str:
-    """JN-6: the reference's correlated scalar subquery form, as Spark SQL.
-
-    The facility view must already carry the 3 x 3 neighbour cells
-    (``facility_cells``) so that each correlation is an equality on
-    (district, cell) and decorrelates into an equi-join, never into all
-    pairs of a district.
+    """JN-6: the reference's correlated scalar subqueries, as Spark SQL.
+
+    A subquery whose correlation includes a non-equality (the distance on
+    the outer row's coordinates) is decorrelated by Spark into a domain join
+    planned as a nested loop over all outer values and all facilities. So
+    the candidate pairs come from an equi-join on (district, cell) in a CTE,
+    with the distance as its residual, and each scalar subquery correlates
+    by equality on the entity ``keys`` only: it becomes an aggregate and a
+    left outer equi-join, and an entity with no match counts 0.
     """
     dist = haversine_sql(f"u.{lat}", f"u.{lon}", f"f.{fac_lat}", f"f.{fac_lon}", earth_radius_m)
+    key_cols = ", ".join(f"u.{k} AS {k}" for k in keys)
+    cand = (f"SELECT {key_cols}, f.{fac_kind} AS kind, f.{fac_name} AS name FROM {entity_view} u "
+            f"JOIN {facility_cells_view} f ON f.{fac_district} = u.{district} AND f.{fac_cy} = u.{cy} "
+            f"AND f.{fac_cx} = u.{cx} WHERE {dist} <= {radius_m!r}e0")
+    match = " AND ".join(f"c.{k} = u.{k}" for k in keys)
     subqueries = [
-        f"(SELECT COUNT(DISTINCT f.{fac_name}) FROM {facility_cells_view} f "
-        f"WHERE f.{fac_kind} = '{kind}' AND f.{fac_district} = u.{district} "
-        f"AND f.{fac_cy} = u.{cy} AND f.{fac_cx} = u.{cx} AND {dist} <= {radius_m!r}e0) AS {out}"
+        f"(SELECT COUNT(DISTINCT c.name) FROM candidates c WHERE c.kind = '{kind}' AND {match}) AS {out}"
         for kind, out in outputs.items()
     ]
     cols = ", ".join(f"u.{c}" for c in select_cols)
-    return f"SELECT {cols}, {', '.join(subqueries)} FROM {entity_view} u"
+    return f"WITH candidates AS ({cand}) SELECT {cols}, {', '.join(subqueries)} FROM {entity_view} u"
 
 
 def facility_cells(facilities: DataFrame, grid: Grid, lat: str, lon: str) -> DataFrame:
     """Facilities copied to their 3 x 3 neighbour cells (columns ``cy``, ``cx``)."""
-    return (facilities
-            .withColumn("__cell", F.explode(grid.neighbours(grid.cell_y(F.col(lat)), grid.cell_x(F.col(lon)))))
-            .withColumn("cy", F.col("__cell.cy")).withColumn("cx", F.col("__cell.cx")).drop("__cell"))
+    return grid.with_neighbour_cells(facilities, lat, lon)
 
 
 def entity_cells(entities: DataFrame, grid: Grid, lat: str, lon: str) -> DataFrame:
     """Entities with their own cell (columns ``cy``, ``cx``)."""
-    return entities.withColumn("cy", grid.cell_y(F.col(lat))).withColumn("cx", grid.cell_x(F.col(lon)))
+    return grid.with_cell(entities, lat, lon)

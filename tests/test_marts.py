@@ -100,6 +100,11 @@ def test_grid_equals_brute_force(spark):
                          right_lon="flon", radius_m=radius)
     brute = sum(1 for e in pts[:200] for f in pts[200:] if f[1] == e[1] and py_haversine(e[2], e[3], f[2], f[3]) <= radius)
     assert pairs.count() == brute  # no pair lost or doubled
+    salted = radius_pairs(ent.select("eid", "district", "lat", "lon"), fac.select("name", "fd", "flat", "flon"),
+                          left_key="district", left_lat="lat", left_lon="lon", right_key="fd", right_lat="flat",
+                          right_lon="flon", radius_m=radius, split_hot_cells=True, hot_share=0.05, hot_min_rows=5)
+    assert salted.count() == brute
+    assert salted.exceptAll(pairs).count() == 0
 
 
 def test_accessibility_plan_has_no_nested_loop_or_cartesian(spark):

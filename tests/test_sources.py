@@ -28,7 +28,7 @@ def test_cp949_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([("강남구", "역삼(2), 강남(2)", 2)], "district string, stations string, n int")
     path = os.path.join(tmp_dir, "cp949")
     SK.write_csv_charset(df, path, "CP949")
-    raw = open([os.path.join(path, f) for f in os.listdir(path) if f.endswith(".csv")][0], "rb").read()
+    raw = b"".join(open(os.path.join(path, f), "rb").read() for f in os.listdir(path) if f.endswith(".csv"))
     assert "강남구".encode("cp949") in raw
     back = CSV.read_csv_charset(spark, path, "CP949", "district string, stations string, n int")
     assert [tuple(r) for r in back.collect()] == [("강남구", "역삼(2), 강남(2)", 2)]

@@ -21,7 +21,14 @@ def point(lon, lat) -> Column:
 
 
 def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = EARTH_RADIUS_M) -> Column:
-    """Great-circle distance in metres on a sphere; null when any input is null."""
+    """Great-circle distance in metres on a sphere; null when any input is null.
+
+    Column names are turned into one SQL expression (parsed once in the JVM);
+    Column arguments are combined with the function API.
+    """
+    if all(isinstance(c, str) for c in (lat1, lon1, lat2, lon2)):
+        q = [f"`{c}`" for c in (lat1, lon1, lat2, lon2)]
+        return F.expr(haversine_sql(*q, radius_m=radius_m))
     phi1, phi2 = F.radians(_col(lat1)), F.radians(_col(lat2))
     half_dphi = (phi2 - phi1) / 2.0
     half_dlmb = (F.radians(_col(lon2)) - F.radians(_col(lon1))) / 2.0

@@ -77,8 +77,8 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """PRJ-8: select the schema's columns in order; missing ones become typed
     nulls, present ones are cast to the declared type."""
     present = set(df.columns)
-    return df.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({'`' + f.name + '`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
         for f in schema.fields
     ])
 

@@ -51,39 +51,39 @@ class Grid:
         self._sin_ang = math.sin(radius_m / earth_radius_m)
         self._reach_deg = math.degrees(radius_m / earth_radius_m)
 
-    def cell_y(self, lat):
-        return F.floor((lat + F.lit(90.0)) / F.lit(self.lat_step)).cast("long")
+    # The cell formulas are SQL text: each is parsed once in the JVM instead of
+    # being assembled from many Python-side Column calls.
+    def cell_y_sql(self, lat: str) -> str:
+        return f"CAST(floor(({lat} + 90.0D) / {self.lat_step!r}D) AS BIGINT)"
 
-    def n_x(self, cy):
+    def n_x_sql(self, cy: str) -> str:
         """Columns of row ``cy`` (1 near the poles, else at least 3)."""
-        lo = cy.cast("double") * F.lit(self.lat_step) - F.lit(90.0)
-        hi = lo + F.lit(self.lat_step)
-        edge = F.least(F.lit(89.999999), F.greatest(F.abs(lo), F.abs(hi)) + F.lit(self._reach_deg + 1e-9))
-        ratio = F.lit(self._sin_ang) / F.cos(F.radians(edge))
-        width = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) * F.lit(1 + 1e-9)
-        n = F.floor(F.lit(360.0) / width).cast("long")
-        return F.when((ratio >= 1.0) | (n < 3), F.lit(1).cast("long")).otherwise(n)
-
-    def cell_x(self, lon, n):
+        lo = f"(CAST({cy} AS DOUBLE) * {self.lat_step!r}D - 90.0D)"
+        edge = f"least(89.999999D, greatest(abs({lo}), abs({lo} + {self.lat_step!r}D)) + {self._reach_deg + 1e-9!r}D)"
+        ratio = f"({self._sin_ang!r}D / cos(radians({edge})))"
+        n = f"CAST(floor(360.0D / (degrees(asin(least({ratio}, 1.0D))) * {1 + 1e-9!r}D)) AS BIGINT)"
+        return f"(CASE WHEN {ratio} >= 1.0D OR {n} < 3 THEN CAST(1 AS BIGINT) ELSE {n} END)"
+
+    def cell_x_sql(self, lon: str, n: str) -> str:
         """Column of ``lon`` in a row with ``n`` columns."""
-        return F.pmod(F.floor((lon + F.lit(180.0)) * n.cast("double") / F.lit(360.0)).cast("long"), n)
+        return f"pmod(CAST(floor(({lon} + 180.0D) * CAST({n} AS DOUBLE) / 360.0D) AS BIGINT), {n})"
 
     def with_cell(self, df: DataFrame, lat: str, lon: str, cy: str = "cy", cx: str = "cx") -> DataFrame:
         """Add the point's own cell."""
-        out = df.withColumn(cy, self.cell_y(F.col(lat)))
-        out = out.withColumn("__n", self.n_x(F.col(cy)))
-        return out.withColumn(cx, self.cell_x(F.col(lon), F.col("__n"))).drop("__n")
+        out = df.withColumn(cy, F.expr(self.cell_y_sql(f"`{lat}`")))
+        out = out.withColumn("__n", F.expr(self.n_x_sql(f"`{cy}`")))
+        return out.withColumn(cx, F.expr(self.cell_x_sql(f"`{lon}`", "__n"))).drop("__n")
 
     def with_neighbour_cells(self, df: DataFrame, lat: str, lon: str, cy: str = "cy", cx: str = "cx") -> DataFrame:
         """One row per cell the point must be copied to: rows cy-1..cy+1 and,
         in each, its column and the two beside it (one column near the poles)."""
-        out = df.withColumn("__dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-        out = out.withColumn(cy, self.cell_y(F.col(lat)) + F.col("__dy")).drop("__dy")
-        out = out.withColumn("__n", self.n_x(F.col(cy)))
-        out = out.withColumn("__x", self.cell_x(F.col(lon), F.col("__n")))
-        out = out.withColumn("__dx", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-        out = out.where((F.col("__n") > 1) | (F.col("__dx") == 0))
-        return out.withColumn(cx, F.pmod(F.col("__x") + F.col("__dx"), F.col("__n"))).drop("__n", "__x", "__dx")
+        out = df.withColumn("__dy", F.explode(F.expr("array(-1, 0, 1)")))
+        out = out.withColumn(cy, F.expr(f"{self.cell_y_sql(f'`{lat}`')} + __dy")).drop("__dy")
+        out = out.withColumn("__n", F.expr(self.n_x_sql(f"`{cy}`")))
+        out = out.withColumn("__x", F.expr(self.cell_x_sql(f"`{lon}`", "__n")))
+        out = out.withColumn("__dx", F.explode(F.expr("array(-1, 0, 1)")))
+        out = out.where("__n > 1 OR __dx = 0")
+        return out.withColumn(cx, F.expr("pmod(__x + __dx, __n)")).drop("__n", "__x", "__dx")
 
 
 def hot_cells(cells: DataFrame, keys: Sequence[str], *, max_share: float = 0.01, min_rows: int = 200_000,
@@ -145,7 +145,7 @@ def radius_pairs(left: DataFrame, right: DataFrame, *, left_key: str, left_lat:
         r = (r.join(hot, cell, "left")
              .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
              .drop("__salts"))
-    dist = haversine_m(F.col(left_lat), F.col(left_lon), F.col(right_lat), F.col(right_lon), earth_radius_m)
+    dist = haversine_m(left_lat, left_lon, right_lat, right_lon, earth_radius_m)
     l = l.select(*[F.col(c) for c in left.columns], *cell, "__salt")
     r = r.select(*[F.col(c) for c in right.columns], *[F.col(c).alias("__r" + c) for c in cell], F.col("__salt").alias("__rsalt"))
     cond = ((F.col("__k") == F.col("__r__k")) & (F.col("__cy") == F.col("__r__cy")) & (F.col("__cx") == F.col("__r__cx"))

@@ -56,14 +56,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lat(key: str, role: str) -> Column:
-    return F.lit(37.40) + (F.col(key) * COORDS[role][0] % 10000) * F.lit(0.00003)
-
-
-def lon(key: str, role: str) -> Column:
-    return F.lit(126.80) + (F.col(key) * COORDS[role][1] % 10000) * F.lit(0.00003)
-
-
 def lat_sql(key: str, role: str) -> str:
     return f"(37.40e0 + (({key} * {COORDS[role][0]}) % 10000) * 0.00003e0)"
 
@@ -72,6 +64,14 @@ def lon_sql(key: str, role: str) -> str:
     return f"(126.80e0 + (({key} * {COORDS[role][1]}) % 10000) * 0.00003e0)"
 
 
+def lat(key: str, role: str) -> Column:
+    return F.expr(lat_sql(key, role))
+
+
+def lon(key: str, role: str) -> Column:
+    return F.expr(lon_sql(key, role))
+
+
 def _nation(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 

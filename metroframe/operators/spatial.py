@@ -70,20 +70,19 @@ class Grid:
 
     def with_cell(self, df: DataFrame, lat: str, lon: str, cy: str = "cy", cx: str = "cx") -> DataFrame:
         """Add the point's own cell."""
-        out = df.withColumn(cy, F.expr(self.cell_y_sql(f"`{lat}`")))
-        out = out.withColumn("__n", F.expr(self.n_x_sql(f"`{cy}`")))
-        return out.withColumn(cx, F.expr(self.cell_x_sql(f"`{lon}`", "__n"))).drop("__n")
+        out = df.selectExpr("*", f"{self.cell_y_sql(f'`{lat}`')} AS `{cy}`")
+        n = self.n_x_sql(f"`{cy}`")
+        return out.selectExpr("*", f"{self.cell_x_sql(f'`{lon}`', n)} AS `{cx}`")
 
     def with_neighbour_cells(self, df: DataFrame, lat: str, lon: str, cy: str = "cy", cx: str = "cx") -> DataFrame:
         """One row per cell the point must be copied to: rows cy-1..cy+1 and,
         in each, its column and the two beside it (one column near the poles)."""
-        out = df.withColumn("__dy", F.explode(F.expr("array(-1, 0, 1)")))
-        out = out.withColumn(cy, F.expr(f"{self.cell_y_sql(f'`{lat}`')} + __dy")).drop("__dy")
-        out = out.withColumn("__n", F.expr(self.n_x_sql(f"`{cy}`")))
-        out = out.withColumn("__x", F.expr(self.cell_x_sql(f"`{lon}`", "__n")))
-        out = out.withColumn("__dx", F.explode(F.expr("array(-1, 0, 1)")))
-        out = out.where("__n > 1 OR __dx = 0")
-        return out.withColumn(cx, F.expr("pmod(__x + __dx, __n)")).drop("__n", "__x", "__dx")
+        cols = [f"`{c}`" for c in df.columns]
+        out = df.selectExpr("*", "explode(array(-1, 0, 1)) AS __dy")
+        out = out.selectExpr(*cols, f"{self.cell_y_sql(f'`{lat}`')} + __dy AS `{cy}`")
+        out = out.selectExpr("*", f"{self.n_x_sql(f'`{cy}`')} AS __n")
+        out = out.selectExpr("*", f"{self.cell_x_sql(f'`{lon}`', '__n')} AS __x", "explode(array(-1, 0, 1)) AS __dx")
+        return out.where("__n > 1 OR __dx = 0").selectExpr(*cols, f"`{cy}`", f"pmod(__x + __dx, __n) AS `{cx}`")
 
 
 def hot_cells(cells: DataFrame, keys: Sequence[str], *, max_share: float = 0.01, min_rows: int = 200_000,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from metroframe import constants as K
 from metroframe.functions.geo import EARTH_RADIUS_M
-from metroframe.functions.text import join_non_null
 from metroframe.operators.projection import align_to_schema
 from metroframe.operators.setops import union_all
 from metroframe.operators.spatial import count_within_radius
@@ -20,35 +19,30 @@ def entity_union(libraries: DataFrame, events: DataFrame, books: DataFrame) -> D
     """P-8 (SET-2, PRJ-7, PRJ-8, STR-7): libraries, events and books in one
     13-column table; columns a branch lacks are typed nulls. No shuffle: a
     Union over three column-pruned scans."""
-    lib = libraries.select(
-        F.col("lib_district").alias("district"), F.col("lib_name").alias("name"), F.lit("Library").alias("data_type"),
-        F.col("lib_latitude").alias("latitude"), F.col("lib_longitude").alias("longitude"))
-    cul = events.select(
-        F.col("cul_district").alias("district"), F.col("cul_title").alias("name"), F.lit("Event").alias("data_type"),
-        F.col("cul_latitude").alias("latitude"), F.col("cul_longitude").alias("longitude"),
-        F.col("cul_class").alias("event_class"), F.col("cul_start_date").alias("event_start_date"),
-        F.col("cul_end_date").alias("event_end_date"),
-        join_non_null(",", "cul_keyword_1", "cul_keyword_2", "cul_keyword_3").alias("event_keywords"),
-        F.col("cul_is_free").alias("cul_is_free"))
-    bll = books.select(
-        F.col("bll_district").alias("district"), F.col("bll_book_name").alias("name"), F.lit("Book").alias("data_type"),
-        F.col("bll_class_major").alias("book_class_major"), F.col("bll_class_sub").alias("book_class_sub"),
-        F.col("bll_loan_count").alias("loan_count"))
+    lib = libraries.selectExpr(
+        "lib_district AS district", "lib_name AS name", "'Library' AS data_type",
+        "lib_latitude AS latitude", "lib_longitude AS longitude")
+    cul = events.selectExpr(
+        "cul_district AS district", "cul_title AS name", "'Event' AS data_type",
+        "cul_latitude AS latitude", "cul_longitude AS longitude", "cul_class AS event_class",
+        "cul_start_date AS event_start_date", "cul_end_date AS event_end_date",
+        "concat_ws(',', cul_keyword_1, cul_keyword_2, cul_keyword_3) AS event_keywords",
+        "cul_is_free AS cul_is_free")
+    bll = books.selectExpr(
+        "bll_district AS district", "bll_book_name AS name", "'Book' AS data_type",
+        "bll_class_major AS book_class_major", "bll_class_sub AS book_class_sub", "bll_loan_count AS loan_count")
     return union_all([align_to_schema(b, ENTITY_UNION) for b in (lib, cul, bll)])
 
 
 def facility_union(bus: DataFrame, subway: DataFrame, parks: DataFrame) -> DataFrame:
     """P-9 (SET-1, PRJ-7): bus stops, stations and parks as facility rows."""
     parts = [
-        bus.select(F.lit("Bus").alias("facility_type"), F.col("bus_name").alias("facility_name"),
-                   F.col("bus_latitude").alias("latitude"), F.col("bus_longitude").alias("longitude"),
-                   F.col("bus_district").alias("district")),
-        subway.select(F.lit("Subway").alias("facility_type"), F.col("sta_name").alias("facility_name"),
-                      F.col("sta_latitude").alias("latitude"), F.col("sta_longitude").alias("longitude"),
-                      F.col("sta_district").alias("district")),
-        parks.select(F.lit("Park").alias("facility_type"), F.col("park_name").alias("facility_name"),
-                     F.col("park_latitude").alias("latitude"), F.col("park_longitude").alias("longitude"),
-                     F.col("park_district").alias("district")),
+        bus.selectExpr("'Bus' AS facility_type", "bus_name AS facility_name", "bus_latitude AS latitude",
+                       "bus_longitude AS longitude", "bus_district AS district"),
+        subway.selectExpr("'Subway' AS facility_type", "sta_name AS facility_name", "sta_latitude AS latitude",
+                          "sta_longitude AS longitude", "sta_district AS district"),
+        parks.selectExpr("'Park' AS facility_type", "park_name AS facility_name", "park_latitude AS latitude",
+                         "park_longitude AS longitude", "park_district AS district"),
     ]
     return union_all([align_to_schema(p, FACILITY_LOCATIONS) for p in parts])
 

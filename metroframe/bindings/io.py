@@ -22,7 +22,6 @@ from metroframe.sources import csv as CSV
 from metroframe.sources import snapshot as SNAP
 from metroframe.sources import xml as XML
 
-NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # --- CSV -----------------------------------------------------------------------------
 ORDERS_CSV_SCHEMA = T.StructType([

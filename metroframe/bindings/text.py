@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from metroframe.bindings import query
 from metroframe.bindings import tables as tb

@@ -1,6 +1,5 @@
 """The driver contract on sf0.001: entry() and every query against its oracle."""
 
-import datetime as dt
 import math
 
 import duckdb

@@ -4,7 +4,6 @@ the grid join against brute force (all pairs, computed in Python)."""
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from metroframe.functions.geo import EARTH_RADIUS_M
 from metroframe.operators.spatial import count_within_radius, radius_pairs

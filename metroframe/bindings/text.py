@@ -10,6 +10,7 @@ from metroframe.functions.text import html_to_text, html_to_text_sql, words_join
 from metroframe.operators.aggregates import value_counts
 from metroframe.operators.filters import exclude_words
 from metroframe.plans.keywords import keyword_columns, page_words, top_keywords
+from metroframe.session import spread
 
 STOPS_SQL = ", ".join("'" + w + "'" for w in tb.PAGE_STOP_WORDS)
 WORDS_SQL = f"""
@@ -22,7 +23,7 @@ SELECT page_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM (
 def q_str_html_text(spark, d):
     """STR-9: visible text of every page (scripts, styles, comments and tags
     removed, named entities decoded)."""
-    p = tb.table(spark, d, "pages")
+    p = spread(tb.table(spark, d, "pages"), "page_id")
     return p.select("page_id", html_to_text("html").alias("text"))
 
 
@@ -30,7 +31,7 @@ def q_str_html_text(spark, d):
 SELECT doc_id, array_to_string(regexp_extract_all(text, '{tb.PAGE_WORD}'), ' ') AS words FROM documents""")
 def q_str_extract_all(spark, d):
     """STR-8: every letter run of each whole document, joined by one space."""
-    doc = tb.table(spark, d, "documents")
+    doc = spread(tb.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     return doc.select("doc_id", words_joined("text", tb.PAGE_WORD).alias("words"))
 
 

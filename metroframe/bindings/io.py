@@ -117,14 +117,15 @@ def q_flt_partition_prune(spark, d):
     """FLT-5: equality on the partition column; only that folder is scanned
     (PartitionFilters)."""
     df = _read_snapshots(spark, _event_snapshots(spark, d))
-    first = df.agg(F.min("request_date").alias("m")).first()["m"]
+    first = SNAP.latest_value(df, "request_date", fn="min")
     return partition_equals(df, "request_date", first)
 
 
 @query("agg_max_partition", "SELECT max(strftime(ts, '%y%m%d')) AS latest_request_date FROM events")
 def q_agg_max_partition(spark, d):
-    """AGG-4: max of the text partition column."""
-    return max_value(_read_snapshots(spark, _event_snapshots(spark, d)), "request_date", "latest_request_date")
+    """AGG-4: max of the text partition column, from the partition listing."""
+    return max_value(_read_snapshots(spark, _event_snapshots(spark, d)), "request_date", "latest_request_date",
+                     partition_column=True)
 
 
 @query("agg_collect_latest", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +45,31 @@ def read_partitioned(spark: SparkSession, path: str, fmt: str = "csv",
     return reader.load(path)
 
 
-def latest_value(df: DataFrame, col: str = "request_date"):
-    """AGG-4: the largest partition value (a metadata-sized query: Spark
-    answers a max over a partition column from the file listing + one pass
-    over the pruned column)."""
-    return df.agg(F.max(col).alias("m")).first()["m"]
+@contextmanager
+def _metadata_only(spark: SparkSession):
+    key = "spark.sql.optimizer.metadataOnly"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+def latest_value(df: DataFrame, col: str = "request_date", fn: str = "max"):
+    """AGG-4: the largest (or smallest) value of a partition column.
+
+    Answered from the partition listing alone (no data file is opened): the
+    optimizer's metadata-only rule is switched on for this one eager scalar
+    query. Like a listing of object keys, a partition holding only empty
+    files counts.
+    """
+    agg = F.max(col) if fn == "max" else F.min(col)
+    with _metadata_only(df.sparkSession):
+        return df.agg(agg.alias("m")).first()["m"]
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, fmt: str = "csv",

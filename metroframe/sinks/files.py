@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def _clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # One shuffle on the partition keys: each task then writes whole
-    # partitions, avoiding a file per (task, partition) pair.
-    return df.repartition(*[F.col(k) for k in keys]) if keys else df
+    # One shuffle on the partition keys, so a task writes few output folders
+    # instead of a file per (task, partition) pair. ``rebalance`` (unlike a
+    # plain repartition) lets AQE split a key holding a large share of the
+    # rows over several tasks and files, and merge small ones.
+    return df.hint("rebalance", *keys) if keys else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite",

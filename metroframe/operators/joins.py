@@ -37,17 +37,34 @@ def prefix_lookup_join(df: DataFrame, id_col: str, lookup: DataFrame, lookup_pre
 
 
 def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str,
-                  max_terms: int = 10_000) -> DataFrame:
+                  max_broadcast_terms: int = 10_000, gram: int = 3) -> DataFrame:
     """JN-3: route each row to every term its text contains (a theta join).
 
-    Only a term list of proven small size is allowed: the plan is a
-    broadcast nested-loop join whose cost is rows x terms.
+    A term list of proven small size is broadcast into a nested-loop join
+    (rows x terms comparisons, no shuffle). A larger list takes an exact
+    equi-join instead: each term is keyed by its first ``gram`` characters
+    (shorter terms by themselves), each text emits its substrings of those
+    lengths, and ``contains`` is the residual, so only texts sharing a
+    substring with a term are compared with it. Empty and null terms match
+    nothing in either path.
     """
     from metroframe.session import has_at_most
 
-    if not has_at_most(terms, max_terms):
-        raise ValueError(f"term list exceeds {max_terms} rows; use an equi-join key instead")
-    return df.join(F.broadcast(terms), F.col(text_col).contains(F.col(term_col)), "inner")
+    valid = terms.where(F.col(term_col).isNotNull() & (F.length(term_col) > 0))
+    if has_at_most(valid, max_broadcast_terms):
+        return df.join(F.broadcast(valid), F.col(text_col).contains(F.col(term_col)), "inner")
+    keyed = valid.withColumn("__len", F.least(F.length(term_col), F.lit(gram)))
+    keyed = keyed.withColumn("__key", F.substring(term_col, 1, gram))
+    # the distinct (length, substring) pairs of each row, for every length a
+    # term key can have; deduplicated within the row, so repeated rows stay
+    t = f"`{text_col}`"
+    per_row = (f"array_distinct(flatten(transform(sequence(1, {gram}), n -> transform("
+               f"sequence(1, greatest(length({t}) - n + 1, 1)), p -> named_struct('l', n, 'k', substring({t}, p, n))))))")
+    grams = df.withColumn("__g", F.explode(F.expr(per_row)))
+    grams = grams.withColumn("__len", F.col("__g.l")).withColumn("__key", F.col("__g.k")).drop("__g")
+    grams = grams.where(F.length("__key") == F.col("__len"))
+    joined = grams.join(keyed, ["__len", "__key"], "inner").where(F.col(text_col).contains(F.col(term_col)))
+    return joined.drop("__len", "__key")
 
 
 def month_grid(start_month, end_month, keys: DataFrame) -> DataFrame:

@@ -88,9 +88,17 @@ def test_partition_copy_keeps_other_partitions(spark, tmp_dir):
     assert got == [(1, "A"), (8, "C")]
 
 
-def test_contains_join_refuses_unbounded_terms(spark):
+def test_contains_join_gram_path_equals_broadcast_path(spark):
     from metroframe.operators.joins import contains_join
 
-    terms = spark.range(20).selectExpr("cast(id as string) AS t")
-    with pytest.raises(ValueError):
-        contains_join(spark.createDataFrame([("x1",)], "s string"), "s", terms, "t", max_terms=10)
+    texts = spark.createDataFrame([(1, "cold anvil"), (2, "red widget"), (3, "hot rod"), (4, None), (5, "aa"),
+                                   (6, "red red"), (6, "red red")], "id int, s string")
+    terms = spark.createDataFrame([("old",), ("red",), ("d",), ("anvil",), ("",), (None,), ("a",), ("aa",), ("zz",)],
+                                  "t string")
+    small = contains_join(texts, "s", terms, "t")
+    large = contains_join(texts, "s", terms, "t", max_broadcast_terms=1)
+    got = sorted(tuple(r) for r in large.select("id", "t").collect())
+    assert got == sorted(tuple(r) for r in small.select("id", "t").collect())
+    assert (1, "old") in got and (1, "d") in got and (3, "d") in got and (5, "a") in got and (5, "aa") in got
+    assert got.count((6, "red")) == 2  # identical rows both kept, each matched once
+    assert len(got) - 1 == len(set(got))

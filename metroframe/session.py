@@ -9,14 +9,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Defaults for a local run; on a cluster the deployment's own settings win
-# because ``build_session`` only fills keys that are not set yet.
+# Settings for sessions started by this repository's own tools (tests, bench,
+# scripts). Library functions take any session; a cluster deployment keeps
+# its own configuration. The small minimum partition size keeps AQE from
+# merging a small but CPU-heavy shuffle (the radius join) into one task; it
+# changes nothing for large inputs.
 LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",

@@ -31,12 +31,12 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present)
 
 
-def cast_columns(df: DataFrame, types: Mapping[str, str], *, exact: Iterable[str] = ()) -> DataFrame:
-    """PRJ-3: cast named columns leniently; ``exact`` lists integral columns
-    that must not go through a double (wide ids)."""
-    exact = set(exact)
+def cast_columns(df: DataFrame, types: Mapping[str, str], *, strict: Iterable[str] = ()) -> DataFrame:
+    """PRJ-3: cast named columns leniently; integral columns listed in
+    ``strict`` turn decimal text into null instead of its integer part."""
+    strict = set(strict)
     return df.withColumns({
-        c: lenient_cast(F.col(c), t, truncate_decimals=c not in exact)
+        c: lenient_cast(F.col(c), t, truncate_decimals=c not in strict)
         for c, t in types.items()
     })
 
@@ -52,7 +52,7 @@ def apply_mapping(df: DataFrame, mappings: Sequence[tuple[str, str, str]]) -> Da
     for source, target, type_name in mappings:
         actual = by_lower.get(source.lower())
         c = F.col(actual) if actual is not None else F.lit(None).cast("string")
-        cols.append(lenient_cast(c, type_name, truncate_decimals=type_name.lower() != "bigint").alias(target))
+        cols.append(lenient_cast(c, type_name).alias(target))
     return df.select(*cols)
 
 

@@ -30,7 +30,7 @@ def build_best_loans(raw: DataFrame) -> DataFrame:
     """P-1: rename (PRJ-2), cast leniently (PRJ-3), keep the declared columns."""
     renamed = rename_columns(raw, BEST_LOAN_RENAMES)
     types = {f.name: f.dataType.simpleString() for f in BEST_LOAN.fields}
-    cast = cast_columns(renamed, types, exact=["bll_isbn13"])
+    cast = cast_columns(renamed, types)
     return cast.select(*[f.name for f in BEST_LOAN.fields])
 
 

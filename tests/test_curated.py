@@ -16,7 +16,7 @@ def test_best_loans_lenient_casts(spark):
     raw_rows = [
         ("1", "1", "책 하나", "저자", "출판사", "2020", "9788936434120", "", "", "813.7", "12",
          "", "", "문학", "한국문학", "소설", "강남구", "2024", "1"),
-        ("2", "2", "책 둘", "저자2", "출판사2", "2021.0", "9788936434121", "7.5", "1", "bad", "3",
+        ("2", "2", "책 둘", "저자2", "출판사2", "2021.0", "9788936434121.0", "-7.5", "1e3", "bad", " 3 ",
          "", "", "문학", None, None, "강남구", "2024", "1"),
     ]
     schema = BEST_LOAN_RAW.add("district", "string").add("year", "string").add("month", "string")
@@ -26,10 +26,12 @@ def test_best_loans_lenient_casts(spark):
     a, b = got["책 하나"], got["책 둘"]
     assert a["bll_addition_symbol"] is None and a["bll_vol"] is None  # '' -> null
     assert a["bll_class_no"] == 813.7 and a["bll_isbn13"] == 9788936434120
-    assert b["bll_addition_symbol"] == 7  # '7.5' -> 7, as the lenient cast did
+    assert b["bll_addition_symbol"] == -7  # '-7.5' -> -7, as the legacy cast did
     assert b["bll_publication_year"] == 2021
+    assert b["bll_vol"] is None  # exponent text is not an integer
     assert b["bll_class_no"] is None  # non-numeric text -> null
-    assert b["bll_isbn13"] == 9788936434121  # wide ids stay exact
+    assert b["bll_loan_count"] == 3  # surrounding spaces are trimmed
+    assert b["bll_isbn13"] == 9788936434121  # wide ids stay exact, decimal part dropped
     assert out.columns == [f.name for f in C.BEST_LOAN.fields]  # declared columns only
 
 

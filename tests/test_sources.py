@@ -102,3 +102,14 @@ def test_contains_join_gram_path_equals_broadcast_path(spark):
     assert (1, "old") in got and (1, "d") in got and (3, "d") in got and (5, "a") in got and (5, "aa") in got
     assert got.count((6, "red")) == 2  # identical rows both kept, each matched once
     assert got.count((6, "d")) == 2 and len(got) - 2 == len(set(got))
+
+
+def test_partition_column_in_path_wins_over_file_column(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "lib")
+    os.makedirs(f"{base}/request_date=240601/district=강남구")
+    with open(f"{base}/request_date=240601/district=강남구/a.csv", "w", encoding="utf-8") as f:
+        f.write("libName,district\n도서관,종로구\n")
+    df = SNAP.read_latest_snapshot(spark, base, "csv")
+    r = df.first()
+    assert (r["libName"], r["district"], r["request_date"]) == ("도서관", "강남구", "240601")
+    assert dict(df.dtypes)["request_date"] == "string"  # '240601' stays text

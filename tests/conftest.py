@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,13 +10,12 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from metroframe.session import build_session
+    from metroframe.session import build_session, shared_dir
 
-    # tests set their own shared folder only because none is configured here
-    conf = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="metroframe-test-ckpt-")
-    s = build_session("metroframe-tests", master="local[4]", shuffle_partitions=4, conf=conf)
+    s = build_session("metroframe-tests", master="local[4]", shuffle_partitions=4)
+    # the session's spark.checkpoint.dir is used when set; only when it is
+    # unset does shared_dir() make a temporary one (as tests may)
+    shared_dir(s)
     yield s
 
 

@@ -13,14 +13,42 @@ from metroframe.session import bounded_broadcast
 DIMENSION_MAX_ROWS = 200_000
 
 
+# buckets over which left rows with a null key are spread in a shuffled join
+NULL_KEY_SPREAD = 1024
+
+
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                           right_keys: Sequence[str], spread: int = NULL_KEY_SPREAD) -> DataFrame:
+    """Left outer equi-join in which left rows with a null key (they can never
+    match) are spread over ``spread`` partitions by a deterministic row hash,
+    instead of all hashing alike into one task. Output: left columns, then
+    right columns."""
+    has_null = None
+    for k in left_keys:
+        c = F.col(k).isNull()
+        has_null = c if has_null is None else has_null | c
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    l = left.withColumn("__nk_salt", F.when(has_null, F.pmod(row_hash, F.lit(spread))).otherwise(F.lit(0)).cast("int"))
+    r = right.withColumn("__nk_rsalt", F.lit(0).cast("int"))
+    cond = l["__nk_salt"] == r["__nk_rsalt"]
+    for a, b in zip(left_keys, right_keys):
+        cond = cond & (l[a] == r[b])
+    return l.join(r, cond, "left").drop("__nk_salt", "__nk_rsalt")
+
+
 def left_dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                         max_dim_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """JN-1: left outer equi-join; unmatched rows keep nulls, several matches fan out.
 
-    The dimension is broadcast only once its row count is proven under the bound.
+    The dimension is broadcast only once its row count is proven under the
+    bound; otherwise a shuffled join in which null fact keys are spread.
     """
-    d = bounded_broadcast(dim, max_dim_rows)
-    return fact.join(d, fact[fact_key] == d[dim_key], "left")
+    from metroframe.session import has_at_most
+
+    if has_at_most(dim, max_dim_rows):
+        d = F.broadcast(dim)
+        return fact.join(d, fact[fact_key] == d[dim_key], "left")
+    return left_join_spread_nulls(fact, dim, [fact_key], [dim_key])
 
 
 def prefix_lookup_join(df: DataFrame, id_col: str, lookup: DataFrame, lookup_prefix: str,

@@ -29,10 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metroframe.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_sql, lat_step_deg
-
-
-# buckets over which rows without a position are spread in the join-back
-UNLOCATED_SPREAD = 1024
+from metroframe.operators.joins import left_join_spread_nulls
 
 
 class Grid:
@@ -187,20 +184,11 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
         F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).cast("int").alias(out) for k, out in kinds.items()
     ])
     # Rows without a district or a coordinate (every book row, say) never
-    # match; their null keys would hash by district alone and pile up in a
-    # few tasks, so they carry a deterministic salt (0 for located rows).
-    located = F.col(district).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    row_hash = F.xxhash64(*[F.col(c) for c in entities.columns])
-    ent = entities.withColumn("__salt", F.when(located, F.lit(0)).otherwise(F.pmod(row_hash, F.lit(UNLOCATED_SPREAD))))
-    counts = counts.withColumn("__csalt", F.lit(0).cast("int"))
-    joined = ent.join(
-        counts,
-        (ent[district] == counts["__d"]) & (ent[lat] == counts["__lat"]) & (ent[lon] == counts["__lon"])
-        & (ent["__salt"] == counts["__csalt"]),
-        "left")
+    # match; the join spreads them instead of hashing them by district alone.
+    joined = left_join_spread_nulls(entities, counts, [district, lat, lon], ["__d", "__lat", "__lon"])
     return joined.select(
-        *[ent[c] for c in entities.columns],
-        *[F.coalesce(counts[out], F.lit(0)).alias(out) for out in kinds.values()],
+        *[F.col(c) for c in entities.columns],
+        *[F.coalesce(F.col(out), F.lit(0)).alias(out) for out in kinds.values()],
     )
 
 

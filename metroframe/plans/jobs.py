@@ -11,8 +11,10 @@ folders of any Hadoop-compatible store.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from metroframe import constants as K
+from metroframe.operators.joins import left_join_spread_nulls
 from metroframe.operators.projection import positional_rename
 from metroframe.plans import curated as C
 from metroframe.plans.keywords import keyword_columns, top_keywords
@@ -30,7 +32,7 @@ LOAN_PARTITIONS = ["bll_district", "bll_year", "bll_month"]
 def best_loan_job(spark: SparkSession, raw_path: str, curated_path: str, checkpoint_path: str) -> int:
     """New district/year/month files only (the checkpoint replaces the job
     bookmark); returns the number of rows ingested by this run."""
-    schema = BEST_LOAN_RAW.add("district", "string").add("year", "string").add("month", "string")
+    schema = T.StructType(BEST_LOAN_RAW.fields + [T.StructField(c, T.StringType()) for c in ("district", "year", "month")])
     return incremental_ingest(spark, raw_path, schema, curated_path, checkpoint_path,
                               partition_by=LOAN_PARTITIONS, transform=C.build_best_loans)
 
@@ -69,7 +71,7 @@ def event_keyword_job(spark: SparkSession, parse_path: str, pages: DataFrame, in
     events = read_latest_snapshot(spark, parse_path, "csv")
     page_kw = keyword_columns(top_keywords(pages.select(url_col, html_col), url_col, html_col, pattern=pattern),
                               url_col)
-    out = events.join(page_kw, events["HMPG_ADDR"] == page_kw[url_col], "left").drop(url_col)
+    out = left_join_spread_nulls(events, page_kw, ["HMPG_ADDR"], [url_col]).drop(url_col)
     write_csv(out, info_path, ["request_date", "district"])
 
 

@@ -57,5 +57,7 @@ def attach_keywords(events: DataFrame, event_key: str, pages: DataFrame, page_ke
                     names: Sequence[str] = ("Keyword_1", "Keyword_2", "Keyword_3"), **kw) -> DataFrame:
     """Add the keyword columns to every event row (left join on the page key);
     events without a page keep null keywords."""
+    from metroframe.operators.joins import left_join_spread_nulls
+
     cols = keyword_columns(top_keywords(pages, page_key, html_col, **kw), page_key, names)
-    return events.join(cols, events[event_key] == cols[page_key], "left").drop(cols[page_key])
+    return left_join_spread_nulls(events, cols, [event_key], [page_key]).drop(page_key)

@@ -19,7 +19,9 @@ def test_best_loans_lenient_casts(spark):
         ("2", "2", "책 둘", "저자2", "출판사2", "2021.0", "9788936434121.0", "-7.5", "1e3", "bad", " 3 ",
          "", "", "문학", None, None, "강남구", "2024", "1"),
     ]
-    schema = BEST_LOAN_RAW.add("district", "string").add("year", "string").add("month", "string")
+    from pyspark.sql import types as T
+
+    schema = T.StructType(BEST_LOAN_RAW.fields + [T.StructField(c, T.StringType()) for c in ("district", "year", "month")])
     raw = spark.createDataFrame(raw_rows, schema)
     out = C.build_best_loans(raw)
     got = {r["bll_book_name"]: r for r in out.collect()}

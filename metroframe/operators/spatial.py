@@ -14,10 +14,10 @@ No spatial index exists in Catalyst, so the radius join is an equi-join on
   instead of all pairs of a district.
 
 A district holding a third of the rows is split across tasks by the cell
-key; a single cell holding a large share is salted (see ``hot_cells``), and
-AQE's skew-join handling splits what remains uneven at run time. The counts
-are two hash aggregates with map-side partial aggregation, so a hot
-position is combined before its shuffle.
+key; AQE's skew-join handling splits a hot cell's partition at run time, and
+``split_hot_cells`` salts cells known to be hot up front (see ``hot_cells``).
+The counts are two hash aggregates with map-side partial aggregation, so a
+hot position is combined before its shuffle.
 """
 
 from __future__ import annotations

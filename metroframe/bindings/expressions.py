@@ -297,7 +297,7 @@ def q_dt_prev_month(spark, d):
 
 
 @query("dt_parts", """
-SELECT o_orderkey, year(o_orderdate) AS yr, month(o_orderdate) AS mo,
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mo,
        CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
        CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS month_end
 FROM orders""")

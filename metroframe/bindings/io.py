@@ -197,7 +197,7 @@ def q_src_xml_status_gate(spark, d):
 
 
 @query("set_concat_pages", f"""
-SELECT floor(s_suppkey / {PAGE_SIZE}) AS page, count(*) AS records FROM supplier
+SELECT CAST(floor(s_suppkey / {PAGE_SIZE}) AS BIGINT) AS page, count(*) AS records FROM supplier
 WHERE floor(s_suppkey / {PAGE_SIZE}) <> {ERROR_PAGE} GROUP BY 1""")
 def q_set_concat_pages(spark, d):
     """SET-3: the good pages appended into one frame, columns united by name
@@ -305,10 +305,12 @@ KEPT_MONTH = (1998, 6)
 
 
 @query("snk_partition_copy", f"""
-SELECT o_orderkey, o_totalprice, year(o_orderdate) AS yr, month(o_orderdate) AS mo FROM orders
+SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(month(o_orderdate) AS INTEGER) AS mo
+FROM orders
 WHERE (year(o_orderdate), month(o_orderdate)) IN ({', '.join(f'({y}, {m})' for y, m in COPY_MONTHS)})
 UNION ALL
-SELECT o_orderkey, -1.0 AS o_totalprice, year(o_orderdate), month(o_orderdate) FROM orders
+SELECT o_orderkey, -1.0 AS o_totalprice, CAST(year(o_orderdate) AS INTEGER), CAST(month(o_orderdate) AS INTEGER)
+FROM orders
 WHERE year(o_orderdate) = {KEPT_MONTH[0]} AND month(o_orderdate) = {KEPT_MONTH[1]}""")
 def q_snk_partition_copy(spark, d):
     """SNK-8: copy two (year, month) partitions into a store that holds stale

@@ -141,10 +141,11 @@ def keywords_sql(pages: str = "pages", id_col: str = "page_id", html_col: str =
     text = html_to_text_sql(html_col)
     return f"""
       SELECT {id_col}, rank, word, n FROM (
-        SELECT {id_col}, word, n, row_number() OVER (PARTITION BY {id_col} ORDER BY n DESC, first_pos ASC) AS rank
+        SELECT {id_col}, word, n,
+               CAST(row_number() OVER (PARTITION BY {id_col} ORDER BY n DESC, first_pos ASC) AS INTEGER) AS rank
         FROM (
           SELECT {id_col}, word, count(*) AS n, min(pos) AS first_pos FROM (
-            SELECT {id_col}, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM (
+            SELECT {id_col}, unnest(ws) AS word, CAST(unnest(range(len(ws))) AS INTEGER) AS pos FROM (
               SELECT {id_col}, regexp_extract_all({text}, '{pattern}') AS ws FROM {pages} WHERE {html_col} IS NOT NULL))
           WHERE word NOT IN ({stops})
           GROUP BY {id_col}, word))

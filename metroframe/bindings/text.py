@@ -14,7 +14,7 @@ from metroframe.session import spread
 
 STOPS_SQL = ", ".join("'" + w + "'" for w in tb.PAGE_STOP_WORDS)
 WORDS_SQL = f"""
-SELECT page_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM (
+SELECT page_id, unnest(ws) AS word, CAST(unnest(range(len(ws))) AS INTEGER) AS pos FROM (
   SELECT page_id, regexp_extract_all({html_to_text_sql('html')}, '{tb.PAGE_WORD}') AS ws
   FROM pages WHERE html IS NOT NULL)"""
 

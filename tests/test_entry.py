@@ -7,6 +7,8 @@ import pytest
 
 from tests.conftest import SF_SMOKE
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "array<string>": "VARCHAR[]"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -56,6 +58,9 @@ def test_query_matches_oracle(spark, oracle, name):
 
     df = E.queries()[name](spark, SF_SMOKE)
     cols, rows = df.columns, df.collect()
+    rel = oracle.sql(E.oracle_sql()[name])
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == otypes  # same names and types
     res = oracle.execute(E.oracle_sql()[name])
     ocols, orows = [c[0] for c in res.description], res.fetchall()
     assert sorted(cols) == sorted(ocols)

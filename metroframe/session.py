@@ -55,18 +55,27 @@ def shared_dir(spark: SparkSession) -> str:
     registered as the checkpoint directory, so later calls agree on it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not configured and sc is not None:
+        current = sc.getCheckpointDir()
         if current:
             configured = os.path.dirname(current.rstrip("/"))
     if not configured:
         configured = tempfile.mkdtemp(prefix="metroframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (no driver-side context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises its own "not supported" error
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location below the shared folder."""
     return f"{shared_dir(spark)}/metroframe/{name}-{uuid.uuid4().hex[:12]}"
@@ -102,7 +111,10 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     only an input read as fewer partitions than the cluster has cores (one
     big Parquet row group, say) is spread, at the cost of one shuffle of it.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:  # Spark Connect: no partition count to read; leave it to the planner
+        return df
+    target = min_partitions or sc.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     cols = [F.col(k) for k in keys]

@@ -20,7 +20,7 @@ from metroframe.plans import curated as C
 from metroframe.plans.keywords import keyword_columns, top_keywords
 from metroframe.plans.marts import entity_union, facility_union, integrated_accessibility
 from metroframe.schemas import BEST_LOAN_RAW
-from metroframe.sinks.files import append_parquet, write_csv, write_parquet
+from metroframe.sinks.files import write_csv, write_parquet
 from metroframe.sources.csv import read_csv_charset
 from metroframe.sources.snapshot import read_latest_snapshot
 from metroframe.streaming.ingest import incremental_ingest
@@ -83,11 +83,12 @@ def event_info_job(spark: SparkSession, info_path: str, curated_path: str) -> No
 
 # P-7 -------------------------------------------------------------------------------
 def library_job(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
-    """Appends the mapped rows; returns the data-quality results (one row per
-    rule), which never block the write."""
+    """Replaces the curated folder with the mapped rows (the reference purged
+    the prefix, then let its writer add files); returns the data-quality
+    results (one row per rule), which never block the write."""
     raw = read_latest_snapshot(spark, raw_path, "csv")
     data, quality = C.build_library_data(raw)
-    append_parquet(data, curated_path, ["lib_district"])
+    write_parquet(data, curated_path, ["lib_district"])
     return quality
 
 

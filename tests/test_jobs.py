@@ -54,6 +54,8 @@ def test_raw_to_marts(spark, tmp_dir):
     J.event_keyword_job(spark, f"{raw}/event-parse", pages, f"{raw}/event-info")
     J.event_info_job(spark, f"{raw}/event-info", f"{cur}/event")
     quality = J.library_job(spark, f"{raw}/library", f"{cur}/library")
+    J.library_job(spark, f"{raw}/library", f"{cur}/library")  # a rerun replaces, never duplicates
+    assert spark.read.parquet(f"{cur}/library").count() == 1
     assert J.best_loan_job(spark, f"{raw}/loans", f"{cur}/loans", f"{tmp_dir}/ckpt") == 1
     assert J.best_loan_job(spark, f"{raw}/loans", f"{cur}/loans", f"{tmp_dir}/ckpt") == 0
     assert quality.first()["passed"] is True

@@ -17,6 +17,7 @@ from metroframe.operators.ranking import drop_duplicates_stable
 from metroframe.schemas import BEST_LOAN
 
 # P-1 -------------------------------------------------------------------------
+# --- fixed values: raw loan columns -> curated names ---------------------------
 BEST_LOAN_RENAMES = {
     "bookname": "bll_book_name", "authors": "bll_authors", "publisher": "bll_publisher",
     "publication_year": "bll_publication_year", "isbn13": "bll_isbn13", "addition_symbol": "bll_addition_symbol",
@@ -98,8 +99,9 @@ def build_parks(raw: DataFrame, columns: Sequence[tuple[str, str, str | None]] =
 
 
 # P-6 -------------------------------------------------------------------------
-# (source, target, type); latitude is read from LOT and longitude from LAT, as
-# the event job does (the other feeds use the opposite pairing).
+# --- fixed values: event feed columns -> curated (source, target, type) ---------
+# latitude is read from LOT and longitude from LAT, as the event job does (the
+# other feeds use the opposite pairing)
 EVENT_COLUMNS = [
     ("CODENAME", "cul_class", None), ("GUNAME", "cul_district", None), ("TITLE", "cul_title", None),
     ("PLACE", "cul_place", None), ("ORG_NAME", "cul_org_name", None), ("USE_TRGT", "cul_trgt_age", None),
@@ -121,6 +123,7 @@ def build_event_info(raw: DataFrame, columns=EVENT_COLUMNS) -> DataFrame:
 
 
 # P-7 -------------------------------------------------------------------------
+# --- fixed values: library feed mapping (source, target, type) and its rule -----
 LIBRARY_MAPPING = [
     ("libname", "lib_name", "string"), ("latitude", "lib_latitude", "double"),
     ("longitude", "lib_longitude", "double"), ("homepage", "lib_homepage", "string"),

@@ -21,7 +21,12 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: T.Str
 
 def status_of_files(spark: SparkSession, path: str) -> DataFrame:
     """SRC-7: (file, code) for every response file; the code is read at
-    RESULT/CODE and, when absent there, at the first CODE element."""
+    RESULT/CODE and, when absent there, at the first CODE element.
+
+    Each file is read whole into one row: a response is one API page, at
+    most a page size of records (1,000 for the city feeds), so a row stays
+    small however many pages there are; the files are spread over tasks.
+    """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
         F.col("path").alias("file"), F.decode(F.col("content"), "UTF-8").alias("__xml"))
     code = F.coalesce(

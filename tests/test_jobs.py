@@ -76,3 +76,11 @@ def test_raw_to_marts(spark, tmp_dir):
     assert acc["봄 음악회"]["event_keywords"] == "음악,공연,재즈"
     book = acc["책"]
     assert (book["bus_stops_within_1km"], book["subway_stations_within_1km"], book["parks_within_1km"]) == (0, 0, 0)
+
+
+def test_cli_runs_a_job(spark, tmp_dir):
+    from metroframe.cli import main
+
+    write(f"{tmp_dir}/raw/request_date=240601/a.csv", "CRTR_ID,CRTR_NM,LAT,LOT\n100000001,정류장,37.5,127.0\n")
+    assert main(["bus-stops", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out"]) == 0
+    assert [r["bus_district"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()] == ["종로구"]

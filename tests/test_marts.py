@@ -110,3 +110,30 @@ def test_accessibility_plan_has_no_nested_loop_or_cartesian(spark):
     out = integrated_accessibility(_entities(spark), _facilities(spark), radius_m=1000.0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_correlated_sql_form_equals_grid(spark):
+    from metroframe.operators.spatial import Grid, correlated_count_sql, entity_cells, facility_cells
+    from metroframe.session import unique_name
+
+    rnd = random.Random(11)
+    ent = spark.createDataFrame(
+        [(i, f"d{rnd.randint(0, 1)}", 37.5 + rnd.uniform(-0.02, 0.02), 127.0 + rnd.uniform(-0.02, 0.02)) for i in range(150)]
+        + [(999, "d0", None, None)], "eid int, district string, lat double, lon double")
+    fac = spark.createDataFrame(
+        [("K", f"n{i % 40}", f"d{rnd.randint(0, 1)}", 37.5 + rnd.uniform(-0.02, 0.02), 127.0 + rnd.uniform(-0.02, 0.02))
+         for i in range(200)], "kind string, name string, fd string, flat double, flon double")
+    radius = 800.0
+    grid_counts = {r["eid"]: r["n"] for r in count_within_radius(
+        ent, fac, district="district", lat="lat", lon="lon", fac_kind="kind", fac_name="name", fac_district="fd",
+        fac_lat="flat", fac_lon="flon", kinds={"K": "n"}, radius_m=radius).collect()}
+    grid = Grid(radius)
+    ev, fv = unique_name("t_ent"), unique_name("t_fac")
+    entity_cells(ent, grid, "lat", "lon").createOrReplaceTempView(ev)
+    facility_cells(fac.selectExpr("kind", "name", "fd AS district", "flat AS lat", "flon AS lon"), grid, "lat", "lon") \
+        .createOrReplaceTempView(fv)
+    sql = correlated_count_sql(ev, fv, keys=["eid"], district="district", lat="lat", lon="lon", cy="cy", cx="cx",
+                               outputs={"K": "n"}, radius_m=radius, select_cols=["eid"])
+    sql_counts = {r["eid"]: r["n"] for r in spark.sql(sql).collect()}
+    assert sql_counts == grid_counts
+    assert sql_counts[999] == 0 and any(v > 0 for v in sql_counts.values())

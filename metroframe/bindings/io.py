@@ -154,7 +154,8 @@ def _xml_pages(spark, d):
                    F.lit("</S_ACCTBAL>"), note, F.lit("</row>"))
     page = F.floor(F.col("s_suppkey") / PAGE_SIZE)
     rows = s.select(page.alias("page"), F.col("s_suppkey"), row.alias("xml"))
-    docs = rows.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list(F.struct("s_suppkey", "xml"))).getField("xml"), "").alias("body"))
+    ordered = F.array_sort(F.collect_list(F.struct("s_suppkey", "xml"))).getField("xml")
+    docs = rows.groupBy("page").agg(F.array_join(ordered, "").alias("body"))
     code = F.when(F.col("page") == ERROR_PAGE, F.lit("ERROR-500")).otherwise(F.lit("INFO-000"))
     files = docs.select("page", F.concat(F.lit("<response><RESULT><CODE>"), code, F.lit("</CODE><MESSAGE>m</MESSAGE>"
                                                                                         "</RESULT>"), F.col("body"),

@@ -147,7 +147,8 @@ def radius_pairs(left: DataFrame, right: DataFrame, *, left_key: str, left_lat:
              .drop("__salts"))
     dist = haversine_m(left_lat, left_lon, right_lat, right_lon, earth_radius_m)
     l = l.select(*[F.col(c) for c in left.columns], *cell, "__salt")
-    r = r.select(*[F.col(c) for c in right.columns], *[F.col(c).alias("__r" + c) for c in cell], F.col("__salt").alias("__rsalt"))
+    r = r.select(*[F.col(c) for c in right.columns], *[F.col(c).alias("__r" + c) for c in cell],
+                 F.col("__salt").alias("__rsalt"))
     cond = ((F.col("__k") == F.col("__r__k")) & (F.col("__cy") == F.col("__r__cy")) & (F.col("__cx") == F.col("__r__cx"))
             & (F.col("__salt") == F.col("__rsalt")))
     joined = l.join(r, cond, "inner").where(dist <= F.lit(radius_m))

@@ -44,11 +44,16 @@ class Grid:
     poles) have one column.
     """
 
+    # smallest cell side in degrees (a radius of 0 still gets cells)
+    MIN_STEP_DEG = 1e-9
+
     def __init__(self, radius_m: float, earth_radius_m: float = EARTH_RADIUS_M):
+        if radius_m < 0:
+            raise ValueError(f"radius must not be negative, got {radius_m}")
         self.radius_m = radius_m
         self.earth_radius_m = earth_radius_m
         # a relative margin keeps pairs at exactly the radius inside the 3 x 3 block
-        self.lat_step = lat_step_deg(radius_m, earth_radius_m) * (1 + 1e-9)
+        self.lat_step = max(lat_step_deg(radius_m, earth_radius_m), self.MIN_STEP_DEG) * (1 + 1e-9)
         self._sin_ang = math.sin(radius_m / earth_radius_m)
         self._reach_deg = math.degrees(radius_m / earth_radius_m)
 
@@ -62,7 +67,8 @@ class Grid:
         lo = f"(CAST({cy} AS DOUBLE) * {self.lat_step!r}D - 90.0D)"
         edge = f"least(89.999999D, greatest(abs({lo}), abs({lo} + {self.lat_step!r}D)) + {self._reach_deg + 1e-9!r}D)"
         ratio = f"({self._sin_ang!r}D / cos(radians({edge})))"
-        n = f"CAST(floor(360.0D / (degrees(asin(least({ratio}, 1.0D))) * {1 + 1e-9!r}D)) AS BIGINT)"
+        width = f"greatest(degrees(asin(least({ratio}, 1.0D))) * {1 + 1e-9!r}D, {self.MIN_STEP_DEG!r}D)"
+        n = f"CAST(floor(360.0D / {width}) AS BIGINT)"
         return f"(CASE WHEN {ratio} >= 1.0D OR {n} < 3 THEN CAST(1 AS BIGINT) ELSE {n} END)"
 
     def cell_x_sql(self, lon: str, n: str) -> str:

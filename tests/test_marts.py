@@ -137,3 +137,12 @@ def test_correlated_sql_form_equals_grid(spark):
     sql_counts = {r["eid"]: r["n"] for r in spark.sql(sql).collect()}
     assert sql_counts == grid_counts
     assert sql_counts[999] == 0 and any(v > 0 for v in sql_counts.values())
+
+
+def test_radius_zero_counts_identical_positions_only(spark):
+    ent = spark.createDataFrame([("d", 37.5, 127.0, 1), ("d", 37.5, 127.00001, 2)], "d string, lat double, lon double, id int")
+    fac = spark.createDataFrame([("K", "a", "d", 37.5, 127.0), ("K", "b", "d", 37.5, 127.0)],
+                                "kind string, name string, fd string, flat double, flon double")
+    out = count_within_radius(ent, fac, district="d", lat="lat", lon="lon", fac_kind="kind", fac_name="name",
+                              fac_district="fd", fac_lat="flat", fac_lon="flon", kinds={"K": "n"}, radius_m=0.0)
+    assert {r["id"]: r["n"] for r in out.collect()} == {1: 2, 2: 0}

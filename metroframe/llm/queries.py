@@ -13,6 +13,7 @@ from metroframe.llm.jaccard_join import jaccard_components
 from metroframe.llm.quality_rules import quality
 from metroframe.llm.sentencepiece_codec import encode_decode
 from metroframe.llm.sharding import shards_of
+from metroframe.llm.suffix_dedup import suffix_dedup
 from metroframe.llm.token_files import read_token_files, write_token_files
 from metroframe.session import scratch_path
 
@@ -67,3 +68,9 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_of(documents(spark, sf_dir), 24).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

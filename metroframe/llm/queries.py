@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroframe.llm.common import documents
+from metroframe.llm.decontaminate import leaks
 from metroframe.llm.jaccard_join import jaccard_components
 from metroframe.llm.quality_rules import quality
 from metroframe.llm.sentencepiece_codec import encode_decode
@@ -52,6 +53,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir), trusted(spark, sf_dir))
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))

@@ -74,11 +74,14 @@ def hashes(data: np.ndarray, solid: np.ndarray, starts: np.ndarray, ends: np.nda
     return out
 
 
-def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False):
-    """(starts, ends, hash, text index) of every word; ``bounds`` are the texts' offsets in ``data``."""
+def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False, letters: np.ndarray = ~SPACE):
+    """(starts, ends, hash, text index) of every word; ``bounds`` are the texts' offsets in ``data``.
+
+    ``letters`` says which of the 256 bytes are part of a word.
+    """
     if lower:
         data = LOWER[data]
-    solid = ~SPACE[data]
+    solid = letters[data]
     starts, ends = _runs(data, solid, bounds)
     owner = np.searchsorted(bounds, starts, side="right") - 1
     return starts, ends, hashes(data, solid, starts, ends), owner

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from metroframe.llm.common import documents
 from metroframe.llm.decontaminate import leaks
 from metroframe.llm.jaccard_join import jaccard_components
+from metroframe.llm.line_dedup import dedup_lines, line_dedup_sql
 from metroframe.llm.quality_rules import quality
+from metroframe.llm.secret_scan import counted, listed, secrets
 from metroframe.llm.sentencepiece_codec import encode_decode
 from metroframe.llm.sharding import shards_of
 from metroframe.llm.suffix_dedup import suffix_dedup
@@ -67,6 +69,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+@query("op6_line_dedup", line_dedup_sql())
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
@@ -74,6 +82,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(documents(spark, sf_dir)).select(
+        "doc_id", counted("base", "assign").alias("n_assign"), counted("base", "access").alias("n_access"),
+        counted("base", "hex").alias("n_hex"), F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"))
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_of(documents(spark, sf_dir), 24).select(

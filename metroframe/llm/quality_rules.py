@@ -129,6 +129,21 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     return np.log((target + SMOOTH * part) / (raw + SMOOTH) / part)
 
 
+def _judge(texts, ratio: np.ndarray, threshold: float):
+    """(five counts, base_failed, score, kept) of an Arrow string column."""
+    data, at = V.buffer(texts)
+    stats, scores = [np.zeros((5, 0), np.int64)], [np.zeros(0)]
+    for i, j in slices(at):
+        found, bins, of = counts(data[at[i]:at[j]], at[i:j + 1] - at[i])
+        size = _per_text(of, j - i)
+        total = _per_text(of, j - i, ratio[bins])
+        stats.append(found)
+        scores.append(np.divide(total, size, out=np.full(j - i, np.nan), where=size > 0))
+    s, score = np.concatenate(stats, axis=1), np.concatenate(scores)
+    failed = (s[0] < MIN_WORDS) | (100 * s[4] > MAX_REPEATED * s[0])
+    return s, failed, score, ~failed & (np.nan_to_num(score, nan=-np.inf) >= threshold)
+
+
 def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
     """Per row: the id, the five counts, base_failed, score (null without words), kept."""
@@ -137,23 +152,24 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     spread = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
-        ratio = spread.value
         for b in batches:
-            data, at = V.buffer(b.column(1))
-            stats, scores = [], []
-            for i, j in slices(at):
-                found, bins, of = counts(data[at[i]:at[j]], at[i:j + 1] - at[i])
-                size = _per_text(of, j - i)
-                total = _per_text(of, j - i, ratio[bins])
-                stats.append(found)
-                scores.append(np.divide(total, size, out=np.full(j - i, np.nan), where=size > 0))
-            s = np.concatenate(stats, axis=1) if stats else np.zeros((5, 0), np.int64)
-            score = np.concatenate(scores) if scores else np.zeros(0)
-            failed = (s[0] < MIN_WORDS) | (100 * s[4] > MAX_REPEATED * s[0])
-            kept = ~failed & (np.nan_to_num(score, nan=-np.inf) >= threshold)
+            s, failed, score, kept = _judge(b.column(1), spread.value, threshold)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *map(pa.array, s), pa.array(failed), pa.array(score, mask=np.isnan(score)), pa.array(kept)],
                 names=["doc_id", *STATS, "base_failed", "score", "kept"])
 
     return rows.mapInArrow(run, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in STATS)
                            + ", base_failed boolean, score double, kept boolean")
+
+
+def quality_filter(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`quality` keeps."""
+    spread = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, trusted, id_col, text_col, trusted_rows))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(_judge(b.column(at), spread.value, threshold)[3]))
+
+    return docs.mapInArrow(run, docs.schema)

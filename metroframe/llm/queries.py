@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from metroframe.llm.common import documents
 from metroframe.llm.decontaminate import leaks
+from metroframe.llm.html_wrapper import extract
 from metroframe.llm.jaccard_join import jaccard_components
 from metroframe.llm.line_dedup import dedup_lines, line_dedup_sql
 from metroframe.llm.quality_rules import quality
@@ -64,6 +65,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+@query("op4_html_wrapper")
+def op4_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))

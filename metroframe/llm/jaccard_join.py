@@ -158,17 +158,27 @@ def _set_batch(ids, sets):
         names=["sid", "tokens"])
 
 
-def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) of set ids that are similar, by size, by sketch, then exactly."""
-    side = lambda c: info.select(F.col("sid").alias(c), F.col("n_shingles").alias(f"n_{c}"),
-                                 *(F.col(f"s{i}").alias(f"{c}{i}") for i in range(SKETCH_WORDS)))
-    apart = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
-    both = F.col("n_x") + F.col("n_y")
+def _sketch(prefix: str) -> list:
+    return [F.col(f"{prefix}{i}") for i in range(SKETCH_WORDS)]
+
+
+def _may_link(percent: int):
+    """The size and sketch tests of two sets; the columns are n_x, n_y, x0.. and y0.. ."""
+    apart = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(_sketch("x"), _sketch("y"), strict=True)), F.lit(0))
     # similar: 100 i >= p (both - i), so the symmetric difference is at most both (100 - p) / (100 + p)
-    near = written(pairs.join(side("x"), "x").join(side("y"), "y")
-                   .filter((100 + percent) * apart <= (100 - percent) * both)
-                   .filter(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-                   .select("x", "y", "n_x", "n_y"), "jaccard_near")
+    return ((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+            & ((100 + percent) * apart <= (100 - percent) * (F.col("n_x") + F.col("n_y"))))
+
+
+def _side(df: DataFrame, name: str, *more: str) -> DataFrame:
+    """A set's columns (sid, size, sketch) named for one side of a pair."""
+    return df.select(*more, F.col("sid").alias(name), F.col("n_shingles").alias(f"n_{name}"),
+                     *(F.col(f"s{i}").alias(f"{name}{i}") for i in range(SKETCH_WORDS)))
+
+
+def _verified(near: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y, n_x, n_y) of set ids that are similar, by their exact sets."""
+    near = written(near.select("x", "y", "n_x", "n_y"), "jaccard_near")
     wanted = near.select(F.col("x").alias("sid")).union(near.select("y"))
     run = _sets(bit_filter(wanted, "sid"))
     sets = (docs.mapInArrow(run, "sid bigint, tokens array<bigint>")
@@ -196,18 +206,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                       .withColumn("pivot", F.first("sid").over(bucket))
                       .filter("sid <> pivot").distinct(), "jaccard_buckets")
     star = buckets.select(F.col("pivot").alias("x"), F.col("sid").alias("y")).distinct()
-    links = written(_verified(star, info, docs, percent), "jaccard_links")
+    star = star.join(_side(info, "x"), "x").join(_side(info, "y"), "y").filter(_may_link(percent))
+    links = written(_verified(star, docs, percent), "jaccard_links")
     groups = components(links)
     # pairs of a bucket that no link joins yet; the pivot has met everyone
     placed = (buckets.join(groups.withColumnRenamed("id", "sid"), "sid", "left")
               .withColumn("component", F.coalesce("component", "sid")))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .filter("lo <> hi").select("key")
-    rest = written(placed.join(mixed, "key", "left_semi").select("key", "sid", "component"), "jaccard_rest")
-    left = rest.select("key", F.col("sid").alias("x"), F.col("component").alias("cx"))
-    right = rest.select("key", F.col("sid").alias("y"), F.col("component").alias("cy"))
-    more = left.join(right, "key").filter("x < y and cx <> cy").select("x", "y").distinct()
-    late = written(_verified(more, info, docs, percent), "jaccard_links")
+    rest = written(placed.join(mixed, "key", "left_semi").select("key", "sid", "component").join(info, "sid"),
+                   "jaccard_rest")
+    left, right = _side(rest, "x", "key", F.col("component").alias("cx")), \
+        _side(rest, "y", "key", F.col("component").alias("cy"))
+    # size and sketch decide inside the join: sets that merely share a passage give no rows
+    more = left.join(right, (left["key"] == right["key"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy"))
+                     & _may_link(percent)).select("x", "y", "n_x", "n_y").distinct()
+    late = written(_verified(more, docs, percent), "jaccard_links")
     if not late.isEmpty():
         groups = components(links.union(late))
     named = members.filter("doc_id is not null and sid is not null").select("doc_id", "sid")

@@ -8,11 +8,11 @@ run. Equal windows have equal anchors at the same offset, so no match is lost.
 
 Round 0 ranks anchors by their 32 bytes; unique ones are done. Runs whose whole
 reach occurs twice are repeated throughout. Of what remains, one run of each
-content stands for the rest, in blocks of 32 windows: a block's common bytes are
-ranked at growing lengths (64, 128, 256, then all 369), each rank being the pair
-of the rank before and that of the bytes next to it, and a block goes as soon as its
-rank is unique. Last, past the threshold, single windows of the blocks still
-alike are ranked by their whole bytes.
+content stands for the rest, in blocks of 32 windows: the bytes that a block's windows share are
+ranked at growing lengths (128, then all 369), each rank being the pair of the rank
+before and that of the bytes next to it, and a block goes as soon as its rank is
+unique. Blocks that agree in all their bytes, past the threshold, are repeated. Where blocks
+agree only in what their windows share, single windows are ranked by their whole bytes.
 
 Ranks are 64-bit names (hashes of the bytes) with which Spark groups and joins;
 two different strings share one with a probability of about 2**-60.
@@ -128,11 +128,14 @@ def _runs(batches):
 
 # bytes that all windows of a block share, and the lengths at which they are ranked
 CORE = WIDTH - BLOCK + 1
-REACH = [64, 128, 256, CORE]
+REACH = [128, CORE]
+
+
+BLOCK_NAMES = ["anchor", "span", "block", "near", "far", "whole", "r0", "r1"]
 
 
 def _blocks(batches):
-    """Per class and block of 32 windows: a name for the first 64 bytes they share, and for each next part."""
+    """Per class and block of 32 windows: names of the parts of what they share, and of all their bytes."""
     for b in batches:
         out = []
         for text, found in zip(b.column(0), b.column(1), strict=True):
@@ -143,11 +146,15 @@ def _blocks(batches):
                 block = np.arange(c["o1"] // BLOCK, c["o2"] // BLOCK + 1)
                 p = c["at"] - BLOCK * block - start
                 parts = [roll.names(p + x, p + y).astype(np.int64) for x, y in zip([0, *REACH], REACH)]
+                near = np.maximum(BLOCK * block, c["o1"])
+                far = np.minimum(BLOCK * block + BLOCK - 1, c["o2"])
+                whole = roll.raw(c["at"] - far - start, c["at"] - near + WIDTH - start)
+                whole = V.mix(whole + V.mix((near * WIDTH + far).astype(U)))
                 k = len(block)
-                out.append([np.full(k, c["anchor"]), np.full(k, c["span"]), block, *parts])
+                out.append([np.full(k, c["anchor"]), np.full(k, c["span"]), block, near, far, whole.astype(np.int64), *parts])
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)],
-                                             names=["anchor", "span", "block", "r0", "r1", "r2", "r3"])
+                                             names=BLOCK_NAMES)
 
 
 def _windows(batches):
@@ -157,7 +164,7 @@ def _windows(batches):
         for text, found in zip(b.column(0), b.column(1), strict=True):
             text = text.as_buffer()
             for c in found.as_py():
-                o = np.arange(max(c["o1"], BLOCK * c["block"]), min(c["o2"], BLOCK * c["block"] + BLOCK - 1) + 1)
+                o = np.arange(c["near"], c["far"] + 1)
                 start, end = c["at"] - int(o[-1]), c["at"] - int(o[0]) + WIDTH
                 roll = Rolling(np.frombuffer(text, np.uint8, end - start, start))
                 p = c["at"] - o - start
@@ -185,26 +192,29 @@ def repeated_intervals(rows: DataFrame) -> DataFrame:
     whole = found.join(classes.filter("n > 1").select("anchor", "span"), ["anchor", "span"], "left_semi") \
         .select("rid", (F.col("at") - F.col("o2")).alias("start"), (F.col("at") - F.col("o1") + WIDTH).alias("end"))
     some = written(_shared(classes, "anchor").select("anchor", "span", "n", "own.*"), "suffix_some")
-    bits = bit_filter(some, "rid")
-    texts = written(_where(rows, bits).join(some.select("rid").distinct(), "rid", "left_semi")
-                    .dropDuplicates(["rid"]), "suffix_texts")
 
     def with_texts(df: DataFrame, *cols: str) -> DataFrame:
-        per_text = df.groupBy("rid").agg(F.collect_list(F.struct(*cols)).alias("found"))
-        return texts.join(per_text, "rid").select(F.col("text").cast("binary").alias("text"), "found")
+        per_text = written(df.groupBy("rid").agg(F.collect_list(F.struct(*cols)).alias("found")), "suffix_lists")
+        return _where(rows, bit_filter(per_text, "rid")).join(per_text, "rid") \
+            .select(F.col("text").cast("binary").alias("text"), "found")
 
     left = with_texts(some, "anchor", "span", "at", "o1", "o2").mapInArrow(
-        _blocks, "anchor bigint, span bigint, block bigint, r0 bigint, r1 bigint, r2 bigint, r3 bigint")
-    left = _shared(left.withColumn("rank", F.col("r0")), "anchor", "block", "rank")
-    for part in ("r1", "r2", "r3"):
-        left = _shared(written(left, "suffix_ranks").withColumn("rank", F.xxhash64("rank", part)),
-                       "anchor", "block", "rank")
-    blocks = left.select("anchor", "span", "block").distinct().join(some, ["anchor", "span"])
-    windows = written(with_texts(blocks, "anchor", "span", "block", "at", "o1", "o2").mapInArrow(
+        _blocks, ", ".join(f"{c} bigint" for c in BLOCK_NAMES))
+    left = _shared(written(left.withColumn("rank", F.col("r0")), "suffix_ranks"), "anchor", "block", "rank")
+    left = _shared(written(left.withColumn("rank", F.xxhash64("rank", "r1")), "suffix_ranks"), "anchor", "block", "rank")
+    left = written(left.select("anchor", "span", "block", "near", "far", "whole", "rank"), "suffix_blocks")
+    # blocks alike in all bytes are repeated; one of them stands for them beside other blocks of its rank
+    alike = left.groupBy("anchor", "block", "rank", "whole") \
+        .agg(F.min("span").alias("span"), F.max("span").alias("last"), F.first("near").alias("near"), F.first("far").alias("far"))
+    settled = left.join(alike.filter("span <> last").select("anchor", "block", "rank", "whole"),
+                        ["anchor", "block", "rank", "whole"], "left_semi").select("anchor", "span", "near", "far")
+    open_ = _shared(alike, "anchor", "block", "rank").select("anchor", "span", "near", "far") \
+        .join(some.select("anchor", "span", "rid", "at"), ["anchor", "span"])
+    windows = written(with_texts(open_, "anchor", "span", "at", "near", "far").mapInArrow(
         _windows, "anchor bigint, span bigint, o bigint, name bigint"), "suffix_windows")
     # all windows of a run hold its anchor, so what they cover together is one interval
-    reach = _shared(windows, "anchor", "o", "name").groupBy("anchor", "span") \
-        .agg(F.min("o").alias("near"), F.max("o").alias("far"))
+    single = _shared(windows, "anchor", "o", "name").select("anchor", "span", F.col("o").alias("near"), F.col("o").alias("far"))
+    reach = settled.union(single).groupBy("anchor", "span").agg(F.min("near").alias("near"), F.max("far").alias("far"))
     parts = some.filter("n = 1").join(reach, ["anchor", "span"]) \
         .select("rid", (F.col("at") - F.col("far")).alias("start"), (F.col("at") - F.col("near") + WIDTH).alias("end"))
     return whole.union(parts)

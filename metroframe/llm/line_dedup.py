@@ -12,7 +12,7 @@ Defined cases: a null text stays null and has no lines; a line counts without th
 spaces around it, if it then has ``min_chars`` characters or more; a null site
 counts as one site of its own; equal rows are separate places; a document that loses
 all lines keeps its row, with an empty text; other columns pass through, but for those
-named like an output column.
+named n_lines or n_removed when these are added.
 """
 
 from __future__ import annotations
@@ -41,15 +41,15 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
-                min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the text without boilerplate lines, and n_lines and n_removed (long)."""
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "row_key")]
-    text = F.col(f"`{text_col}`")
-    rows = docs.select(*[F.col(f"`{c}`") for c in names],
-                       F.xxhash64(F.col(f"`{id_col}`"), text, F.col(f"`{site_col}`")).alias("row_key"))
+                min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, counts: bool = True) -> DataFrame:
+    """``docs`` with the text without boilerplate lines, and n_lines and n_removed (long) if ``counts``."""
+    # the input's columns travel in a struct, so none can clash with the operator's own
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    text, site = F.col(f"doc.`{text_col}`"), F.col(f"doc.`{site_col}`")
+    rows = rows.withColumn("row_key", F.xxhash64(F.col(f"doc.`{id_col}`"), text, site))
     lines = rows.filter(text.isNotNull()).select(
-        F.col(f"`{id_col}`").alias("id"), "row_key",
-        F.coalesce(F.xxhash64(F.col(f"`{site_col}`")), F.lit(0)).alias("site"),
+        F.col(f"doc.`{id_col}`").alias("id"), "row_key",
+        F.coalesce(F.xxhash64(site), F.lit(0)).alias("site"),
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
     line = F.trim("line")
     # 128 bits name a line
@@ -67,9 +67,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = F.filter(F.transform(all_lines, lambda x, i: F.when(
         ~F.array_contains("gone", i), F.struct(x.alias("x")))), lambda s: s.isNotNull())
     kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
-    return found.select(*[kept.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in names],
-                        F.coalesce(F.size(all_lines), F.lit(0)).cast("bigint").alias("n_lines"),
-                        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"))
+    own = [c for c in docs.columns if not (counts and c in ("n_lines", "n_removed"))]
+    added = [F.coalesce(F.size(all_lines), F.lit(0)).cast("bigint").alias("n_lines"),
+             F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed")]
+    return found.select(*[kept.alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in own],
+                        *added[:2 * counts])
 
 
 def line_dedup_sql(min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> str:

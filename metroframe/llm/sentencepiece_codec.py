@@ -139,7 +139,7 @@ class SentencePieceTable:
         if not text:
             return b""
         parts = text.replace(MARK, " ").split(" ")
-        if "" not in parts[1:]:
+        if "" not in parts:
             return b"".join([self.segments[p] for p in parts])
         out, marks = [], 0
         for p in parts:  # a run of spaces belongs to the word after it

@@ -202,12 +202,11 @@ SELECT CAST(floor(s_suppkey / {PAGE_SIZE}) AS BIGINT) AS page, count(*) AS recor
 WHERE floor(s_suppkey / {PAGE_SIZE}) <> {ERROR_PAGE} GROUP BY 1""")
 def q_set_concat_pages(spark, d):
     """SET-3: the good pages appended into one frame, columns united by name
-    (inferred from all files); one row per page with its record count."""
+    (one explicit schema); one row per page with its record count."""
     path = _xml_pages(spark, d)
     status = XML.status_of_files(spark, path)
     good = status.where(F.col("code") == "INFO-000").select("file")
-    rows = (spark.read.format("xml").option("rowTag", "row").option("recursiveFileLookup", True).load(path)
-            .withColumn("file", F.col("_metadata.file_path")))
+    rows = _read_xml(spark, path).withColumn("file", F.col("_metadata.file_path"))
     kept = rows.join(good, "file", "left_semi")
     return (kept.groupBy(F.floor(F.col("S_SUPPKEY").cast("bigint") / PAGE_SIZE).alias("page"))
             .agg(F.count(F.lit(1)).alias("records")))

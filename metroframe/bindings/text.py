@@ -10,7 +10,6 @@ from metroframe.functions.text import html_to_text, html_to_text_sql, words_join
 from metroframe.operators.aggregates import value_counts
 from metroframe.operators.filters import exclude_words
 from metroframe.plans.keywords import keyword_columns, page_words, top_keywords
-from metroframe.session import spread
 
 STOPS_SQL = ", ".join("'" + w + "'" for w in tb.PAGE_STOP_WORDS)
 WORDS_SQL = f"""
@@ -23,7 +22,7 @@ SELECT page_id, unnest(ws) AS word, CAST(unnest(range(len(ws))) AS INTEGER) AS p
 def q_str_html_text(spark, d):
     """STR-9: visible text of every page (scripts, styles, comments and tags
     removed, named entities decoded)."""
-    p = spread(tb.table(spark, d, "pages"), "page_id")
+    p = tb.table(spark, d, "pages").repartition("page_id")
     return p.select("page_id", html_to_text("html").alias("text"))
 
 
@@ -31,14 +30,14 @@ def q_str_html_text(spark, d):
 SELECT doc_id, array_to_string(regexp_extract_all(text, '{tb.PAGE_WORD}'), ' ') AS words FROM documents""")
 def q_str_extract_all(spark, d):
     """STR-8: every letter run of each whole document, joined by one space."""
-    doc = spread(tb.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    doc = tb.table(spark, d, "documents").select("doc_id", "text").repartition("doc_id")
     return doc.select("doc_id", words_joined("text", tb.PAGE_WORD).alias("words"))
 
 
 @query("flt_stop_words", f"SELECT page_id, pos, word FROM ({WORDS_SQL}) WHERE word NOT IN ({STOPS_SQL})")
 def q_flt_stop_words(spark, d):
     """FLT-4: page words without the 20 stop words (broadcast anti join)."""
-    w = page_words(tb.table(spark, d, "pages"), "page_id", "html", pattern=tb.PAGE_WORD)
+    w = page_words(tb.table(spark, d, "pages").repartition("page_id"), "page_id", "html", pattern=tb.PAGE_WORD)
     return exclude_words(w, "word", tb.PAGE_STOP_WORDS)
 
 
@@ -47,7 +46,7 @@ SELECT page_id, word, count(*) AS n, min(pos) AS first_pos FROM ({WORDS_SQL})
 WHERE word NOT IN ({STOPS_SQL}) GROUP BY page_id, word""")
 def q_agg_value_count(spark, d):
     """AGG-2: occurrences of each word per page, with its first position."""
-    w = exclude_words(page_words(tb.table(spark, d, "pages"), "page_id", "html", pattern=tb.PAGE_WORD),
+    w = exclude_words(page_words(tb.table(spark, d, "pages").repartition("page_id"), "page_id", "html", pattern=tb.PAGE_WORD),
                       "word", tb.PAGE_STOP_WORDS)
     return value_counts(w, ["page_id"], "word", count_col="n", pos="pos", first_pos="first_pos")
 
@@ -56,13 +55,13 @@ def q_agg_value_count(spark, d):
 def q_topk_keywords_per_page(spark, d):
     """TOP-1 (P-5 core): the three most frequent words per page, ties by
     first appearance."""
-    return top_keywords(tb.table(spark, d, "pages"), "page_id", "html", pattern=tb.PAGE_WORD,
+    return top_keywords(tb.table(spark, d, "pages").repartition("page_id"), "page_id", "html", pattern=tb.PAGE_WORD,
                         stop_words=tb.PAGE_STOP_WORDS)
 
 
 @query("topk_to_columns", tb.keyword_columns_sql(names=("keyword_1", "keyword_2", "keyword_3")))
 def q_topk_to_columns(spark, d):
     """TOP-2: ranks 1..3 as keyword columns, null when a page has fewer."""
-    top = top_keywords(tb.table(spark, d, "pages"), "page_id", "html", pattern=tb.PAGE_WORD,
+    top = top_keywords(tb.table(spark, d, "pages").repartition("page_id"), "page_id", "html", pattern=tb.PAGE_WORD,
                        stop_words=tb.PAGE_STOP_WORDS)
     return keyword_columns(top, "page_id", ("keyword_1", "keyword_2", "keyword_3"))

@@ -98,7 +98,24 @@ def html_to_text(c, tag_separator: str = " ") -> Column:
     out = F.regexp_replace(out, HTML_DROP_TAGS, tag_separator)
     for entity, text in HTML_ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(text))
-    return out
+    return F.when(out.rlike(NUMERIC_ENTITY), numeric_entities(out)).otherwise(out)
+
+
+NUMERIC_ENTITY = r"&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
+
+
+def numeric_entities(c: Column) -> Column:
+    """Decimal and hexadecimal character references as characters; an impossible number becomes U+FFFD."""
+    code = F.regexp_extract_all(c, F.lit(NUMERIC_ENTITY), F.lit(1))
+
+    def character(x: Column) -> Column:
+        n = F.when(x.startswith("x"), F.conv(F.substring(x, 2, 6), 16, 10)).otherwise(x).cast("int")
+        bad = n.isNull() | (n < 1) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(n)), 8, "0")), "UTF-32")
+
+    pairs = F.arrays_zip(F.split(c, NUMERIC_ENTITY, -1).alias("gap"), code.alias("code"))
+    return F.array_join(F.transform(pairs, lambda p: F.concat(
+        p["gap"], F.when(p["code"].isNull(), F.lit("")).otherwise(character(p["code"])))), "")
 
 
 def html_to_text_sql(c: str, tag_separator: str = " ") -> str:

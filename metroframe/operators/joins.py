@@ -7,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroframe.session import bounded_broadcast
-
-# Dimensions above this many rows are left to the planner's shuffle joins.
-DIMENSION_MAX_ROWS = 200_000
-
-
 # buckets over which left rows with a null key are spread in a shuffled join
 NULL_KEY_SPREAD = 1024
 
@@ -36,63 +30,46 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_keys: Sequenc
     return l.join(r, cond, "left").drop("__nk_salt", "__nk_rsalt")
 
 
-def left_dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                        max_dim_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+def left_dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """JN-1: left outer equi-join; unmatched rows keep nulls, several matches fan out.
 
-    The dimension is broadcast only once its row count is proven under the
-    bound; otherwise a shuffled join in which null fact keys are spread.
+    The planner broadcasts the dimension from its size statistics or a caller's
+    hint; in a shuffled join null fact keys are spread.
     """
-    from metroframe.session import has_at_most
-
-    if has_at_most(dim, max_dim_rows):
-        d = F.broadcast(dim)
-        return fact.join(d, fact[fact_key] == d[dim_key], "left")
     return left_join_spread_nulls(fact, dim, [fact_key], [dim_key])
 
 
 def prefix_lookup_join(df: DataFrame, id_col: str, lookup: DataFrame, lookup_prefix: str,
-                       value_cols: Sequence[str], length: int = 3,
-                       max_lookup_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+                       value_cols: Sequence[str], length: int = 3) -> DataFrame:
     """JN-2: inner join on the first ``length`` characters of ``id_col``.
 
     Rows whose prefix is missing from the lookup, or whose id is null, drop out
     (the CASE-then-not-null chain of the reference).
     """
-    lk = bounded_broadcast(lookup.select(F.col(lookup_prefix).alias("__prefix"), *value_cols), max_lookup_rows)
+    lk = lookup.select(F.col(lookup_prefix).alias("__prefix"), *value_cols)
     keyed = df.withColumn("__prefix", F.substring(F.col(id_col), 1, length))
     return keyed.join(lk, "__prefix", "inner").drop("__prefix")
 
 
-def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str,
-                  max_broadcast_terms: int = 10_000, gram: int = 3) -> DataFrame:
-    """JN-3: route each row to every term its text contains (a theta join).
+def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str, gram: int = 3) -> DataFrame:
+    """JN-3: route each row to every term its text contains (a theta join), as
+    two equi-joins.
 
-    A term list of proven small size is broadcast into a nested-loop join
-    (rows x terms comparisons, no shuffle). A larger list takes an exact
-    equi-join instead: each term is keyed by its first ``gram`` characters
-    (shorter terms by themselves), each text emits its substrings of those
-    lengths, and ``contains`` is the residual, so only texts sharing a
-    substring with a term are compared with it. Empty and null terms match
-    nothing in either path.
+    Each term is keyed by its first ``gram`` characters (shorter terms by
+    themselves); a text's distinct substrings of those lengths carry only the
+    hash of the text through the shuffle. The (text hash, term) pairs join back to
+    the rows, and ``contains`` decides, so a hash collision cannot add a row.
+    Empty and null terms match nothing; repeated rows are all kept.
     """
-    from metroframe.session import has_at_most
-
     valid = terms.where(F.col(term_col).isNotNull() & (F.length(term_col) > 0))
-    if has_at_most(valid, max_broadcast_terms):
-        return df.join(F.broadcast(valid), F.col(text_col).contains(F.col(term_col)), "inner")
-    keyed = valid.withColumn("__len", F.least(F.length(term_col), F.lit(gram)))
-    keyed = keyed.withColumn("__key", F.substring(term_col, 1, gram))
-    # the distinct (length, substring) pairs of each row, for every length a
-    # term key can have; deduplicated within the row, so repeated rows stay
+    keyed = valid.withColumn("__key", F.substring(term_col, 1, gram))
     t = f"`{text_col}`"
-    per_row = (f"array_distinct(flatten(transform(sequence(1, {gram}), n -> transform("
-               f"sequence(1, greatest(length({t}) - n + 1, 1)), p -> named_struct('l', n, 'k', substring({t}, p, n))))))")
-    grams = df.withColumn("__g", F.explode(F.expr(per_row)))
-    grams = grams.withColumn("__len", F.col("__g.l")).withColumn("__key", F.col("__g.k")).drop("__g")
-    grams = grams.where(F.length("__key") == F.col("__len"))
-    joined = grams.join(keyed, ["__len", "__key"], "inner").where(F.col(text_col).contains(F.col(term_col)))
-    return joined.drop("__len", "__key")
+    per_text = (f"array_distinct(flatten(transform(sequence(1, {gram}), n -> transform("
+                f"sequence(1, greatest(length({t}) - n + 1, 1)), p -> substring({t}, p, n)))))")
+    hashed = df.withColumn("__text", F.xxhash64(F.col(text_col)))
+    grams = hashed.where(F.col(text_col).isNotNull()).select("__text", F.explode(F.expr(per_text)).alias("__key")).distinct()
+    found = grams.join(keyed, "__key").drop("__key")
+    return hashed.join(found, "__text").where(F.col(text_col).contains(F.col(term_col))).drop("__text")
 
 
 def month_grid(start_month, end_month, keys: DataFrame) -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroframe.session import spread
-
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
                     rank_col: str = "rank") -> DataFrame:
@@ -41,8 +39,5 @@ def drop_duplicates_stable(df: DataFrame, keys: Sequence[str], order: Sequence[C
     so reruns give the same output."""
     if order is None:
         order = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
-    # a narrow input is hash-partitioned by the window's own keys, which the
-    # window then reuses (no extra shuffle); a wide one is left as it is
-    df = spread(df, *keys)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")

@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metroframe.functions.geo import EARTH_RADIUS_M, haversine_m, haversine_sql, lat_step_deg
-from metroframe.operators.joins import left_join_spread_nulls
 
 
 class Grid:
@@ -190,13 +189,14 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     counts = names.groupBy("__d", "__lat", "__lon").agg(*[
         F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).cast("int").alias(out) for k, out in kinds.items()
     ])
-    # Rows without a district or a coordinate (every book row, say) never
-    # match; the join spreads them instead of hashing them by district alone.
-    joined = left_join_spread_nulls(entities, counts, [district, lat, lon], ["__d", "__lat", "__lon"])
-    return joined.select(
-        *[F.col(c) for c in entities.columns],
-        *[F.coalesce(F.col(out), F.lit(0)).alias(out) for out in kinds.values()],
-    )
+    # rows without a district or a coordinate (every book row, say) never match and take no part in the join
+    placed = F.col(district).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    own = [F.col(c) for c in entities.columns]
+    here = entities.where(placed)
+    joined = here.join(counts, (here[district] == counts["__d"]) & (here[lat] == counts["__lat"])
+                       & (here[lon] == counts["__lon"]), "left")
+    return joined.select(*own, *[F.coalesce(F.col(out), F.lit(0)).alias(out) for out in kinds.values()]).unionByName(
+        entities.where(~placed).select(*own, *[F.lit(0).alias(out) for out in kinds.values()]))
 
 
 def correlated_count_sql(entity_view: str, facility_cells_view: str, *, keys: Sequence[str], district: str,

@@ -11,6 +11,7 @@ folders of any Hadoop-compatible store.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metroframe import constants as K
@@ -23,15 +24,19 @@ from metroframe.schemas import BEST_LOAN_RAW
 from metroframe.sinks.files import write_csv, write_parquet
 from metroframe.sources.csv import read_csv_charset
 from metroframe.sources.snapshot import read_latest_snapshot
-from metroframe.streaming.ingest import incremental_ingest
+from metroframe.streaming.ingest import incremental_ingest, reset_ingest
 
 # P-1 -------------------------------------------------------------------------------
 LOAN_PARTITIONS = ["bll_district", "bll_year", "bll_month"]
 
 
-def best_loan_job(spark: SparkSession, raw_path: str, curated_path: str, checkpoint_path: str) -> int:
+def best_loan_job(spark: SparkSession, raw_path: str, curated_path: str, checkpoint_path: str,
+                  reset: bool = False) -> int:
     """New district/year/month files only (the checkpoint replaces the job
-    bookmark); returns the number of rows ingested by this run."""
+    bookmark); returns the number of rows ingested by this run. ``reset``
+    ingests every file again."""
+    if reset:
+        reset_ingest(spark, curated_path, checkpoint_path)
     schema = T.StructType(BEST_LOAN_RAW.fields + [T.StructField(c, T.StringType()) for c in ("district", "year", "month")])
     return incremental_ingest(spark, raw_path, schema, curated_path, checkpoint_path,
                               partition_by=LOAN_PARTITIONS, transform=C.build_best_loans)
@@ -65,12 +70,15 @@ def event_keyword_job(spark: SparkSession, parse_path: str, pages: DataFrame, in
     """Latest event snapshot + the home pages (a table of url, html) -> the
     three top keywords per event, written as CSV by request_date/district.
 
-    The pages are joined on the event's HMPG_ADDR; events without a page, or
-    with a null address, keep null keywords.
+    Only pages that an event names in HMPG_ADDR are read into words, one page per
+    address (the least html); events without a page, or with a null address, keep
+    null keywords.
     """
     events = read_latest_snapshot(spark, parse_path, "csv")
-    page_kw = keyword_columns(top_keywords(pages.select(url_col, html_col), url_col, html_col, pattern=pattern),
-                              url_col)
+    asked = events.select(F.col("HMPG_ADDR").alias(url_col)).where("HMPG_ADDR is not null").distinct()
+    own = pages.select(url_col, html_col).join(asked, url_col, "left_semi") \
+        .groupBy(url_col).agg(F.min(html_col).alias(html_col))
+    page_kw = keyword_columns(top_keywords(own, url_col, html_col, pattern=pattern), url_col)
     out = left_join_spread_nulls(events, page_kw, ["HMPG_ADDR"], [url_col]).drop(url_col)
     write_csv(out, info_path, ["request_date", "district"])
 

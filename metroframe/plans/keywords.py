@@ -19,7 +19,6 @@ from metroframe.functions.text import html_to_text, words
 from metroframe.operators.aggregates import value_counts
 from metroframe.operators.filters import exclude_words
 from metroframe.operators.ranking import ranks_to_columns, top_k_per_group
-from metroframe.session import spread
 
 
 def page_words(pages: DataFrame, id_col: str, html_col: str, *, pattern: str = K.HANGUL_WORD,
@@ -32,7 +31,7 @@ def page_words(pages: DataFrame, id_col: str, html_col: str, *, pattern: str = K
     """
     text = html_to_text(F.col(html_col), tag_separator)
     tokens = tokenizer(text) if tokenizer is not None else words(text, pattern)
-    src = spread(pages.where(F.col(html_col).isNotNull()).select(id_col, html_col), id_col)
+    src = pages.where(F.col(html_col).isNotNull()).select(id_col, html_col)
     return src.select(F.col(id_col), F.posexplode(tokens).alias("pos", "word"))
 
 
@@ -51,13 +50,3 @@ def top_keywords(pages: DataFrame, id_col: str, html_col: str, *, pattern: str =
 def keyword_columns(top: DataFrame, id_col: str, names: Sequence[str] = ("Keyword_1", "Keyword_2", "Keyword_3")) -> DataFrame:
     """TOP-2: one row per page, keyword i in column names[i-1], null when fewer."""
     return ranks_to_columns(top, [id_col], "rank", "word", names)
-
-
-def attach_keywords(events: DataFrame, event_key: str, pages: DataFrame, page_key: str, html_col: str, *,
-                    names: Sequence[str] = ("Keyword_1", "Keyword_2", "Keyword_3"), **kw) -> DataFrame:
-    """Add the keyword columns to every event row (left join on the page key);
-    events without a page keep null keywords."""
-    from metroframe.operators.joins import left_join_spread_nulls
-
-    cols = keyword_columns(top_keywords(pages, page_key, html_col, **kw), page_key, names)
-    return left_join_spread_nulls(events, cols, [event_key], [page_key]).drop(page_key)

@@ -1,13 +1,13 @@
-"""Session construction, shared scratch locations and size-checked broadcast."""
+"""Session construction and shared scratch locations."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings for sessions started by this repository's own tools (tests, bench,
 # scripts). Library functions take any session; a cluster deployment keeps
@@ -51,8 +51,10 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a local test) is a folder made here and
-    registered as the checkpoint directory, so later calls agree on it.
+    Only when the session has none and runs in local mode is a folder made here
+    and registered as the checkpoint directory, so later calls agree on it; on a
+    cluster a machine-local folder would be lost to the other machines, so the
+    setting is required there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
@@ -61,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             configured = os.path.dirname(current.rstrip("/"))
     if not configured:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="metroframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -84,38 +88,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def unique_name(prefix: str) -> str:
     """A catalog-safe unique table name."""
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap whatever the
-    size of the input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after proving the side is small.
-
-    Beyond the bound the plain DataFrame is returned and the planner keeps a
-    shuffle join (sort-merge or shuffled hash), which scales with the data.
-    """
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a narrow input by ``keys`` before CPU-heavy per-row work.
-
-    A large input already arrives in many splits and is returned unchanged;
-    only an input read as fewer partitions than the cluster has cores (one
-    big Parquet row group, say) is spread, at the cost of one shuffle of it.
-    """
-    sc = _context(df.sparkSession)
-    if sc is None:  # Spark Connect: no partition count to read; leave it to the planner
-        return df
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    cols = [F.col(k) for k in keys]
-    return df.repartition(target, *cols) if cols else df.repartition(target)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,13 +18,25 @@ def _clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite",
                   cluster: bool = True, compression: str = "snappy") -> None:
-    """SNK-1 (overwrite) / SNK-3 (full refresh): the write replaces the
-    folder only after the plan has run, so a failed job leaves the old data."""
+    """SNK-1 (overwrite) / SNK-3 (full refresh): an overwrite goes to a folder
+    beside ``path`` and takes its place only after the job has committed, so a
+    failed job leaves the old data."""
     out = _clustered(df, partition_by) if cluster else df
-    w = out.write.mode(mode).option("compression", compression)
+    w = out.write.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if mode != "overwrite":
+        w.mode(mode).parquet(path)
+        return
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    w.parquet(fresh)
+    spark = df.sparkSession
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(new, old):
+        raise OSError(f"the new data stay in {fresh}: it could not be renamed to {path}")
 
 
 def append_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, cluster: bool = True) -> None:
@@ -45,7 +58,8 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mod
     """
     out = _clustered(df, partition_by)
     w = (out.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
-         .option("encoding", "UTF-8").option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+         .option("encoding", "UTF-8").option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -69,4 +83,5 @@ def write_csv_charset(df: DataFrame, path: str, encoding: str = "CP949", *, mode
     from metroframe.sources.csv import legacy_charsets
 
     with legacy_charsets(df.sparkSession):
-        df.write.mode(mode).option("header", True).option("encoding", encoding).csv(path)
+        df.write.mode(mode).option("header", True).option("encoding", encoding) \
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

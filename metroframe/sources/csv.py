@@ -18,11 +18,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
     ``multiline`` keeps quoted line breaks inside one record (a file is then
     read by one task: such files are not splittable). With no ``schema`` and
-    ``infer`` off every column is a string, as in the raw tables.
+    ``infer`` off every column is a string, as in the raw tables. A file whose
+    header differs from the schema in names or order fails the read instead of
+    having its columns taken by position.
     """
     reader = (spark.read.option("header", True).option("sep", ",").option("quote", '"')
               .option("escape", '"').option("multiLine", multiline).option("encoding", encoding)
-              .option("mode", "PERMISSIVE").option("timestampNTZFormat", TIMESTAMP_TEXT))
+              .option("mode", "PERMISSIVE").option("enforceSchema", False).option("timestampNTZFormat", TIMESTAMP_TEXT))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if schema is not None:

@@ -13,12 +13,13 @@ from metroframe.sources.csv import read_csv
 
 def read_partitioned(spark: SparkSession, path: str, fmt: str = "csv",
                      schema: T.StructType | None = None,
-                     partition_types: dict[str, str] | None = None) -> DataFrame:
+                     partition_types: dict[str, str] | None = None, folder: str | None = None) -> DataFrame:
     """Read a Hive-style ``key=value`` folder with partition discovery.
 
     Partition columns keep the given types (default string: ``request_date``
     is 'yyMMdd' text, and inference would turn '240105' into an int and lose
-    leading zeros).
+    leading zeros). With ``folder`` only that part of ``path`` is read, so a CSV
+    header comes from its files alone.
     """
     full = None
     if schema is not None:
@@ -28,12 +29,12 @@ def read_partitioned(spark: SparkSession, path: str, fmt: str = "csv",
     if fmt == "csv":
         if full is None:
             reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            reader = reader.option("basePath", path)
+            reader = reader.option("basePath", path).option("enforceSchema", False)
             spark_conf_key = "spark.sql.sources.partitionColumnTypeInference.enabled"
             old = spark.conf.get(spark_conf_key)
             spark.conf.set(spark_conf_key, "false")
             try:
-                df = reader.csv(path)
+                df = reader.csv(folder or path)
                 df.schema
             finally:
                 spark.conf.set(spark_conf_key, old)
@@ -42,7 +43,7 @@ def read_partitioned(spark: SparkSession, path: str, fmt: str = "csv",
     reader = spark.read.format(fmt)
     if full is not None:
         reader = reader.schema(full)
-    return reader.load(path)
+    return reader.option("basePath", path).load(folder or path)
 
 
 @contextmanager
@@ -77,11 +78,13 @@ def read_latest_snapshot(spark: SparkSession, path: str, fmt: str = "csv",
     """SRC-4: the rows of the latest snapshot only.
 
     The max is found over all partitions (not only a first listing page), then
-    the scan is filtered by a constant so that ``PartitionFilters`` prune
-    every other snapshot's files.
+    its folder alone is read: neither the files nor the headers of other
+    snapshots play a part. Files of one snapshot must agree in their header.
     """
     df = read_partitioned(spark, path, fmt, schema, {col: "string"})
     latest = latest_value(df.select(col), col)
     if latest is None:
         raise ValueError(f"no {col}= partition under {path}")
+    if schema is None:
+        df = read_partitioned(spark, path, fmt, schema, {col: "string"}, folder=f"{path}/{col}={latest}")
     return df.where(F.col(col) == F.lit(latest))

@@ -28,7 +28,7 @@ def status_of_files(spark: SparkSession, path: str) -> DataFrame:
     small however many pages there are; the files are spread over tasks.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
-        F.col("path").alias("file"), F.decode(F.col("content"), "UTF-8").alias("__xml"))
+        F.col("_metadata.file_path").alias("file"), F.decode(F.col("content"), "UTF-8").alias("__xml"))
     code = F.coalesce(
         F.nullif(F.xpath_string("__xml", F.lit("//RESULT/CODE")), F.lit("")),
         F.nullif(F.xpath_string("__xml", F.lit("//CODE")), F.lit("")))

@@ -14,14 +14,30 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 
+MAX_FILE_AGE = "36500d"  # the source's default of a week would skip older files
+PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+MAX_BATCHES = 1_000_000
+
+
+def reset_ingest(spark: SparkSession, sink_path: str, checkpoint_path: str) -> None:
+    """Forget what was ingested: the next run takes every file again into an empty sink."""
+    for path in (sink_path, checkpoint_path):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def incremental_ingest(spark: SparkSession, source_path: str, schema: T.StructType, sink_path: str,
                        checkpoint_path: str, *, fmt: str = "csv", partition_by: Sequence[str] = (),
                        options: dict[str, str] | None = None, transform=None,
                        max_files_per_trigger: int | None = None) -> int:
-    """Run one AvailableNow pass; returns the number of input rows it took."""
+    """Run one AvailableNow pass; returns the number of input rows it took.
+
+    A file counts as new whatever its modification time (back-dated copies too),
+    and the count covers all batches of the run.
+    """
     opts = {"header": "true", "multiLine": "true", "escape": '"'} if fmt == "csv" else {}
     opts.update(options or {})
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", MAX_FILE_AGE)
     for k, v in opts.items():
         reader = reader.option(k, v)
     if max_files_per_trigger:
@@ -33,8 +49,14 @@ def incremental_ingest(spark: SparkSession, source_path: str, schema: T.StructTy
               .trigger(availableNow=True).outputMode("append"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(sink_path)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    # the session keeps a hundred batches' progress unless told to keep all
+    old = spark.conf.get(PROGRESS, None)
+    spark.conf.set(PROGRESS, str(MAX_BATCHES))
+    try:
+        query = writer.start(sink_path)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    finally:
+        spark.conf.unset(PROGRESS) if old is None else spark.conf.set(PROGRESS, old)

@@ -41,8 +41,9 @@ def test_entry_runs(spark):
 
 
 def _names():
-    from metroframe.bindings import QUERIES
+    from metroframe.bindings import QUERIES, load_all
 
+    load_all()
     return sorted(QUERIES)
 
 

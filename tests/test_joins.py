@@ -1,13 +1,15 @@
 """Both paths of the dimension join agree, null keys included."""
 
+from pyspark.sql import functions as F
+
 from metroframe.operators.joins import left_dimension_join, left_join_spread_nulls
 
 
 def test_dimension_join_paths_agree(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, None), (5, "z"), (5, "z")], "id int, k string")
     dim = spark.createDataFrame([("a", "X"), ("b", "Y"), ("b", "Y2")], "dk string, v string")
-    small = left_dimension_join(fact, dim, "k", "dk")
-    large = left_dimension_join(fact, dim, "k", "dk", max_dim_rows=0)  # forces the shuffled path
+    small = left_dimension_join(fact, F.broadcast(dim), "k", "dk")
+    large = left_dimension_join(fact, dim.hint("merge"), "k", "dk")
     rows = lambda df: sorted((r["id"], r["k"], r["v"]) for r in df.collect())
     assert rows(small) == rows(large)
     assert rows(large) == [(1, "a", "X"), (2, "b", "Y"), (2, "b", "Y2"), (3, None, None), (4, None, None),

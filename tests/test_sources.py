@@ -88,15 +88,15 @@ def test_partition_copy_keeps_other_partitions(spark, tmp_dir):
     assert got == [(1, "A"), (8, "C")]
 
 
-def test_contains_join_gram_path_equals_broadcast_path(spark):
+def test_contains_join_equals_nested_loop(spark):
     from metroframe.operators.joins import contains_join
 
     texts = spark.createDataFrame([(1, "cold anvil"), (2, "red widget"), (3, "hot rod"), (4, None), (5, "aa"),
                                    (6, "red red"), (6, "red red")], "id int, s string")
     terms = spark.createDataFrame([("old",), ("red",), ("d",), ("anvil",), ("",), (None,), ("a",), ("aa",), ("zz",)],
                                   "t string")
-    small = contains_join(texts, "s", terms, "t")
-    large = contains_join(texts, "s", terms, "t", max_broadcast_terms=1)
+    small = texts.join(terms.where("t <> ''"), texts.s.contains(terms.t))
+    large = contains_join(texts, "s", terms, "t")
     got = sorted(tuple(r) for r in large.select("id", "t").collect())
     assert got == sorted(tuple(r) for r in small.select("id", "t").collect())
     assert (1, "old") in got and (1, "d") in got and (3, "d") in got and (5, "a") in got and (5, "aa") in got
@@ -113,3 +113,67 @@ def test_partition_column_in_path_wins_over_file_column(spark, tmp_dir):
     r = df.first()
     assert (r["libName"], r["district"], r["request_date"]) == ("도서관", "강남구", "240601")
     assert dict(df.dtypes)["request_date"] == "string"  # '240601' stays text
+
+
+def _csv(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_latest_snapshot_ignores_other_headers(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "stops")
+    _csv(f"{base}/request_date=240101/a.csv", "NAME,ID,LAT\nold,1,37.0\n")
+    _csv(f"{base}/request_date=240201/a.csv", "ID,NAME,LAT\n122000001,new,37.5\n")
+    r = SNAP.read_latest_snapshot(spark, base, "csv").first()
+    assert (r["ID"], r["NAME"], r["LAT"], r["request_date"]) == ("122000001", "new", "37.5", "240201")
+
+
+def test_csv_with_another_header_order_fails_instead_of_swapping(spark, tmp_dir):
+    import pytest
+
+    from metroframe.sources.csv import read_csv
+
+    _csv(os.path.join(tmp_dir, "x", "a.csv"), "b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, os.path.join(tmp_dir, "x"), "a string, b string").collect()
+
+
+def test_csv_keeps_padding(spark, tmp_dir):
+    from metroframe.sinks.files import write_csv
+    from metroframe.sources.csv import read_csv
+
+    path = os.path.join(tmp_dir, "pad")
+    write_csv(spark.createDataFrame([("  padded  ",)], "s string"), path)
+    assert read_csv(spark, path).first()["s"] == "  padded  "
+
+
+def test_failed_refresh_keeps_old_rows(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from metroframe.sinks.files import write_parquet
+
+    path = os.path.join(tmp_dir, "table")
+    write_parquet(spark.range(3), path)
+    with pytest.raises(Exception):
+        write_parquet(spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    write_parquet(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_xml_gate_with_blanks_in_the_path(spark, tmp_dir):
+    from metroframe.sources.xml import read_xml_gated
+
+    _csv(f"{tmp_dir}/with blank/강남/a.xml", "<r><RESULT><CODE>INFO-000</CODE></RESULT><row><A>1</A></row></r>")
+    _csv(f"{tmp_dir}/with blank/b.xml", "<r><CODE>ERROR-500</CODE></r>")
+    rows, rejects = read_xml_gated(spark, tmp_dir, "row", spark.createDataFrame([], "A string").schema)
+    assert [r["A"] for r in rows.collect()] == ["1"] and [r["code"] for r in rejects.collect()] == ["ERROR-500"]
+
+
+def test_numeric_entities(spark):
+    from metroframe.functions.text import html_to_text
+
+    df = spark.createDataFrame([("&#49436;&#xC11C;점&amp;&#0;&#x1F600;.",), ("plain",), (None,)], "h string")
+    assert [r[0] for r in df.select(html_to_text("h")).collect()] == ["서서점&\ufffd\U0001f600.", "plain", None]

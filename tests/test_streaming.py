@@ -21,3 +21,23 @@ def test_incremental_ingest(spark, tmp_dir):
     back = spark.read.parquet(sink)
     assert back.count() == 5
     assert sorted(r["bookname"] for r in back.collect()) == ["책1", "책2", "책3", "책4", "책5"]
+
+
+def test_back_dated_files_many_batches_and_reset(spark, tmp_dir):
+    from metroframe.streaming.ingest import reset_ingest
+
+    land, sink, ckpt = (os.path.join(tmp_dir, n) for n in ("land", "sink", "ckpt"))
+    os.makedirs(land)
+    schema = spark.createDataFrame([], "a string").schema
+    for k in range(103):
+        with open(os.path.join(land, f"{k}.csv"), "w") as f:
+            f.write(f"a\n{k}\n")
+    assert incremental_ingest(spark, land, schema, sink, ckpt, max_files_per_trigger=1) == 103
+    path = os.path.join(land, "old.csv")
+    with open(path, "w") as f:
+        f.write("a\nold\n")
+    os.utime(path, (1_000_000_000, 1_000_000_000))
+    assert incremental_ingest(spark, land, schema, sink, ckpt) == 1
+    reset_ingest(spark, sink, ckpt)
+    assert incremental_ingest(spark, land, schema, sink, ckpt) == 104
+    assert spark.read.parquet(sink).count() == 104

@@ -29,32 +29,48 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroframe.llm.common import written
+from metroframe.llm import vectext as V
+from metroframe.llm.common import slices, written
 from metroframe.session import scratch_path
 
-PIECES = 500_000  # pieces a worker remembers
+PIECES = 1_000_000  # pieces a worker remembers
 BLOCK_IDS = 1 << 20
 FILE_IDS = 16 << 20
-YIELD_BYTES = 8 << 20
 
 
 class _Pieces(dict):
     """Ids, as little-endian 16- or 32-bit numbers, of a piece; None if it cannot stand alone."""
 
-    def __init__(self, tokenizer, width: str, lead: str):
-        self.tokenizer, self.width, self.lead = tokenizer, width, lead
+    def __init__(self, tokenizer, width: str, lead: str, mark: tuple[str, int] | None):
+        self.tokenizer, self.width, self.lead, self.mark = tokenizer, width, lead, mark
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
-    def __missing__(self, key: str) -> bytes | None:
-        safe = key and not key[0].isspace() and not key[-1].isspace()
-        out = self.ids(self.lead + key) if safe else None
-        if len(self) >= PIECES:
+    def learn(self, keys: set[str]) -> None:
+        """Encode the pieces not met before in one call, each as a word of its own."""
+        new = [k for k in keys if k not in self]
+        if len(self) + len(new) > PIECES:
             self.clear()
-        if len(key) < 64:
-            self[key] = out
-        return out
+            new = list(keys)
+        whole = [k for k in new if self.mark and self.mark[0] not in k]
+        for k in range(0, len(whole), 20_000):
+            part = whole[k:k + 20_000]
+            # a special token after each piece tells where its ids end
+            row = [x for p in part for x in (self.lead + p, self.mark[0])]
+            ids = np.array(self.tokenizer.encode_batch_fast([row], is_pretokenized=True, add_special_tokens=False)[0].ids,
+                           self.width)
+            ends = np.flatnonzero(ids == self.mark[1]).tolist()
+            raw, each, at = ids.tobytes(), ids.itemsize, 0
+            for p, end in zip(part, ends, strict=True):
+                self[p] = raw[at * each:end * each]
+                at = end + 1
+        for p in new:
+            if p not in self:
+                self[p] = self.ids(self.lead + p)
+        for p in new:
+            if not p or p[0].isspace() or p[-1].isspace():
+                self[p] = None
 
 
 class Encoder:
@@ -73,17 +89,24 @@ class Encoder:
                                                             for t in kind["added_tokens"])
         self.size = tok.get_vocab_size()
         self.width = "<u2" if self.size <= 1 << 16 else "<u4"
-        self.first, self.next = _Pieces(tok, self.width, ""), _Pieces(tok, self.width, " ")
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.splits:
-            head, *rest = text.split(" ")
-            out = [self.first[head], *[self.next[p] for p in rest]]
-            if None not in out:
-                return b"".join(out)
-        return self.first.ids(text)
+        mark = next(((t["content"], t["id"]) for t in kind["added_tokens"] if t["special"] and t["content"]), None)
+        self.first, self.next = _Pieces(tok, self.width, "", mark), _Pieces(tok, self.width, " ", mark)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.splits:
+            return [self.first.ids(t) if t else b"" for t in texts]
+        split = [t.split(" ") for t in texts]
+        heads = {p[0] for p in split}
+        rest = set()
+        for p in split:
+            rest.update(p[1:])
+        self.first.learn(heads)
+        self.next.learn(rest)
+        first, after, out = self.first, self.next, []
+        for t, p in zip(texts, split, strict=True):
+            own = [first[p[0]], *[after[x] for x in p[1:]]]
+            out.append(b"" if not t else self.first.ids(t) if None in own else b"".join(own))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -102,15 +125,13 @@ def tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_
         end = np.array([end_id], enc.width).tobytes()
         each = len(end)
         for b in batches:
-            out, size, at = [], 0, 0
-            for n, text in enumerate(b.column(1)):
-                out.append(enc.encode(text.as_py() or "") + end)
-                size += len(out[-1])
-                if size >= YIELD_BYTES or n + 1 == b.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(at, len(out)), pa.array([len(o) // each for o in out], pa.int64()),
-                         pa.array(out, pa.binary())], names=["doc_id", "n", "ids"])
-                    out, size, at = [], 0, n + 1
+            _, at = V.buffer(b.column(1))
+            for i, j in slices(at):
+                texts = [t or "" for t in b.column(1).slice(i, j - i).to_pylist()]
+                out = [own + end for own in enc.encode(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array([len(o) // each for o in out], pa.int64()),
+                     pa.array(out, pa.binary())], names=["doc_id", "n", "ids"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, n bigint, ids binary")

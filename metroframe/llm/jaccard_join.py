@@ -12,11 +12,12 @@ Block counts go by size bands [2**k, 2**(k+1)); a set within a factor 1.25 of
 the next band emits keys there too, so each similar pair meets in one band. A
 set with too few non-empty blocks emits all of them and its smallest shingles.
 
-Keys are joined through pivots: each set of a bucket is compared with a few of
+Keys are joined through pivots: each set of a bucket is compared with two of
 the bucket's only, exactly, after a Hamming test of a 512-bit sketch: its smallest set, the
-same over many buckets, and some that hashes of key and set pick, which tie together groups
-of near copies around the limit, not all of them linked with the smallest. Then pairs of a bucket that are in different components are compared, so no
-link between components is lost and near copies never give all pairs.
+same over many buckets, and one that a hash of key and set picks, another in each, which ties
+together groups of near copies around the limit, not all of them linked with the smallest.
+Then pairs of a bucket that are in different components are compared, so no link between
+components is lost and few near copies are left to be paired.
 
 Equal sets share a 64-bit id; two different sets get the same one with a
 probability of 2**-64 a pair.
@@ -43,7 +44,6 @@ from metroframe.llm.common import bit_filter, components, may_hold, slices, writ
 
 K = 5
 SKETCH_WORDS = 8  # 512 bits
-PIVOTS = 3  # sets of a bucket that hashes pick as pivots, besides the smallest
 SEEN_LIMIT = 200_000  # ids a task remembers to emit a copy's keys once; only spares work
 U = np.uint64
 
@@ -207,9 +207,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = written(docs.mapInArrow(_keys, "key bigint, sid bigint")
                       .withColumn("pivot", F.first("sid").over(bucket))
                       .filter("sid <> pivot").distinct(), "jaccard_buckets")
-    picked = buckets.groupBy("key").agg(F.array_distinct(F.array(*(
-        F.min_by("sid", F.xxhash64(F.lit(k), "key", "sid")) for k in range(PIVOTS)))).alias("picked"))
-    spread = (buckets.join(picked, "key").select("sid", F.explode("picked").alias("p")).filter("sid <> p")
+    picked = buckets.groupBy("key").agg(F.min_by("sid", F.xxhash64("key", "sid")).alias("p"))
+    spread = (buckets.join(picked, "key").filter("sid <> p")
               .select(F.least("sid", "p").alias("x"), F.greatest("sid", "p").alias("y")))
     star = buckets.select(F.col("pivot").alias("x"), F.col("sid").alias("y")).union(spread).distinct()
     star = star.join(_side(info, "x"), "x").join(_side(info, "y"), "y").filter(_may_link(percent))

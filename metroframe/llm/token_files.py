@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,39 +39,62 @@ BLOCK_IDS = 1 << 20
 FILE_IDS = 16 << 20
 
 
-class _Pieces(dict):
-    """Ids, as little-endian 16- or 32-bit numbers, of a piece; None if it cannot stand alone."""
-
-    def __init__(self, tokenizer, width: str, lead: str, mark: tuple[str, int] | None):
-        self.tokenizer, self.width, self.lead, self.mark = tokenizer, width, lead, mark
-
-    def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
-
-    def learn(self, keys: set[str]) -> None:
-        """Encode the pieces not met before in one call, each as a word of its own."""
-        new = [k for k in keys if k not in self]
-        if len(self) + len(new) > PIECES:
-            self.clear()
-            new = list(keys)
-        whole = [k for k in new if self.mark and self.mark[0] not in k]
-        for k in range(0, len(whole), 20_000):
-            part = whole[k:k + 20_000]
-            # a special token after each piece tells where its ids end
-            row = [x for p in part for x in (self.lead + p, self.mark[0])]
-            ids = np.array(self.tokenizer.encode_batch_fast([row], is_pretokenized=True, add_special_tokens=False)[0].ids,
-                           self.width)
-            ends = np.flatnonzero(ids == self.mark[1]).tolist()
-            raw, each, at = ids.tobytes(), ids.itemsize, 0
-            for p, end in zip(part, ends, strict=True):
-                self[p] = raw[at * each:end * each]
-                at = end + 1
-        for p in new:
-            if p not in self:
-                self[p] = self.ids(self.lead + p)
-        for p in new:
-            if not p or p[0].isspace() or p[-1].isspace():
-                self[p] = None
+class _Pieces:
+    """Ids of the pieces met so far, in one array; a piece has a slot: where its ids start, and how many."""
+
+    def __init__(self, tokenizer, width: str, lead: str):
+        self.tokenizer, self.width, self.lead = tokenizer, width, lead
+        # the ids that begin with a space: where pieces are joined by spaces, they tell the pieces apart
+        spaced = [i for t, i in tokenizer.get_vocab().items() if t.startswith("\u0120")]
+        self.opens = np.zeros(max(tokenizer.get_vocab_size(), 1 + max(spaced, default=0)), bool)
+        self.opens[spaced] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.pool, self.starts, self.sizes = np.zeros(1 << 16, self.width), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = 0
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.each([text])[0]
+
+    def each(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, self.width) for f in found]
+
+    def slots(self, keys: list[str]) -> np.ndarray:
+        """The slot of each piece, -1 for one that cannot stand alone; new ones are encoded in one call."""
+        new = [k for k in dict.fromkeys(keys) if k not in self.slot]
+        if new and len(self.slot) + len(new) > PIECES:
+            self.forget()
+            new = list(dict.fromkeys(keys))
+        for k in range(0, len(new), 20_000):
+            self._learn(new[k:k + 20_000])
+        return np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
+
+    def _learn(self, part: list[str]) -> None:
+        alone = [p for p in part if p and not p[0].isspace() and not p[-1].isspace()]
+        if len(alone) < len(part):
+            self.slot.update(dict.fromkeys(set(part).difference(alone), -1))
+        if not alone:
+            return
+        if self.lead:
+            ids = self.ids(self.lead + self.lead.join(alone))
+            at = np.flatnonzero(self.opens[ids])
+        if not self.lead or len(at) != len(alone) or at[0]:
+            own = self.each([self.lead + p for p in alone])
+            ids = np.concatenate(own)
+            at = np.cumsum([0, *[len(o) for o in own[:-1]]])
+        first, size = len(self.slot), np.diff(at, append=len(ids))
+        end = first + len(alone)
+        if end > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros(end, np.int64)]) for x in (self.starts, self.sizes))
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(self.used + len(ids), self.width)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.starts[first:end], self.sizes[first:end] = at + self.used, size
+        self.slot.update(zip(alone, range(first, end), strict=True))
+        self.used += len(ids)
 
 
 class Encoder:
@@ -89,24 +113,40 @@ class Encoder:
                                                             for t in kind["added_tokens"])
         self.size = tok.get_vocab_size()
         self.width = "<u2" if self.size <= 1 << 16 else "<u4"
-        mark = next(((t["content"], t["id"]) for t in kind["added_tokens"] if t["special"] and t["content"]), None)
-        self.first, self.next = _Pieces(tok, self.width, "", mark), _Pieces(tok, self.width, " ", mark)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.splits:
-            return [self.first.ids(t) if t else b"" for t in texts]
-        split = [t.split(" ") for t in texts]
-        heads = {p[0] for p in split}
-        rest = set()
-        for p in split:
-            rest.update(p[1:])
-        self.first.learn(heads)
-        self.next.learn(rest)
-        first, after, out = self.first, self.next, []
-        for t, p in zip(texts, split, strict=True):
-            own = [first[p[0]], *[after[x] for x in p[1:]]]
-            out.append(b"" if not t else self.first.ids(t) if None in own else b"".join(own))
-        return out
+        self.first, self.next = _Pieces(tok, self.width, ""), _Pieces(tok, self.width, " ")
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with ``end`` after it; how many ids each text has). Texts are not null."""
+        n = len(texts)
+        lists = pc.split_pattern(texts, " ")
+        at = lists.offsets.to_numpy().astype(np.int64)
+        at, flat = at - at[0], lists.flatten()
+        start, size = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
+        whole = np.ones(n, bool)
+        if self.splits:
+            found = flat.dictionary_encode()
+            place, keys = found.indices.to_numpy(), found.dictionary.to_pylist()
+            slot = self.next.slots(keys)[place]
+            start, size = self.next.starts[slot], self.next.sizes[slot]
+            head = self.first.slots([keys[k] for k in place[at[:-1]]])
+            slot[at[:-1]] = head
+            start[at[:-1]], size[at[:-1]] = self.first.starts[head] + self.next.used, self.first.sizes[head]
+            whole = np.logical_or.reduceat(slot < 0, at[:-1]) if n else whole
+        # a text with a piece that cannot stand alone is encoded whole, in the place of its first piece
+        own, used = [], self.next.used + self.first.used
+        for k in np.flatnonzero(whole):
+            ids = self.first.ids(texts[int(k)].as_py()) if len(texts[int(k)].as_py()) else np.zeros(0, self.width)
+            size[at[k]:at[k + 1]] = 0
+            start[at[k]], size[at[k]] = used, len(ids)
+            own.append(ids)
+            used += len(ids)
+        pool = np.concatenate([self.next.pool[:self.next.used], self.first.pool[:self.first.used], *own,
+                               np.array([end], self.width)])
+        start, size = np.insert(start, at[1:], used), np.insert(size, at[1:], 1)
+        done = np.cumsum(size)
+        place = np.repeat(start - (done - size), size)
+        place += np.arange(len(place))
+        return pool[place], np.diff(done[at[1:] + np.arange(n)], prepend=0)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -122,16 +162,15 @@ def tokens(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_
     """doc_id, n (ids with the end id), ids (binary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder_of(tokenizer_path)
-        end = np.array([end_id], enc.width).tobytes()
-        each = len(end)
         for b in batches:
             _, at = V.buffer(b.column(1))
-            for i, j in slices(at):
-                texts = [t or "" for t in b.column(1).slice(i, j - i).to_pylist()]
-                out = [own + end for own in enc.encode(texts)]
+            for i, j in slices(at, 8 << 20):
+                ids, n = enc.encode(b.column(1).slice(i, j - i).fill_null(""), end_id)
+                ends = np.concatenate([[0], np.cumsum(n) * ids.itemsize]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array([len(o) // each for o in out], pa.int64()),
-                     pa.array(out, pa.binary())], names=["doc_id", "n", "ids"])
+                    [b.column(0).slice(i, j - i), pa.array(n, pa.int64()),
+                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(ids)])],
+                    names=["doc_id", "n", "ids"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, n bigint, ids binary")
@@ -204,23 +243,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     shared = spark.sparkContext.broadcast(rank_of)
     files = max(1, -(-(table.agg(F.sum("n")).first()[0] or 0) // file_ids))
 
-    def code(batches):
-        rank_of = shared.value
-        for b in batches:
-            control, data = [], []
-            for own in b.column(2):
-                c, d = pack(rank_of[np.frombuffer(own.as_buffer(), width)])
-                control.append(c)
-                data.append(d)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(control, pa.binary()),
-                                              pa.array(data, pa.binary())], names=["doc_id", "n", "tie", "control", "data"])
-
     def blocks(batches):
+        rank_of = shared.value
         file, number, held, ids = TaskContext.get().partitionId(), 0, [], 0
 
         def block():
-            values = np.concatenate([unpack(c, d, n) for _, n, c, d in held])
-            control, data = pack(values)
+            control, data = pack(rank_of[np.frombuffer(b"".join(h[2] for h in held), width)])
             return pa.RecordBatch.from_arrays(
                 [pa.array([file], pa.int32()), pa.array([number], pa.int32()),
                  pa.array([[h[0] for h in held]], pa.list_(pa.int64())),
@@ -229,8 +257,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                 names=["file", "block", "doc_ids", "sizes", "control", "data"])
 
         for b in batches:
-            for doc, n, c, d in zip(*(b.column(k) for k in (0, 1, 3, 4)), strict=True):
-                held.append((doc.as_py(), n.as_py(), c.as_py(), d.as_py()))
+            for doc, n, own in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                held.append((doc, n, own))
                 ids += held[-1][1]
                 if ids >= BLOCK_IDS:
                     yield block()
@@ -238,9 +266,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         if held:
             yield block()
 
-    coded = table.withColumn("tie", F.xxhash64("ids")).select("doc_id", "n", "ids", "tie") \
-        .mapInArrow(code, "doc_id bigint, n bigint, tie bigint, control binary, data binary")
-    (coded.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    # the range is sampled from ids and hashes alone; ranks and codes are made once, after the shuffle
+    (table.select("doc_id", "n", "ids", F.xxhash64("ids").alias("tie"))
+     .repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
      .mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(f"{path}/blocks"))
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from metroframe.llm.common import slices, written
 from metroframe.session import scratch_path
 
 PIECES = 1_000_000  # pieces a worker remembers
+NEW = -2  # the slot of a piece not met yet
 BLOCK_IDS = 1 << 20
 FILE_IDS = 16 << 20
 
@@ -63,21 +65,25 @@ class _Pieces:
         return [np.array(f.ids, self.width) for f in found]
 
     def slots(self, keys: list[str]) -> np.ndarray:
-        """The slot of each piece, -1 for one that cannot stand alone; new ones are encoded in one call."""
-        new = [k for k in dict.fromkeys(keys) if k not in self.slot]
+        """The slot of each piece (all different), -1 for one that cannot stand alone; new ones are encoded together."""
+        got = np.fromiter(map(self.slot.get, keys, repeat(NEW)), np.int64, len(keys))
+        new = np.flatnonzero(got == NEW).tolist()
         if new and len(self.slot) + len(new) > PIECES:
             self.forget()
-            new = list(dict.fromkeys(keys))
+            new = range(len(keys))
         for k in range(0, len(new), 20_000):
-            self._learn(new[k:k + 20_000])
-        return np.fromiter(map(self.slot.__getitem__, keys), np.int64, len(keys))
-
-    def _learn(self, part: list[str]) -> None:
-        alone = [p for p in part if p and not p[0].isspace() and not p[-1].isspace()]
+            part = new[k:k + 20_000]
+            got[part] = self._learn([keys[i] for i in part])
+        return got
+
+    def _learn(self, part: list[str]) -> np.ndarray:
+        good = np.array([p != "" and p == p.strip() for p in part])
+        alone = part if good.all() else [p for p, g in zip(part, good.tolist(), strict=True) if g]
+        got = np.full(len(part), -1)
         if len(alone) < len(part):
-            self.slot.update(dict.fromkeys(set(part).difference(alone), -1))
+            self.slot.update((p, -1) for p, g in zip(part, good.tolist(), strict=True) if not g)
         if not alone:
-            return
+            return got
         if self.lead:
             ids = self.ids(self.lead + self.lead.join(alone))
             at = np.flatnonzero(self.opens[ids])
@@ -95,6 +101,8 @@ class _Pieces:
         self.starts[first:end], self.sizes[first:end] = at + self.used, size
         self.slot.update(zip(alone, range(first, end), strict=True))
         self.used += len(ids)
+        got[good] = np.arange(first, end)
+        return got
 
 
 class Encoder:
@@ -128,7 +136,8 @@ class Encoder:
             place, keys = found.indices.to_numpy(), found.dictionary.to_pylist()
             slot = self.next.slots(keys)[place]
             start, size = self.next.starts[slot], self.next.sizes[slot]
-            head = self.first.slots([keys[k] for k in place[at[:-1]]])
+            heads, each = np.unique(place[at[:-1]], return_inverse=True)
+            head = self.first.slots([keys[k] for k in heads])[each]
             slot[at[:-1]] = head
             start[at[:-1]], size[at[:-1]] = self.first.starts[head] + self.next.used, self.first.sizes[head]
             whole = np.logical_or.reduceat(slot < 0, at[:-1]) if n else whole

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ from metroframe.llm.common import bit_filter, may_hold, slices, written
 WIDTH = 400
 ANCHOR = 32
 BLOCK = 32
-STEP = 1 << 21  # windows of a long text looked at together
+STEP = 1 << 18  # windows looked at together: each array of them is 2 MB
+HELD = 1 << 16  # rows of blocks or windows held before they go out
 PLACE = np.uint64((1 << 24) - 1)
 U = np.uint64
 _BACK = U(pow(int(V._STEP), -1, 1 << 64))
@@ -132,15 +134,26 @@ REACH = [128, CORE]
 
 
 BLOCK_NAMES = ["anchor", "span", "block", "near", "far", "whole", "r0", "r1"]
+WINDOW_NAMES = ["anchor", "span", "o", "name"]
+
+
+def _batch(parts: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=names)
+
+
+def _each(found: pa.ListScalar, step: int = 1000):
+    """The structs of a list, some at a time."""
+    for k in range(0, len(found.values), step):
+        yield from found.values.slice(k, step).to_pylist()
 
 
 def _blocks(batches):
     """Per class and block of 32 windows: names of the parts of what they share, and of all their bytes."""
     for b in batches:
-        out = []
+        out, held = [], 0
         for text, found in zip(b.column(0), b.column(1), strict=True):
             text = text.as_buffer()
-            for c in found.as_py():
+            for c in _each(found):
                 start, end = c["at"] - c["o2"], c["at"] - c["o1"] + WIDTH
                 roll = Rolling(np.frombuffer(text, np.uint8, end - start, start))
                 block = np.arange(c["o1"] // BLOCK, c["o2"] // BLOCK + 1)
@@ -152,18 +165,21 @@ def _blocks(batches):
                 whole = V.mix(whole + V.mix((near * WIDTH + far).astype(U)))
                 k = len(block)
                 out.append([np.full(k, c["anchor"]), np.full(k, c["span"]), block, near, far, whole.astype(np.int64), *parts])
+                held += k
+                if held >= HELD:
+                    yield _batch(out, BLOCK_NAMES)
+                    out, held = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)],
-                                             names=BLOCK_NAMES)
+            yield _batch(out, BLOCK_NAMES)
 
 
 def _windows(batches):
     """Each window of the blocks that are still alike: its offset from the anchor and the name of its bytes."""
     for b in batches:
-        out = []
+        out, held = [], 0
         for text, found in zip(b.column(0), b.column(1), strict=True):
             text = text.as_buffer()
-            for c in found.as_py():
+            for c in _each(found):
                 o = np.arange(c["near"], c["far"] + 1)
                 start, end = c["at"] - int(o[-1]), c["at"] - int(o[0]) + WIDTH
                 roll = Rolling(np.frombuffer(text, np.uint8, end - start, start))
@@ -171,9 +187,12 @@ def _windows(batches):
                 k = len(o)
                 out.append([np.full(k, c["anchor"]), np.full(k, c["span"]), o,
                             roll.names(p, p + WIDTH).astype(np.int64)])
+                held += k
+                if held >= HELD:
+                    yield _batch(out, WINDOW_NAMES)
+                    out, held = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)],
-                                             names=["anchor", "span", "o", "name"])
+            yield _batch(out, WINDOW_NAMES)
 
 
 def _shared(df: DataFrame, *key: str) -> DataFrame:
@@ -220,43 +239,43 @@ def repeated_intervals(rows: DataFrame) -> DataFrame:
     return whole.union(parts)
 
 
-def _where(rows: DataFrame, bits: np.ndarray, inside: bool = True) -> DataFrame:
-    """Rows whose rid may (or cannot) be in the filter."""
+def _where(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Rows whose rid may be in the filter."""
     def run(batches):
         for b in batches:
-            hit = may_hold(bits, b.column(0).to_numpy())
-            yield b.filter(pa.array(hit == inside))
+            yield b.filter(pa.array(may_hold(bits, b.column(0).to_numpy())))
     return rows.mapInArrow(run, rows.schema)
 
 
-def remove_intervals(text: bytes, spans) -> tuple[bytes, int, int]:
-    """(kept bytes, removed bytes, maximal removed runs)."""
-    kept, end, removed, n = [], 0, 0, 0
-    for a, b in sorted(spans):
-        if a > end or n == 0:
-            kept.append(text[end:a])
-            n += 1
-            end = a
-        if b > end:
-            removed += b - end
-            end = b
-    kept.append(text[end:])
-    return b"".join(kept), removed, n
+def remove_intervals(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes, int, int]:
+    """(kept bytes, removed bytes, maximal removed runs); intervals that touch are one run."""
+    if not len(start):
+        return text, 0, 0
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    cut = np.flatnonzero(start[1:] > reach[:-1]) + 1
+    a, b = start[np.append(0, cut)], reach[np.append(cut - 1, len(reach) - 1)]
+    kept = b"".join(text[i:j] for i, j in zip([0, *b.tolist()], [*a.tolist(), len(text)], strict=True))
+    return kept, int((b - a).sum()), len(a)
 
 
 def _cut(batches):
-    for b in batches:
-        kept, removed, spans, size = [], [], [], []
-        for text, found in zip(b.column(1), b.column(2), strict=True):
-            text = text.as_py() or b""
-            k, r, n = remove_intervals(text, [(s["start"], s["end"]) for s in found.as_py() or ()])
-            kept.append(k)
-            removed.append(r)
-            spans.append(n)
-            size.append(len(text))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-             pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    for whole in batches:
+        for k in range(0, len(whole), 500):
+            b = whole.slice(k, 500)
+            kept, removed, spans, size = [], [], [], []
+            for text, found in zip(b.column(1), b.column(2), strict=True):
+                text = text.as_py() or b""
+                lists = found.values if found.is_valid else None
+                ends = [np.zeros(0, np.int64)] * 2 if lists is None else [lists.field(x).to_numpy() for x in ("start", "end")]
+                r = remove_intervals(text, *ends)
+                kept.append(r[0])
+                removed.append(r[1])
+                spans.append(r[2])
+                size.append(len(text))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
+                 pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,9 +286,16 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = written(repeated_intervals(rows.select("rid", "text")), "suffix_spans")
     bits = bit_filter(spans, "rid")
     merged = spans.distinct().groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    none = F.lit(None).cast("array<struct<start:bigint,end:bigint>>")
     raw = F.col("text").cast("binary").alias("text")
     hit = _where(rows, bits).join(merged, "rid", "left").select("doc_id", raw, "found")
-    rest = _where(rows, bits, False).select("doc_id", raw, none.alias("found"))
+
+    def untouched(batches):
+        for b in batches:
+            b = b.filter(pa.array(~may_hold(bits, b.column(0).to_numpy())))
+            size = pc.binary_length(b.column(1)).cast(pa.int64())
+            none = pa.array(np.zeros(len(b), np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(2), size, none, none, b.column(1).cast(pa.binary())],
+                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    return hit.mapInArrow(_cut, schema).union(rest.mapInArrow(_cut, schema))
+    return hit.mapInArrow(_cut, schema).union(rows.mapInArrow(untouched, schema))

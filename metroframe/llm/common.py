@@ -72,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.select("id", "component")
 
 
-def slices(offsets: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs [i, j) of texts of about ``limit`` bytes together, at least one text each."""
     i, n = 0, len(offsets) - 1
     while i < n:

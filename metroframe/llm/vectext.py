@@ -57,7 +57,7 @@ def _runs(data: np.ndarray, solid: np.ndarray, bounds: np.ndarray) -> tuple[np.n
 
 
 def hashes(data: np.ndarray, solid: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-           limit: int = 1 << 21) -> np.ndarray:
+           limit: int = 1 << 18) -> np.ndarray:
     """A hash for each run [start, end), which together are the ``solid`` bytes; in steps of ``limit`` bytes."""
     out = np.empty(len(starts), U)
     done = np.concatenate([[0], np.cumsum(ends - starts)])

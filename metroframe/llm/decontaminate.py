@@ -2,19 +2,21 @@
 
 Texts and items become lower-cased words of letters and digits. An item of L words
 leaks into a document when some stretch of it is within L // 5 word edits (none
-for items under 6 words). Items fall into length classes; a document's windows
-have the class's length. An item has L - 2 rows of three words, and an edit changes three
-of them at most, so a stretch that matches holds L - 2 - 3 (L // 5) of them; windows
+for items under 6 words). Items over ``PIECE`` words are cut into even pieces of
+``PIECE`` words at most: of a match's edits some piece of m words has m // 5 or fewer,
+so it is enough to find each piece at its own limit, whatever the item's length.
+Pieces fall into length classes; a document's windows have the class's length and
+start at every word. A piece has m - 2 rows of three words, and an edit changes three
+of them at most, so a stretch that matches holds m - 2 - 3 (m // 5) of them; windows
 that hold fewer rows of three words of any item, with a margin, are not embedded.
 
 The CGK random walk copies the word under its pointer at each step and moves the
 pointer on by a random bit of (walk, step, word): texts at a small edit distance
 give strings at a small Hamming distance. Each of ``WALKS`` walks is sampled
-``SAMPLES`` times at ``TAKEN`` places; a window and an item that agree in one sample
-are a candidate. That makes 64 chances; a window shifted or edited so that
-60 percent of the places agree is missed with a probability of (1 - 0.6 ** 4) ** 64, about
-1e-4. Candidates are verified by the exact edit distance of the item to the best
-stretch of the window and its surroundings.
+``SAMPLES`` times at ``TAKEN`` places; a window and a piece that agree in one sample
+are a candidate. Recall at the limit of edits is aimed at 0.99 for every length and kind of edit
+(tests hold it). Candidates are verified by the exact edit distance of the whole item to the best
+stretch of the text around the window.
 
 Items whose words or samples fit nothing cost nothing; their samples go through a bit
 filter of a fixed size to the windows, then through a join, so neither side need be
@@ -40,15 +42,17 @@ from metroframe.llm.common import bit_filter, may_hold, slices, written
 GRAM = 3
 MIN_WORDS = 5
 GROWTH = 1.15  # from one length class to the next
-WALKS = 4
+PIECE = 24  # words in a piece of an item at most
+WALKS = 8
 SAMPLES = 16
 TAKEN = 4
-STRIDE = 12  # windows start at every length / STRIDE words
 SEED = 7
 U = np.uint64
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-CANDIDATE = "doc_id bigint, class int, start bigint, keys array<bigint>, words array<bigint>"
+ITEM = "item_id bigint, class int, offset int, length int, item array<bigint>, keys array<bigint>, grams array<bigint>"
+REGION = ("region bigint, doc_id bigint, first bigint, words array<bigint>, class array<int>, start array<bigint>, "
+          "key array<bigint>")
 
 
 def edits_of(length: int) -> int:
@@ -70,8 +74,18 @@ def class_length(k: int) -> int:
     return top
 
 
+def pieces(length: int) -> list[tuple[int, int]]:
+    """(offset, words) of the even pieces of an item, of ``PIECE`` words at most."""
+    n = -(-length // PIECE)
+    at = [i * length // n for i in range(n + 1)]
+    return [(a, b - a) for a, b in zip(at, at[1:])]
+
+
+SLACK = class_length(class_of(PIECE))  # words a window may be off the place of its piece
+
+
 def least_grams(k: int) -> int:
-    """Rows of ``GRAM`` words that any match of an item of class ``k`` leaves unchanged."""
+    """Rows of ``GRAM`` words that any match of a piece of class ``k`` leaves unchanged."""
     lengths = range(class_length(k - 1) + 1 if k else MIN_WORDS, class_length(k) + 1)
     return min(n - GRAM + 1 - GRAM * edits_of(n) for n in lengths)
 
@@ -79,7 +93,7 @@ def least_grams(k: int) -> int:
 def places(k: int) -> np.ndarray:
     """The sampled steps, [walk, sample, taken], the same for all texts of a class."""
     shortest = class_length(k - 1) + 1 if k else MIN_WORDS
-    # after s steps the pointer stands near s / 2: the steps of a shortest item
+    # after s steps the pointer stands near s / 2: the steps of a shortest piece
     return np.random.default_rng([SEED, k]).integers(0, 2 * shortest - 2, (WALKS, SAMPLES, TAKEN))
 
 
@@ -136,16 +150,25 @@ def _items(batches):
                 own = words[first[d]:first[d + 1]]
                 if len(own) < MIN_WORDS:
                     continue
-                k = class_of(len(own))
-                keys = np.unique(signatures(own, np.zeros(1, np.int64), np.array([len(own)]), k)).astype(np.int64)
                 grams = np.unique(V.shingles(own, GRAM)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b.column(0)[i + d].as_py()], pa.int64()), pa.array([k], pa.int32()),
-                     *(pa.array([x.tolist()], pa.list_(pa.int64())) for x in (own.astype(np.int64), keys, grams))],
-                    names=["item_id", "class", "item", "keys", "grams"])
-
-
-def _candidates(grams: np.ndarray, keys: np.ndarray, classes: list[int]):
+                item_id = b.column(0)[i + d].as_py()
+                for offset, size in pieces(len(own)):
+                    k = class_of(size)
+                    keys = np.unique(signatures(own, np.array([offset]), np.array([size]), k)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item_id], pa.int64()),
+                         *(pa.array([x], pa.int32()) for x in (k, offset, len(own))),
+                         # the item's words travel with its first piece only
+                         *(pa.array([x], pa.list_(pa.int64())) for x in (
+                             None if offset else own.astype(np.int64), keys, None if offset else grams))],
+                        names=["item_id", "class", "offset", "length", "item", "keys", "grams"])
+
+
+def _candidates(grams: np.ndarray, keys: np.ndarray, reach: dict[int, tuple[int, int]]):
+    """Stretches of the documents around windows that may hold a piece, with these windows' samples.
+
+    ``reach`` has the words that an item may take before and after the start of a window, for each class.
+    """
     def run(batches):
         for b in batches:
             ids = b.column(0)
@@ -154,52 +177,68 @@ def _candidates(grams: np.ndarray, keys: np.ndarray, classes: list[int]):
                 rolled = V.shingles(words, GRAM)
                 hit[:len(rolled)] = may_hold(grams, rolled)
                 before = np.concatenate([[0], np.cumsum(hit)])
-                for k in classes:
-                    yield from _of_class(ids, i, words, first, before, keys, k)
+                found = [part for k in reach for part in _of_class(words, first, before, keys, k)]
+                if found:
+                    yield _regions(ids, i, words, first, reach, *map(np.concatenate, zip(*found, strict=True)))
     return run
 
 
-def _of_class(ids, i, words, first, before, keys, k):
-    """Windows of class ``k`` that hold enough rows of words of items and whose samples may be an item's."""
+def _of_class(words, first, before, keys, k):
+    """(class, start, key) of windows of class ``k`` that hold enough rows of words of items, of samples that may be a piece's."""
     size, enough = class_length(k), least_grams(k)
-    stride = max(1, size // STRIDE)
     some = np.flatnonzero(before[first[1:]] - before[first[:-1]] >= enough)
-    count = -(-(first[some + 1] - first[some]) // stride)
-    start = np.repeat(first[some], count) + stride * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-    text = np.repeat(some, count)
-    # a match that starts within a stride of the window, with its insertions
-    low = np.maximum(start - stride, first[text])
-    high = np.minimum(start + stride + size + edits_of(size), first[text + 1])
+    count = first[some + 1] - first[some]
+    start = np.repeat(first[some], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    # a match that starts beside the window, with its insertions
+    low = np.maximum(start - 1, np.repeat(first[some], count))
+    high = np.minimum(start + 1 + size + edits_of(size), np.repeat(first[some + 1], count))
     start = start[before[high] - before[low] >= enough]
-    for a in range(0, len(start), 20_000):
-        part = start[a:a + 20_000]
+    for a in range(0, len(start), 10_000):
+        part = start[a:a + 10_000]
         end = np.minimum(part + size, first[np.searchsorted(first, part, side="right")])
         names = signatures(words, part, end - part, k)
-        held = may_hold(keys, names.reshape(-1)).reshape(names.shape)
-        at = np.flatnonzero(held.any(axis=1))
-        if not len(at):
-            continue
-        own = np.searchsorted(first, part[at], side="right") - 1
-        yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(i + own)).cast(pa.int64()), pa.array(np.full(len(at), k, np.int32)),
-             pa.array(part[at] - first[own]),
-             pa.array([np.unique(names[r][held[r]]).astype(np.int64) for r in at], pa.list_(pa.int64())),
-             pa.array([words[max(first[o], s - size):min(first[o + 1], s + 2 * size)].astype(np.int64)
-                       for o, s in zip(own, part[at], strict=True)], pa.list_(pa.int64()))],
-            names=["doc_id", "class", "start", "keys", "words"])
+        row, col = np.nonzero(may_hold(keys, names.reshape(-1)).reshape(names.shape))
+        if len(row):
+            yield np.full(len(row), k, np.int32), part[row], names[row, col].astype(np.int64)
+
+
+def _regions(ids, i, words, first, reach, class_, start, key):
+    """One row for each run of words in reach of windows; overlapping reaches are one run."""
+    order = np.lexsort((class_, start))
+    class_, start, key = class_[order], start[order], key[order]
+    own = np.searchsorted(first, start, side="right") - 1
+    back, on = (np.array([reach.get(k, (0, 0))[side] for k in range(max(reach) + 1)]) for side in (0, 1))
+    low = np.maximum(start - back[class_], first[own])
+    high = np.maximum.accumulate(np.minimum(start + on[class_], first[own + 1]))
+    # windows reach back by their class, so a run begins where no later window reaches into the one before
+    low = np.minimum.accumulate(low[::-1])[::-1]
+    begin = np.concatenate([[0], np.flatnonzero((low[1:] >= high[:-1]) | (own[1:] != own[:-1])) + 1])
+    stop = np.concatenate([begin[1:], [len(start)]])
+    at, to, doc = np.maximum(low[begin], first[own[begin]]), np.minimum(high[stop - 1], first[own[begin] + 1]), own[begin]
+    doc_id = ids.take(pa.array(i + doc)).cast(pa.int64())
+    place = at - first[doc]
+    name = [V.mix(V.mix(words[a:b] + np.arange(b - a, dtype=U)).sum(keepdims=True) + U(p) + V.mix(
+        np.array([d], np.int64).view(U)))[0] for a, b, p, d in zip(at, to, place, doc_id.to_pylist(), strict=True)]
+    lists = lambda x: pa.array([x[a:b] for a, b in zip(begin, stop, strict=True)],
+                               pa.list_(pa.from_numpy_dtype(x.dtype)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.array(name, U).view(np.int64)), doc_id, pa.array(place),
+         pa.array([words[a:b].astype(np.int64) for a, b in zip(at, to, strict=True)], pa.list_(pa.int64())),
+         lists(class_), lists(start - first[own]), lists(key)],
+        names=["region", "doc_id", "first", "words", "class", "start", "key"])
 
 
 def _verify(batches):
     for b in batches:
         doc, item, edits, end = [], [], [], []
-        for d, i, words, own, start, size in zip(*b.columns, strict=True):
+        for d, i, words, own, start in zip(*b.columns, strict=True):
             own = np.array(own.as_py(), np.int64)
             n, e = best_edits(own, np.array(words.as_py(), np.int64))
             if n <= edits_of(len(own)):
                 doc.append(d.as_py())
                 item.append(i.as_py())
                 edits.append(n)
-                end.append(max(0, start.as_py() - size.as_py()) + e)
+                end.append(start.as_py() + e)
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, item, edits, end)],
                                          names=["doc_id", "item_id", "edits", "end_word"])
 
@@ -208,25 +247,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, edits, end_word): benchmark items found in documents, the best stretch of each."""
     pick = lambda df, i, t: df.select(F.col(i).cast("bigint").alias("id"), F.col(t).cast("string").alias("text"))
-    items = written(pick(benchmark, item_col, item_text_col).filter("id is not null and text is not null").mapInArrow(
-        _items, "item_id bigint, class int, item array<bigint>, keys array<bigint>, grams array<bigint>"), "leak_items")
-    keyed = items.select("item_id", "class", F.explode("keys").alias("key"))
-    grams = bit_filter(items.select(F.explode("grams").alias("g")), "g")
+    cut = written(pick(benchmark, item_col, item_text_col).filter("id is not null and text is not null")
+                  .mapInArrow(_items, ITEM), "leak_items")
+    items = cut.filter("item is not null").select("item_id", "length", "item")
+    keyed = cut.select("item_id", "class", "offset", "length", F.explode("keys").alias("key"))
+    grams = bit_filter(cut.select(F.explode("grams").alias("g")), "g")
     keys = bit_filter(keyed, "key")
-    # length classes grow by 15 percent: some dozens for items of any length
-    classes = sorted(r[0] for r in items.select("class").distinct().collect())
+    length = F.col("length")
+    edits = F.when(length < 6, 0).otherwise(F.floor(length / 5))
+    # pieces have some twenty classes, whatever the length of their items
+    reach = {r[0]: (r[1], r[2]) for r in cut.groupBy("class").agg(
+        F.max(F.col("offset") + edits + SLACK), F.max(length - F.col("offset") + 2 * edits + SLACK)).orderBy("class").collect()}
     found = written(pick(docs, id_col, text_col).filter("id is not null")
-                    .mapInArrow(_candidates(grams, keys, classes), CANDIDATE), "leak_windows")
-    pairs = found.select("doc_id", "class", "start", F.explode("keys").alias("key")).join(keyed, ["class", "key"]) \
-        .select("doc_id", "class", "start", "item_id").distinct()
-    # a stretch of a window's length on either side is verified with it, so of the windows of a pair
-    # within one length, the first will do
-    size = F.element_at(F.array([F.lit(class_length(k)) for k in range((classes or [0])[-1] + 1)]), F.col("class") + 1)
-    near = (pairs.withColumn("size", size).withColumn("cell", F.floor(F.col("start") / F.col("size")))
-            .groupBy("doc_id", "class", "item_id", "cell", "size").agg(F.min("start").alias("start")))
-    regions = found.groupBy("doc_id", "class", "start").agg(F.first("words").alias("words"))
-    checked = (near.join(regions, ["doc_id", "class", "start"]).join(items.select("item_id", "item"), "item_id")
-               .select("doc_id", "item_id", "words", "item", "start", "size")
+                    .mapInArrow(_candidates(grams, keys, reach), REGION), "leak_regions")
+    # a window tells where its item would start; starts in one cell are verified together
+    cell = F.greatest(length, F.lit(SLACK))
+    near = (found.select("region", F.explode(F.arrays_zip("class", "start", "key")).alias("w")).select("region", "w.*")
+            .join(keyed, ["class", "key"])
+            .select("region", "item_id", "length", F.floor((F.col("start") - F.col("offset")) / cell).alias("cell")).distinct())
+    regions = found.groupBy("region").agg(*[F.first(c).alias(c) for c in ("doc_id", "first", "words")])
+    start = F.greatest(F.col("cell") * cell - edits - SLACK, F.col("first"))
+    end = (F.col("cell") + 1) * cell + length + 2 * edits + SLACK
+    checked = (near.join(regions, "region")
+               .select("doc_id", "item_id", "length", start.alias("start"),
+                       F.slice("words", (start - F.col("first") + 1).cast("int"),
+                               F.greatest(end - start, F.lit(0)).cast("int")).alias("words"))
+               .join(items, ["item_id", "length"]).select("doc_id", "item_id", "words", "item", "start")
                .mapInArrow(_verify, "doc_id bigint, item_id bigint, edits bigint, end_word bigint"))
     best = Window.partitionBy("doc_id", "item_id").orderBy("edits", "end_word")
     return checked.withColumn("n", F.row_number().over(best)).filter("n = 1").drop("n")

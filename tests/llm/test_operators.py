@@ -112,6 +112,31 @@ def test_decontamination_finds_edited_items(spark, docs, empty):
     assert leaks(empty, bench).count() == 0 and leaks(docs, bench.filter("item_id < 0")).count() == 0
 
 
+def test_decontamination_recall_for_every_length(spark):
+    from metroframe.llm.decontaminate import edits_of, leaks
+
+    r, words = random.Random(17), [f"w{k}" for k in range(5000)]
+    items, texts, planted = [], [], {}
+    for length in (6, 10, 24, 25, 40, 59, 100, 300, 500):
+        for kind in ("exact", "replace", "insert", "delete"):
+            for _ in range(12):
+                k, item = len(items), [r.choice(words) for _ in range(length)]
+                copy = item[:]
+                for _ in range(edits_of(length) * (kind != "exact")):
+                    at = r.randrange(len(copy))
+                    copy[at:at + (kind != "insert")] = [] if kind == "delete" else [r.choice(words)]
+                around = [[r.choice(words) for _ in range(r.randint(0, 50))] for _ in range(2)]
+                items.append((k, " ".join(item)))
+                texts.append((k, " ".join([*around[0], *copy, *around[1]])))
+                planted.setdefault((length, kind), set()).add(k)
+    rows = leaks(spark.createDataFrame(texts, "doc_id long, text string").repartition(3),
+                 spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {x["doc_id"] for x in rows if x["doc_id"] == x["item_id"]}
+    assert all(p <= got for (_, kind), p in planted.items() if kind == "exact")
+    assert all(len(p - got) <= 1 for p in planted.values())
+    assert len(got) >= 0.99 * len(items) and all(x["doc_id"] == x["item_id"] for x in rows)
+
+
 def test_jaccard_components(docs, empty):
     from metroframe.llm.jaccard_join import jaccard_components
 

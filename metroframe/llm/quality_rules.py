@@ -6,6 +6,10 @@ smoothed multinomials; a document's score is the mean of log p_target(bin) -
 log p_raw(bin) over its words and pairs, so length does not matter. A document is
 kept when its score is at or above a fixed threshold and the base rules pass.
 
+The smoothing adds the same counts to the target and to what the target would hold if it were
+like the raw corpus. A bin unseen in a small target so scores near 0, and a score does not
+change when the raw corpus grows with all its parts alike.
+
 Corpus counts cover all rows. The target is a bounded, documented sample:
 at most ``TRUSTED_ROWS`` ids labelled good, chosen by hash. The model on the
 driver has two numbers per bin, whatever the size of the input.
@@ -28,7 +32,7 @@ from metroframe.llm.common import slices
 
 BITS = 18
 TRUSTED_ROWS = 20_000
-SMOOTH = 10.0  # added to each raw bin count, and as much of the target in proportion, so a rare bin says little
+SMOOTH = 3.0  # added to each bin's target count and to the count expected of the raw corpus, so a rare bin says little
 THRESHOLD = -0.2  # mean log ratio per word or pair below which a document goes
 MIN_WORDS = 10
 WINDOW = 5
@@ -126,7 +130,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     if not target.any():
         target = raw
     part = target.sum() / raw.sum() if raw.any() else 1.0
-    return np.log((target + SMOOTH * part) / (raw + SMOOTH) / part)
+    return np.log((target + SMOOTH) / (raw * part + SMOOTH))
 
 
 def _judge(texts, ratio: np.ndarray, threshold: float):

@@ -88,6 +88,23 @@ def test_quality_separates_junk(spark):
     assert all(r["kept"] == (r["doc_id"] < 1000) for r in rows)
 
 
+def test_quality_keeps_good_documents_of_a_large_corpus(spark):
+    from metroframe.llm.quality_rules import quality
+
+    r, words = random.Random(2), [f"w{k}" for k in range(3000)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(200))) for i in range(200)]
+    rows += [(1000 + i, " ".join(r.choice(words[:300]) + "%%%" for _ in range(200))) for i in range(50)]
+    trusted = spark.createDataFrame([(i,) for i in range(30)], "doc_id long")
+    docs, scores = spark.createDataFrame(rows, "doc_id long, text string"), []
+    for times in (1, 60):  # the copies have ids of their own, so only the raw corpus grows
+        raw = docs.crossJoin(spark.range(times).withColumnRenamed("id", "n")).selectExpr("doc_id + 10000 * n AS doc_id", "text")
+        got = {x["doc_id"]: x for x in quality(raw, trusted).filter("doc_id < 10000").collect()}
+        assert all(x["kept"] for i, x in got.items() if i < 1000)
+        assert not any(x["kept"] for i, x in got.items() if i >= 1000)
+        scores.append([got[i]["score"] for i, _ in rows])
+    assert np.allclose(*scores)
+
+
 def test_decontamination_finds_edited_items(spark, docs, empty):
     from metroframe.llm.decontaminate import best_edits, edits_of, leaks
 

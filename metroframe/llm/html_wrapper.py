@@ -6,14 +6,16 @@ are aligned one after another with the wrapper so far: where the streams agree i
 has becomes an optional group, differing texts are one slot. The result is a union-free regular
 expression: tags, text slots, repeated (+) and optional (?) groups.
 
-From the wrapper comes the host's region: the article or main element if the wrapper has one
-outside boilerplate, else the container whose slots hold most text over all pages of the host. Slots that hold
-one and the same text on all pages of the host, outside the region's headings and paragraphs, are
-template text. A page's text is then the region's slots without menus, headers, footers, sidebars,
-notices, adverts, forms and comments, which tag names and class words tell.
-
-Per-page work sees one page; a host's state is one wrapper, whatever its number of pages: each task first
-counts the distinct expressions and slots of its pages, Spark adds the counts, and each host's expressions
+Each page is then matched against its host's wrapper, which gives every text of the page its slot in the
+wrapper; texts of symbols that the wrapper lacks have their path as slot. Per slot, Spark counts the distinct
+pages of the host (by their texts), their characters and whether all hold one and the same text. From this come
+the slots that a host keeps: those in the article or main group and, for pages without one, those in the
+container whose slots hold most text. A slot with one text on most distinct pages of a host is template text, unless it
+is a heading or paragraph of the region. A page's text is what it holds in kept slots, without menus, headers,
+footers, sidebars, notices, adverts, forms and comments, which tag names and class words of the groups tell.
+
+Per-page work sees one page; a host's state is one wrapper and its slots, whatever its number of pages: each task
+first counts the distinct expressions of its pages, Spark adds the counts, and each host's expressions
 stream through the alignment in order.
 
 Defined cases: a null or empty page gives an empty text; pages without a host (bad or null url) form one
@@ -24,6 +26,7 @@ all returned, with equal results; other columns are not read.
 from __future__ import annotations
 
 import difflib
+import hashlib
 import html
 import re
 from collections import Counter
@@ -36,8 +39,8 @@ from pyspark.sql import functions as F
 from metroframe.llm.common import written
 
 MAX_PERIOD = 24  # tokens in a repeated group
-TEMPLATE_PAGES = 3  # a slot with one text on so many pages is template text
-WRAPPER_TOKENS = 4096  # beyond it new optional groups of a host are no longer added to its wrapper
+TEMPLATE_PAGES = 3  # distinct pages that a template text is on at least
+WRAPPER_TOKENS = 4096  # beyond it new optional groups of a host are no longer added to its wrapper; their texts have their paths as slots
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|textarea|svg|iframe|object|select|title)"""
     r"""\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</\1\s*>|\Z)|<[!?/]?[A-Za-z](?:"[^"]*"|'[^']*'|[^'">])*(?:>|\Z)""",
@@ -130,17 +133,28 @@ def stream(page: str):
     return out
 
 
-def expression(tokens) -> list[str]:
-    """The page as a list of symbols: labels, /names and # for text, tandem repeats collapsed into (...)+ ."""
+def symbols_of(tokens) -> tuple[list[str], list[int]]:
+    """The page's labels, /names and # for text, and for each token its symbol's number, or -1."""
     flat: list[str] = []
+    of: list[int] = []
     for kind, value, _, _ in tokens:
         if kind == "tag":
             flat.append(value)
         elif kind == "close":
             flat.append("/" + value)
-        elif kind == "text" and value.strip() and (not flat or flat[-1] != "#"):
-            flat.append("#")
-    return collapse(flat)
+        elif kind == "text" and value.strip():
+            if not flat or flat[-1] != "#":
+                flat.append("#")
+        else:
+            of.append(-1)
+            continue
+        of.append(len(flat) - 1)
+    return flat, of
+
+
+def expression(tokens) -> list[str]:
+    """The page as a list of symbols, tandem repeats collapsed into (...)+ ."""
+    return collapse(symbols_of(tokens)[0])
 
 
 def collapse(symbols: list[str]) -> list[str]:
@@ -205,93 +219,45 @@ def clean(raw: str) -> str:
 
 
 def _summaries(batches):
-    """Counts of the task's pages: expressions per host, and characters, pages and texts per slot path."""
+    """Counts of the task's pages: expressions per host."""
     shapes: Counter = Counter()
-    slots: dict = {}
 
     def flush():
         keys = list(shapes)
-        yield pa.RecordBatch.from_pydict(
-            {"host": [k[0] for k in keys], "kind": ["shape"] * len(keys), "name": [k[1] for k in keys],
-             "n": list(shapes.values()), "chars": [0] * len(keys), "lo": [""] * len(keys), "hi": [""] * len(keys)},
-            schema=SUMMARY)
-        keys = list(slots)
-        yield pa.RecordBatch.from_pydict(
-            {"host": [k[0] for k in keys], "kind": ["slot"] * len(keys), "name": [k[1] for k in keys],
-             **{c: [slots[k][i] for k in keys] for i, c in enumerate(("n", "chars", "lo", "hi"))}}, schema=SUMMARY)
+        yield pa.RecordBatch.from_pydict({"host": [k[0] for k in keys], "shape": [k[1] for k in keys],
+                                          "n": list(shapes.values())}, schema=SUMMARY)
         shapes.clear()
-        slots.clear()
 
     for b in batches:
         for host, page in zip(b.column(0), b.column(1), strict=True):
-            host, page = host.as_py(), page.as_py() or ""
-            tokens = stream(page)
-            shapes[host, " ".join(expression(tokens))] += 1
-            texts: dict[str, list[str]] = {}
-            for kind, value, path, skipped in tokens:
-                if kind == "text" and not skipped and value.strip():
-                    texts.setdefault(path, []).append(clean(value))
-            for path, found in texts.items():
-                own = " ".join(found)[:200]
-                n, chars, lo, hi = slots.get((host, path), (0, 0, own, own))
-                slots[host, path] = (n + 1, chars + sum(map(len, found)), min(lo, own), max(hi, own))
-        if len(shapes) + len(slots) > 50_000:
+            shapes[host.as_py(), " ".join(expression(stream(page.as_py() or "")))] += 1
+        if len(shapes) > 50_000:
             yield from flush()
     yield from flush()
 
 
-SUMMARY = pa.schema([("host", pa.string()), ("kind", pa.string()), ("name", pa.string()), ("n", pa.int64()),
-                     ("chars", pa.int64()), ("lo", pa.string()), ("hi", pa.string())])
+SUMMARY = pa.schema([("host", pa.string()), ("shape", pa.string()), ("n", pa.int64())])
 
 
 def _wrappers(batches):
-    """Rows sorted by host, kind and falling count, folded into one row per host."""
-    host, wrapper, mass, template, pages = None, None, {}, [], 0
+    """Rows sorted by host and falling count, folded into one row per host."""
+    host, wrapper = None, None
 
     def done():
-        region = ""
-        if not any(re.search(rf"(?:^|[ (]){m}(?:[.\s)]|$)", s) for m in MAIN for s in wrapper or ()):
-            # no article element: the container with most text, its share over half of its parent's
-            total = sum(mass.values())
-            best = ""
-            while total:
-                inner: Counter = Counter()
-                for path, chars in mass.items():
-                    if path.startswith(best) and path != best:
-                        rest = path[len(best):].strip("/")
-                        inner["/".join(filter(None, [best, rest.split("/")[0]]))] += chars
-                own = [(c, p) for p, c in inner.items() if p.rsplit("/", 1)[-1].split(".")[0] not in CLOSED_BY_PEER
-                       and not re.match(r"h[1-6]", p.rsplit("/", 1)[-1])]
-                if not own or max(own)[0] * 2 <= total:
-                    break
-                best = max(own)[1]
-            region = best
-        return pa.RecordBatch.from_pydict(
-            {"host": [host], "wrapper": [" ".join(wrapper or [])], "region": [region], "template": [sorted(template)]},
-            schema=WRAPPER)
+        return pa.RecordBatch.from_pydict({"host": [host], "wrapper": [" ".join(wrapper or [])]})
 
     for b in batches:
         for row in b.to_pylist():
             if row["host"] != host:
                 if host is not None:
                     yield done()
-                host, wrapper, mass, template, pages = row["host"], None, {}, [], 0
-            if row["kind"] == "shape":
-                pages += row["n"]
-                page = split_symbols(row["name"])
-                wrapper = page if wrapper is None else align(wrapper, page)
-            else:
-                mass[row["name"]] = row["chars"]
-                if row["n"] >= TEMPLATE_PAGES and row["lo"] == row["hi"] and len(row["lo"]) < 200:
-                    template.append(row["name"])
+                host, wrapper = row["host"], None
+            page = split_symbols(row["shape"])
+            wrapper = page if wrapper is None else align(wrapper, page)
     if host is not None:
         yield done()
 
 
-WRAPPER = pa.schema([("host", pa.string()), ("wrapper", pa.string()), ("region", pa.string()),
-                     ("template", pa.list_(pa.string()))])
-
-
 def split_symbols(text: str) -> list[str]:
     """The symbols of an expression: split at spaces outside groups."""
     out, depth, start = [], 0, 0
@@ -306,13 +272,153 @@ def split_symbols(text: str) -> list[str]:
     return [*out, text[start:]] if text else []
 
 
-def main_text(page: str, region: str, template: frozenset) -> str:
-    """The blocks of a page's main text, one to a line, by its host's region and template slots."""
-    blocks, own, has_main = [], [], False
+@lru_cache(maxsize=4096)
+def parsed(symbol: str):
+    """A symbol as the atom itself, or as the tuple of the symbols that its group repeats."""
+    return tuple(parsed(s) for s in split_symbols(symbol[1:-2])) if symbol[:1] == "(" and symbol[-2:] == ")+" else symbol
+
+
+def _size(symbol) -> int:
+    return 1 if isinstance(symbol, str) else sum(map(_size, symbol))
+
+
+def _walk(symbol, flat: list[str], at: int, atom: int, out: list[int]) -> int:
+    """The place after ``symbol`` in ``flat`` from ``at`` on, or -1; ``out`` gets the number of each place's atom."""
+    if isinstance(symbol, str):
+        if at < len(flat) and flat[at] == symbol:
+            out.append(atom)
+            return at + 1
+        return -1
+    end = -1
+    while True:
+        size, place = len(out), at
+        inner = atom
+        for s in symbol:
+            place = _walk(s, flat, place, inner, out)
+            if place < 0:
+                del out[size:]
+                return end
+            inner += _size(s)
+        at = end = place
+
+
+@lru_cache(maxsize=1024)
+def _matched(wrapper: str, shape: str) -> tuple[int, ...]:
+    """For each symbol of ``shape`` the number of the wrapper's atom where its like begins, or -1."""
+    flat: list[str] = []
+    for s in split_symbols(wrapper):
+        flat += split_symbols(s[1:-2]) if s.endswith(")?") else [s]
+    first = [0]
+    for s in flat:
+        first.append(first[-1] + _size(parsed(s)))
+    page = split_symbols(shape)
+    out = [-1] * len(page)
+    for a, b, n in difflib.SequenceMatcher(None, [_bare(s) for s in flat], [_bare(s) for s in page],
+                                           autojunk=False).get_matching_blocks():
+        out[b:b + n] = first[a:a + n]
+    return tuple(out)
+
+
+def slots(tokens, wrapper: str) -> list[str]:
+    """The slot of each token: the number of its atom in the wrapper, or its path where the wrapper has none."""
+    flat, of = symbols_of(tokens)
+    shape = collapse(flat)
+    atoms: list[int] = []
+    for symbol, first in zip(shape, _matched(wrapper, " ".join(shape)), strict=True):
+        size = len(atoms)
+        if _walk(parsed(symbol), flat, size, first, atoms) < 0:
+            break
+        if first < 0:
+            atoms[size:] = [-1] * (len(atoms) - size)
+    atoms += [-1] * (len(flat) - len(atoms))
+    return [str(atoms[k]) if k >= 0 and atoms[k] >= 0 else path for k, (_, _, path, _) in zip(of, tokens, strict=True)]
+
+
+IN_MAIN = re.compile(r"(?:^|/)(?:article|main)(?:[./]|$)")
+
+
+def _has_main(tokens) -> bool:
+    return any(kind == "tag" and not skipped and value.split(".")[0] in MAIN for kind, value, _, skipped in tokens)
+
+
+def _name(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _slots(batches):
+    """Per page and slot outside boilerplate: path, characters and name of the text; per page one row without a slot."""
+    for b in batches:
+        rows = []
+        for host, page, wrapper in zip(*b.columns[:3], strict=True):
+            tokens, texts = stream(page.as_py() or ""), {}
+            main = _has_main(tokens)
+            for slot, (kind, value, path, skipped) in zip(slots(tokens, wrapper.as_py() or ""), tokens, strict=True):
+                if kind == "text" and not skipped and value.strip() and (not main or IN_MAIN.search(path)):
+                    texts.setdefault(slot, (path, []))[1].append(clean(value))
+            own = {slot: (path, " ".join(found)) for slot, (path, found) in texts.items()}
+            name = _name("\n".join(text for _, text in own.values()))
+            rows.append((host.as_py(), main, None, name, "", 0, 0))
+            rows += [(host.as_py(), main, slot, name, path, len(text), _name(text)) for slot, (path, text) in own.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SLOT)] if rows else
+                                         [pa.array([], f.type) for f in SLOT], schema=SLOT)
+
+
+SLOT = pa.schema([("host", pa.string()), ("main", pa.bool_()), ("slot", pa.string()), ("page", pa.int64()),
+                  ("path", pa.string()), ("chars", pa.int64()), ("text", pa.int64())])
+
+
+def _region(mass: Counter) -> str:
+    """The container with most text, its share over half of its parent's."""
+    total, best = sum(mass.values()), ""
+    while total:
+        inner: Counter = Counter()
+        for path, chars in mass.items():
+            if not best or path.startswith(best + "/"):
+                rest = path[len(best):].strip("/")
+                inner["/".join(filter(None, [best, rest.split("/")[0]]))] += chars
+        own = [(c, p) for p, c in inner.items() if p and p.rsplit("/", 1)[-1].split(".")[0] not in CLOSED_BY_PEER
+               and not re.match(r"h[1-6]", p.rsplit("/", 1)[-1])]
+        if not own or max(own)[0] * 2 <= total:
+            break
+        best = max(own)[1]
+    return best
+
+
+def _kept(batches):
+    """Rows sorted by host and main, per slot, into one row per host and main: the slots to keep."""
+    key, pages, found = None, 0, []
+
+    def done():
+        own = [(row["slot"], row["path"], row["chars"]) for row in found
+               if row["pages"] < TEMPLATE_PAGES or row["lo"] != row["hi"]]
+        mass: Counter = Counter()
+        for _, path, chars in own:
+            mass[path] += chars
+        region = "" if key[1] else _region(mass)
+        kept = [slot for slot, path, _ in own if not region or path == region or path.startswith(region + "/")]
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.string()), pa.array([key[1]]), pa.array([region]),
+                                           pa.array([kept], pa.list_(pa.string()))], names=["host", "main", "region", "kept"])
+
+    for b in batches:
+        for row in b.to_pylist():
+            if (row["host"], row["main"]) != key:
+                if key is not None:
+                    yield done()
+                key, pages, found = (row["host"], row["main"]), 0, []
+            if row["slot"] is None:
+                pages = row["pages"]
+            else:
+                found.append(row)
+    if key is not None:
+        yield done()
+
+
+def main_text(page: str, wrapper: str, kept: dict[bool, frozenset]) -> str:
+    """The blocks of a page's main text, one to a line: what it holds in the slots its host keeps."""
+    blocks, own = [], []
     tokens = stream(page)
-    for kind, value, path, skipped in tokens:
-        has_main |= kind == "tag" and not skipped and value.split(".")[0] in MAIN
-    main = re.compile(r"(?:^|/)(?:article|main)(?:[./]|$)")
+    main = _has_main(tokens)
+    wanted = kept.get(main, frozenset())
 
     def flush() -> None:
         text = clean("".join(own))
@@ -320,36 +426,43 @@ def main_text(page: str, region: str, template: frozenset) -> str:
             blocks.append(text)
         own.clear()
 
-    for kind, value, path, skipped in tokens:
+    for slot, (kind, value, path, skipped) in zip(slots(tokens, wrapper), tokens, strict=True):
         if kind != "text":
             flush()
-            continue
-        if skipped:
-            continue
-        if has_main:
-            inside = main.search(path) is not None
-        else:
-            inside = (not region or path == region or path.startswith(region + "/")) and path not in template
-        if inside:
+        elif not skipped and (not value.strip() or slot in wanted and (not main or IN_MAIN.search(path))):
             own.append(value)
     flush()
     return "\n".join(blocks)
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper, region, template): one row per host."""
+    """(host, wrapper): one row per host."""
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
+    found = rows.mapInArrow(_summaries, "host string, shape string, n bigint").groupBy("host", "shape").agg(F.sum("n").alias("n"))
+    ordered = found.repartition("host").sortWithinPartitions("host", F.col("n").desc(), "shape")
+    return ordered.mapInArrow(_wrappers, "host string, wrapper string")
+
+
+def kept_slots(pages: DataFrame, wrappers: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, main, region, kept): per host, for pages with and without an article or main element, the slots to keep."""
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-    types = "host string, kind string, name string, n bigint, chars bigint, lo string, hi string"
-    found = (rows.mapInArrow(_summaries, types).groupBy("host", "kind", "name")
-             .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    ordered = found.repartition("host").sortWithinPartitions("host", "kind", F.col("n").desc(), "name")
-    return ordered.mapInArrow(_wrappers, "host string, wrapper string, region string, template array<string>")
+    each = (rows.join(wrappers, "host", "left").select("host", "html", "wrapper")
+            .mapInArrow(_slots, "host string, main boolean, slot string, page bigint, path string, chars bigint, text bigint")
+            # copies of a page count once
+            .groupBy("host", "main", "slot", "page")
+            .agg(F.min("path").alias("path"), F.max("chars").alias("chars"), F.min("text").alias("lo"), F.max("text").alias("hi")))
+    found = each.groupBy("host", "main", "slot").agg(
+        F.count("*").alias("pages"), F.min("path").alias("path"), F.sum("chars").alias("chars"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ordered = found.repartition("host").sortWithinPartitions("host", "main", "slot")
+    return ordered.mapInArrow(_kept, "host string, main boolean, region string, kept array<string>")
 
 
 def _extract(batches):
     for b in batches:
-        texts = [main_text(page.as_py() or "", region.as_py() or "", frozenset(template.as_py() or ()))
-                 for page, region, template in zip(*b.columns[2:5], strict=True)]
+        texts = [main_text(page.as_py() or "", wrapper.as_py() or "",
+                           {False: frozenset(plain.as_py() or ()), True: frozenset(main.as_py() or ())})
+                 for page, wrapper, plain, main in zip(*b.columns[2:6], strict=True)]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"])
@@ -357,8 +470,13 @@ def _extract(batches):
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars."""
-    hosts = written(infer_wrappers(pages, url_col, html_col), "wrappers").select("host", "region", "template")
+    wrappers = written(infer_wrappers(pages, url_col, html_col), "wrappers")
+    kept = written(kept_slots(pages, wrappers, url_col, html_col), "wrapper_slots")
+    hosts = wrappers
+    for name, main in (("plain", False), ("main", True)):
+        hosts = hosts.join(kept.filter(F.col("main") == main).select("host", F.col("kept").alias(name)), "host", "left")
+    hosts = written(hosts, "wrapper_hosts")
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"),
                         F.col(html_col).cast("string").alias("html"), host_of(F.col(url_col)).alias("host"))
-    return (rows.join(hosts, "host", "left").select("page_id", "url", "html", "region", "template")
+    return (rows.join(hosts, "host", "left").select("page_id", "url", "html", "wrapper", "plain", "main")
             .mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint"))

@@ -324,6 +324,20 @@ def test_html_wrapper(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_wrapper_slots(spark):
+    from metroframe.llm.html_wrapper import extract, slots, stream
+
+    page = "<body><div class=x><p>{}</p><p>{}</p></div><div class=y>{}</div></body>"
+    tokens = stream(page.format("a", "b", "c"))
+    assert [s for s, t in zip(slots(tokens, "body.x (div.x)? (p # /p)+ (b)? /div div.y # /div /body"), tokens) if t[0] == "text"] \
+        == ["3", "3", "8"]
+    text = [" ".join(prose(100 + k, 40).split()) for k in range(4)]
+    inside = "<body><article><div class=z>Print this page</div><p>{}</p></article></body>"
+    rows = [(20 + k, "http://inside.x/" + str(k), inside.format(text[k])) for k in range(4)]
+    got = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {20 + k: text[k] for k in range(4)}  # a slot of the wrapper decides, inside the article too
+
+
 def test_pipeline_stages(spark, docs, empty, tmp_path):
     import corpus_pipeline
 

@@ -390,7 +390,8 @@ def _kept(batches):
 
     def done():
         own = [(row["slot"], row["path"], row["chars"]) for row in found
-               if row["pages"] < TEMPLATE_PAGES or row["lo"] != row["hi"]]
+               if row["pages"] < TEMPLATE_PAGES or 2 * row["pages"] <= pages or row["lo"] != row["hi"]
+               or re.match(r"(?:p|h[1-6])(?:\.|$)", row["path"].rsplit("/", 1)[-1])]
         mass: Counter = Counter()
         for _, path, chars in own:
             mass[path] += chars

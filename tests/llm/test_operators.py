@@ -338,6 +338,24 @@ def test_html_wrapper_slots(spark):
     assert got == {20 + k: text[k] for k in range(4)}  # a slot of the wrapper decides, inside the article too
 
 
+def test_html_wrapper_template_text(spark):
+    from metroframe.llm.html_wrapper import extract
+
+    long, text = prose(90, 60), [" ".join(prose(100 + k, 40).split()) for k in range(40)]
+    copied = "<body><div id=c><div>Short article.</div><div>End.</div></div></body>"
+    notice = "<body><div id=t>{}</div><div id=c><h2>Section</h2><p>{}</p><p class=k>Constant.</p><p>{}</p><div>Same</div></div></body>"
+    mixed = "<body><div id=c><ul class={}><li>{}</li></ul><p>{}</p></div></body>"
+    rows = [*((k, "http://copies.x/" + str(k), copied) for k in range(4)),
+            *((10 + k, "http://notice.x/" + str(k), notice.format(long, text[k], text[10 + k])) for k in range(6)),
+            *((30 + k, "http://mixed.x/" + str(k), mixed.format("d", "Same in three copies " * 9, text[0])) for k in range(3)),
+            *((33 + k, "http://mixed.x/" + str(k), mixed.format("f", text[k][:99], text[10 + k])) for k in range(5))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    assert got[0] == got[3] == "Short article.\nEnd."  # copies of one page tell no template
+    assert got[12] == f"Section\n{text[2]}\nConstant.\n{text[12]}"  # the long notice goes, headings and paragraphs stay
+    assert got[30] == " ".join(["Same in three copies"] * 9) + "\n" + text[0] and got[34] == f"{text[1][:99].strip()}\n{text[11]}"
+
+
 def test_pipeline_stages(spark, docs, empty, tmp_path):
     import corpus_pipeline
 

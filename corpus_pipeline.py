@@ -20,6 +20,9 @@ from metroframe.llm.queries import benchmark, trusted
 from metroframe.llm.sentencepiece_codec import encode_decode
 
 
+ROW = "row_key_of_stage"
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the likelihood ratio reject go."""
     return quality_filter(docs, trusted(spark, sf_dir))
@@ -33,17 +36,35 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row key, from all columns: rows without an id, or that share one, are told apart; equal rows are not."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.xxhash64(*columns, *[c.isNull() for c in columns]).alias(ROW), F.struct(*columns).alias("doc"),
+                       F.col("doc_id"), F.col("text"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    groups = jaccard_components(docs)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates the row with the smallest id stays, null ids last; of equal rows one."""
+    rows = keyed(docs)
+    groups = written(jaccard_components(rows.select(ROW, "text"), ROW).select(F.col("doc_id").alias(ROW), "component_id"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("first")
+    best = groups.distinct().join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first)
+    best = written(best.select("component_id", F.col(f"first.{ROW}").alias(ROW)), "groups_best")
+    # joins are on the row key alone: a group of any size is spread
+    gone = (groups.filter(f"component_id <> {ROW}").select(ROW).union(best.select("component_id"))
+            .join(best.select(ROW), ROW, "left_anti").select(ROW, F.lit(True).alias("gone")))
+    repeated = rows.groupBy(ROW).count().filter("count > 1").select(ROW, F.lit(False).alias("gone"))
+    marks = written(gone.union(repeated).groupBy(ROW).agg(F.max("gone").alias("gone")), "groups_marks")
+    found = rows.join(marks, ROW, "left").select(ROW, "doc", "gone")
+    once = found.filter("not gone").dropDuplicates([ROW])
+    return found.filter("gone is null").union(once).select("doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    hit = leaks(docs, benchmark(spark, sf_dir)).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    hit = leaks(rows.select(ROW, "text"), benchmark(spark, sf_dir), ROW).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(hit, ROW, "left_anti").select("doc.*")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

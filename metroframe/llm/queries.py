@@ -13,6 +13,9 @@ from metroframe.llm.decontaminate import leaks
 from metroframe.llm.html_wrapper import extract
 from metroframe.llm.jaccard_join import jaccard_components
 from metroframe.llm.line_dedup import dedup_lines, line_dedup_sql
+from metroframe.llm.personal_data import counted as counted_private
+from metroframe.llm.personal_data import listed as listed_private
+from metroframe.llm.personal_data import personal_data
 from metroframe.llm.quality_rules import quality
 from metroframe.llm.secret_scan import counted, listed, secrets
 from metroframe.llm.sentencepiece_codec import encode_decode
@@ -106,3 +109,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir)).select(
+        "doc_id", *[counted_private("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(listed_private("base").cast("binary"), 256).alias("base_sha256"), listed_private("spans").alias("spans"))

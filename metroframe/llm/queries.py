@@ -21,6 +21,7 @@ from metroframe.llm.secret_scan import counted, listed, secrets
 from metroframe.llm.sentencepiece_codec import encode_decode
 from metroframe.llm.sharding import shards_of
 from metroframe.llm.suffix_dedup import suffix_dedup
+from metroframe.llm.token_alignment import align_tokens
 from metroframe.llm.token_files import read_token_files, write_token_files
 from metroframe.session import scratch_path
 
@@ -116,3 +117,10 @@ def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir)).select(
         "doc_id", *[counted_private("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
         F.sha2(listed_private("base").cast("binary"), 256).alias("base_sha256"), listed_private("spans").alias("spans"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = align_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

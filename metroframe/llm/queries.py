@@ -12,6 +12,7 @@ from metroframe.llm.common import documents
 from metroframe.llm.decontaminate import leaks
 from metroframe.llm.html_wrapper import extract
 from metroframe.llm.jaccard_join import jaccard_components
+from metroframe.llm.lexical_search import search
 from metroframe.llm.line_dedup import dedup_lines, line_dedup_sql
 from metroframe.llm.personal_data import counted as counted_private
 from metroframe.llm.personal_data import listed as listed_private
@@ -124,3 +125,25 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = align_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
                         public_tokenizers.path("piece_bpe_32k.model"))
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+# the terms of a text as an SQL list: digits, letters and all beyond ASCII, A-Z in lower case
+TERMS_SQL = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS_SQL.format(text='text')} AS t FROM documents),
+  s AS (SELECT count(*) AS n_all, sum(len(t))::BIGINT AS l_all FROM d WHERE len(t) > 0),
+  q AS (SELECT DISTINCT r, item_id, term FROM (SELECT row_number() OVER () AS r, item_id, unnest({TERMS_SQL.format(text='text')}) AS term FROM benchmark)),
+  p AS (SELECT d.r, doc_id, len(t) AS n, u.term, count(*) AS tf FROM d, unnest(d.t) AS u(term)
+        WHERE u.term IN (SELECT term FROM q) GROUP BY ALL),
+  w AS (SELECT term, floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, n_all),
+  c AS (SELECT q.r AS item, item_id, p.r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_all) // l_all))))::BIGINT AS score
+        FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY ALL),
+  k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM c WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", SEARCH_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), benchmark(spark, sf_dir))

@@ -21,6 +21,7 @@ from metroframe.sinks import tables as ST
 from metroframe.sources import csv as CSV
 from metroframe.sources import snapshot as SNAP
 from metroframe.sources import xml as XML
+from metroframe.sources.headers import read_csv_by_name
 
 
 # --- CSV -----------------------------------------------------------------------------
@@ -53,6 +54,24 @@ def q_src_csv_scan(spark, d):
     return CSV.read_csv(spark, _orders_csv(spark, d), ORDERS_CSV_SCHEMA)
 
 
+@query("src_csv_header_order", """
+SELECT CASE WHEN o_orderkey % 3 <> 2 THEN o_custkey END AS o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, 'part ' || (o_orderkey % 3) AS part FROM orders""")
+def q_src_csv_header_order(spark, d):
+    """SRC-1: files whose headers differ: columns in another order, one more,
+    one less; all rows come by name, with the folder's column."""
+    o = tb.table(spark, d, "orders").withColumn("part", F.concat(F.lit("part "), (F.col("o_orderkey") % 3).cast("string")))
+    path = scratch_path(spark, "orders_headers")
+    plain, turned, less = (o.where(F.col("o_orderkey") % 3 == k) for k in range(3))
+    SK.write_csv(plain, path, ["part"])
+    SK.write_csv(turned.select(*reversed(turned.columns)).withColumn("extra", F.lit("x")), path, ["part"], mode="append")
+    SK.write_csv(less.select("o_orderpriority", "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate", "part"), path, ["part"],
+                 mode="append")
+    schema = T.StructType([ORDERS_CSV_SCHEMA[n] for n in ("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                                                          "o_orderpriority")] + [T.StructField("part", T.StringType())])
+    return read_csv_by_name(spark, path, schema, options={"timestampNTZFormat": CSV.TIMESTAMP_TEXT})
+
+
 @query("src_csv_inferred", f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS order_day,
        o_orderpriority, {NOTE_SQL} AS note FROM orders""")

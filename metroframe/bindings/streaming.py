@@ -20,8 +20,9 @@ FIRST_BATCH = ["click", "view", "error"]
 
 @query("stm_incremental_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stm_incremental_ingest(spark, d):
-    """STM-1: events land in two batches of CSV files; each AvailableNow run
-    ingests only the new files, and a run with nothing new adds nothing."""
+    """STM-1: events land in two batches of CSV files, the second with its
+    columns in another order; each AvailableNow run ingests only the new files, by
+    header name, and a run with nothing new adds nothing."""
     e = tb.table(spark, d, "events").select(*[f.name for f in EVENT_SCHEMA.fields])
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("events_landing", "events_sink", "events_ckpt"))
     first = e.where(F.col("event_type").isin(FIRST_BATCH))
@@ -29,7 +30,7 @@ def q_stm_incremental_ingest(spark, d):
     opts = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
     SK.write_csv(first, landing, mode="append")
     n1 = incremental_ingest(spark, landing, EVENT_SCHEMA, sink, ckpt, partition_by=["event_type"], options=opts)
-    SK.write_csv(second, landing, mode="append")
+    SK.write_csv(second.select(*reversed(second.columns)), landing, mode="append")
     n2 = incremental_ingest(spark, landing, EVENT_SCHEMA, sink, ckpt, partition_by=["event_type"], options=opts)
     n3 = incremental_ingest(spark, landing, EVENT_SCHEMA, sink, ckpt, partition_by=["event_type"], options=opts)
     if n3 != 0:

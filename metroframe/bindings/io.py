@@ -13,15 +13,16 @@ from pyspark.sql import types as T
 
 from metroframe.bindings import query
 from metroframe.bindings import tables as tb
-from metroframe.operators.aggregates import collect_latest, max_value
+from metroframe.operators.aggregates import collect_latest
 from metroframe.operators.filters import partition_equals
 from metroframe.session import scratch_path, unique_name
 from metroframe.sinks import files as SK
 from metroframe.sinks import tables as ST
 from metroframe.sources import csv as CSV
+from metroframe.sources import manifest as MAN
 from metroframe.sources import snapshot as SNAP
 from metroframe.sources import xml as XML
-from metroframe.sources.headers import read_csv_by_name
+from metroframe.sources.headers import hadoop_path, read_csv_by_name
 
 
 # --- CSV -----------------------------------------------------------------------------
@@ -112,9 +113,8 @@ def _event_snapshots(spark, d):
     return path
 
 
-def _read_snapshots(spark, path):
-    return SNAP.read_partitioned(spark, path, "csv", EVENTS_SNAPSHOT_SCHEMA,
-                                 {"request_date": "string", "district": "string"})
+def _manifest(spark, path):
+    return MAN.refresh_manifest(spark, path, scratch_path(spark, "manifest"))
 
 
 EV_COLS = "event_id, ts, user_id, value, props, strftime(ts, '%y%m%d') AS request_date, event_type AS district"
@@ -133,18 +133,16 @@ def q_src_latest_snapshot(spark, d):
 SELECT * FROM (SELECT {EV_COLS} FROM events)
 WHERE request_date = (SELECT min(strftime(ts, '%y%m%d')) FROM events)""")
 def q_flt_partition_prune(spark, d):
-    """FLT-5: equality on the partition column; only that folder is scanned
-    (PartitionFilters)."""
-    df = _read_snapshots(spark, _event_snapshots(spark, d))
-    first = SNAP.latest_value(df, "request_date", fn="min")
-    return partition_equals(df, "request_date", first)
+    """FLT-5: equality on the partition column; only that folder is listed and read."""
+    path = _event_snapshots(spark, d)
+    first = min(MAN.child_values(spark, path, "request_date"))
+    return partition_equals(SNAP.read_snapshot(spark, path, first, "csv", EVENTS_SNAPSHOT_SCHEMA), "request_date", first)
 
 
 @query("agg_max_partition", "SELECT max(strftime(ts, '%y%m%d')) AS latest_request_date FROM events")
 def q_agg_max_partition(spark, d):
-    """AGG-4: max of the text partition column, from the partition listing."""
-    return max_value(_read_snapshots(spark, _event_snapshots(spark, d)), "request_date", "latest_request_date",
-                     partition_column=True)
+    """AGG-4: max of the text partition column, from the manifest."""
+    return MAN.latest_date(_manifest(spark, _event_snapshots(spark, d)), "request_date", "latest_request_date")
 
 
 @query("agg_collect_latest", """
@@ -152,8 +150,40 @@ SELECT request_date, list_sort(list(DISTINCT district)) AS members FROM (SELECT
 WHERE request_date = (SELECT max(strftime(ts, '%y%m%d')) FROM events) GROUP BY request_date""".replace(
     "{cols}", EV_COLS))
 def q_agg_collect_latest(spark, d):
-    """AGG-5: the districts present in the latest snapshot."""
-    return collect_latest(_read_snapshots(spark, _event_snapshots(spark, d)), "request_date", "district")
+    """AGG-5: the districts present in the latest snapshot, from the manifest; no data file is read."""
+    return MAN.latest_members(_manifest(spark, _event_snapshots(spark, d)))
+
+
+@query("agg_collect_latest_rows", """
+SELECT request_date, list_sort(list(DISTINCT district)) AS members FROM (SELECT {cols} FROM events)
+WHERE request_date = (SELECT max(strftime(ts, '%y%m%d')) FROM events) GROUP BY request_date""".replace("{cols}", EV_COLS))
+def q_agg_collect_latest_rows(spark, d):
+    """AGG-5 over rows of a table."""
+    e = tb.table(spark, d, "events").select(F.date_format("ts", "yyMMdd").alias("request_date"), F.col("event_type").alias("district"))
+    return collect_latest(e, "request_date", "district")
+
+
+@query("src_manifest", """
+SELECT strftime(ts, '%y%m%d') AS request_date, event_type AS member, count(*) > 0 AS has_rows FROM events GROUP BY ALL
+UNION ALL SELECT max(strftime(ts, '%y%m%d')), 'waiting', false FROM events
+UNION ALL SELECT max(strftime(ts, '%y%m%d')), 'header only', false FROM events""")
+def q_src_manifest(spark, d):
+    """SRC-4: the manifest of all dates, refreshed twice: half of the dates land first, then the
+    others, with a district that has no file yet and one whose file holds a header alone."""
+    e = tb.table(spark, d, "events")
+    landed = e.select("event_id", "ts", F.date_format("ts", "yyMMdd").alias("request_date"), F.col("event_type").alias("district"))
+    path, manifest = scratch_path(spark, "event_landing"), scratch_path(spark, "event_manifest")
+    odd = F.col("request_date").cast("int") % 2 == 1
+    SK.write_csv(landed.where(odd), path, ["request_date", "district"])
+    MAN.refresh_manifest(spark, path, manifest)
+    SK.write_csv(landed.where(~odd), path, ["request_date", "district"], mode="append")
+    newest = MAN.latest_snapshot(spark, path)[1]
+    fs, waiting = hadoop_path(spark, f"{newest}/district=waiting")
+    fs.mkdirs(waiting)
+    SK.write_csv(landed.select("event_id", "ts").limit(0).coalesce(1), f"{newest}/district=header only")
+    table = MAN.refresh_manifest(spark, path, manifest)
+    rows = F.col("file").isNotNull() & (F.col("member") != "header only")
+    return table.groupBy("request_date", "member").agg(F.max(rows).alias("has_rows"))
 
 
 # --- XML pages with a status code ---------------------------------------------------------

@@ -1,4 +1,4 @@
-"""AGG-2..AGG-5: value counts, row counts, partition maxima, latest groups."""
+"""AGG-2..AGG-5: value counts, row counts, maxima, latest groups."""
 
 from __future__ import annotations
 
@@ -27,35 +27,16 @@ def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def max_value(df: DataFrame, col: str, name: str | None = None, *, partition_column: bool = False) -> DataFrame:
-    """AGG-4: maximum of a column as a one-row DataFrame.
-
-    For a partition column the value is read from the partition listing
-    (no data file opened) and returned as a one-row frame; otherwise it is a
-    global aggregate with partial maxima per task.
-    """
-    name = name or f"max_{col}"
-    if partition_column:
-        from metroframe.sources.snapshot import latest_value
-
-        dtype = dict(df.dtypes)[col]
-        value = latest_value(df, col)
-        return df.sparkSession.range(1).select(F.lit(value).cast(dtype).alias(name))
-    return df.agg(F.max(col).alias(name))
+def max_value(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """AGG-4: maximum of a column as a one-row DataFrame, with partial maxima per
+    task. The latest date of dated folders comes from a listing instead (``sources.manifest``)."""
+    return df.agg(F.max(col).alias(name or f"max_{col}"))
 
 
 def collect_latest(df: DataFrame, snapshot_col: str, member_col: str, *,
                    members_name: str = "members") -> DataFrame:
-    """AGG-5: the distinct members of the latest snapshot, one row.
-
-    The latest snapshot is found first (from the partition listing when it is
-    a partition column), then only its partition is read and grouped, so the
-    collected set is that of one snapshot (bounded by the member domain, for
-    districts a few dozen), never the whole table.
-    """
-    from metroframe.sources.snapshot import latest_value
-
-    latest = latest_value(df, snapshot_col)
-    rows = df.where(F.col(snapshot_col) == F.lit(latest))
-    return (rows.groupBy(snapshot_col)
-            .agg(F.array_sort(F.collect_set(member_col)).alias(members_name)))
+    """AGG-5 over rows: the distinct members of the latest snapshot, one row. Of dated folders they
+    come from the manifest (``sources.manifest.latest_members``), which keeps members without rows."""
+    newest = df.agg(F.max(snapshot_col).alias("__newest"))
+    rows = df.join(newest, df[snapshot_col] == newest["__newest"], "left_semi")
+    return rows.groupBy(snapshot_col).agg(F.array_sort(F.collect_set(member_col)).alias(members_name))

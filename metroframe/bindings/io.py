@@ -8,6 +8,9 @@ the oracle selects the expected rows from the original tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +21,7 @@ from metroframe.operators.filters import partition_equals
 from metroframe.session import scratch_path, unique_name
 from metroframe.sinks import files as SK
 from metroframe.sinks import tables as ST
+from metroframe.sinks import versions as VER
 from metroframe.sources import csv as CSV
 from metroframe.sources import manifest as MAN
 from metroframe.sources import snapshot as SNAP
@@ -278,13 +282,29 @@ def q_snk_parquet_overwrite(spark, d):
 @query("snk_full_refresh", ORDERS_SQL)
 def q_snk_full_refresh(spark, d):
     """SNK-3: a full refresh replaces every old partition, including ones the
-    new data does not have."""
+    new data does not have, as a new version."""
     o = tb.table(spark, d, "orders")
     path = scratch_path(spark, "orders_refresh")
     stale = o.withColumn("o_orderstatus", F.concat(F.lit("stale-"), F.col("o_orderstatus")))
-    SK.write_parquet(stale, path, ["o_orderstatus"])
-    SK.write_parquet(o, path, ["o_orderstatus"])
-    return spark.read.parquet(path).select(*o.columns)
+    VER.publish(stale, path, ["o_orderstatus"])
+    VER.publish(o, path, ["o_orderstatus"])
+    return VER.read_published(spark, path)
+
+
+@query("snk_versions", f"""
+SELECT 'first' AS version, * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'second', * FROM orders
+UNION ALL SELECT 'table after roll back', * FROM orders WHERE o_orderkey % 2 = 0""")
+def q_snk_versions(spark, d):
+    """SNK-3 and SNK-6: two versions of a partitioned table, each readable; a catalog table follows, also back to the first."""
+    o = tb.table(spark, d, "orders")
+    path, name = scratch_path(spark, "orders_versions"), unique_name("orders_versions")
+    first = VER.publish_table(o.where("o_orderkey % 2 = 0"), name, path, ["o_orderstatus"])
+    second = VER.publish_table(o, name, path, ["o_orderstatus"])
+    VER.roll_back(spark, path, first)
+    VER.repair_table(spark, name, path)
+    parts = {"first": VER.read_published(spark, path, first), "second": VER.read_published(spark, path, second),
+             "table after roll back": spark.table(name).select(*o.columns)}
+    return reduce(DataFrame.unionByName, [df.withColumn("version", F.lit(k)) for k, df in parts.items()])
 
 
 LINE_SQL = "SELECT * FROM lineitem"

@@ -1,11 +1,11 @@
 """The reference platform's jobs as single calls: raw folders in, curated and
 mart tables out.
 
-Each transform job reads the latest ``request_date`` snapshot (SRC-4, one
-scalar max, then a pruned scan), applies its plan, and replaces its output
-folder (SNK-1/SNK-3); the loan job is incremental (SRC-5 / STM-1); the L2
-and mart jobs read curated Parquet (SRC-11) and write Parquet. Paths are
-folders of any Hadoop-compatible store.
+Each transform job reads the latest ``request_date`` snapshot (SRC-4: one listing,
+then its files), applies its plan, and publishes its output as a new version
+(SNK-3, ``sinks.versions``: read it by ``read_published``); the loan job is
+incremental (SRC-5 / STM-1); the L2 and mart jobs read curated tables (SRC-11)
+and publish theirs. Paths are folders of any Hadoop-compatible store.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from metroframe.plans import curated as C
 from metroframe.plans.keywords import keyword_columns, top_keywords
 from metroframe.plans.marts import entity_union, facility_union, integrated_accessibility
 from metroframe.schemas import BEST_LOAN_RAW
-from metroframe.sinks.files import write_csv, write_parquet
+from metroframe.sinks.files import write_csv
+from metroframe.sinks.versions import publish, read_published
 from metroframe.sources.csv import read_csv_charset
 from metroframe.sources.snapshot import read_latest_snapshot
 from metroframe.streaming.ingest import incremental_ingest, reset_ingest
@@ -45,7 +46,7 @@ def best_loan_job(spark: SparkSession, raw_path: str, curated_path: str, checkpo
 # P-2 -------------------------------------------------------------------------------
 def bus_stop_job(spark: SparkSession, raw_path: str, curated_path: str) -> None:
     raw = read_latest_snapshot(spark, raw_path, "csv")
-    write_parquet(C.build_bus_stops(raw), curated_path, ["bus_district"])
+    publish(C.build_bus_stops(raw), curated_path, ["bus_district"])
 
 
 # P-3 -------------------------------------------------------------------------------
@@ -55,13 +56,13 @@ def subway_station_job(spark: SparkSession, raw_path: str, district_info_path: s
     master = read_latest_snapshot(spark, raw_path, "csv")
     info = positional_rename(read_csv_charset(spark, district_info_path, encoding), ["district", "stations", "n"])
     out = C.build_subway_stations(master, info, "district", "stations")
-    write_parquet(out, curated_path, ["sta_district", "sta_line"])
+    publish(out, curated_path, ["sta_district", "sta_line"])
 
 
 # P-4 -------------------------------------------------------------------------------
 def city_park_job(spark: SparkSession, raw_path: str, curated_path: str) -> None:
     raw = read_latest_snapshot(spark, raw_path, "csv")
-    write_parquet(C.build_parks(raw), curated_path, ["park_district"])
+    publish(C.build_parks(raw), curated_path, ["park_district"])
 
 
 # P-5 -------------------------------------------------------------------------------
@@ -86,34 +87,34 @@ def event_keyword_job(spark: SparkSession, parse_path: str, pages: DataFrame, in
 # P-6 -------------------------------------------------------------------------------
 def event_info_job(spark: SparkSession, info_path: str, curated_path: str) -> None:
     raw = read_latest_snapshot(spark, info_path, "csv")
-    write_parquet(C.build_event_info(raw), curated_path, ["cul_district"])
+    publish(C.build_event_info(raw), curated_path, ["cul_district"])
 
 
 # P-7 -------------------------------------------------------------------------------
 def library_job(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
-    """Replaces the curated folder with the mapped rows (the reference purged
+    """Publishes the mapped rows as the curated table (the reference purged
     the prefix, then let its writer add files); returns the data-quality
     results (one row per rule), which never block the write."""
     raw = read_latest_snapshot(spark, raw_path, "csv")
     data, quality = C.build_library_data(raw)
-    write_parquet(data, curated_path, ["lib_district"])
+    publish(data, curated_path, ["lib_district"])
     return quality
 
 
 # P-8, P-9, P-10 ----------------------------------------------------------------------
 def entity_union_job(spark: SparkSession, library_path: str, event_path: str, loan_path: str, out_path: str) -> None:
-    lib, cul, bll = (spark.read.parquet(p) for p in (library_path, event_path, loan_path))
-    write_parquet(entity_union(lib, cul, bll), out_path, cluster=False)
+    lib, cul, bll = (read_published(spark, p) for p in (library_path, event_path, loan_path))
+    publish(entity_union(lib, cul, bll), out_path)
 
 
 def facility_locations_job(spark: SparkSession, bus_path: str, subway_path: str, park_path: str,
                            out_path: str) -> None:
-    bus, sta, park = (spark.read.parquet(p) for p in (bus_path, subway_path, park_path))
-    write_parquet(facility_union(bus, sta, park), out_path, cluster=False)
+    bus, sta, park = (read_published(spark, p) for p in (bus_path, subway_path, park_path))
+    publish(facility_union(bus, sta, park), out_path)
 
 
 def accessibility_job(spark: SparkSession, entity_path: str, facility_path: str, out_path: str, *,
                       radius_m: float = K.RADIUS_M) -> None:
-    out = integrated_accessibility(spark.read.parquet(entity_path), spark.read.parquet(facility_path),
+    out = integrated_accessibility(read_published(spark, entity_path), read_published(spark, facility_path),
                                    radius_m=radius_m)
-    write_parquet(out, out_path, cluster=False)
+    publish(out, out_path)

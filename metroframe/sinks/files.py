@@ -18,9 +18,9 @@ def _clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite",
                   cluster: bool = True, compression: str = "snappy") -> None:
-    """SNK-1 (overwrite) / SNK-3 (full refresh): an overwrite goes to a folder
-    beside ``path`` and takes its place only after the job has committed, so a
-    failed job leaves the old data."""
+    """SNK-1: one partitioned folder. An overwrite goes to a folder beside ``path`` and takes its place
+    after the job has committed, so a failed job leaves the old data; between the two there is a moment without
+    a folder. A table that others read meanwhile is replaced by ``sinks.versions.publish`` (SNK-3)."""
     out = _clustered(df, partition_by) if cluster else df
     w = out.write.option("compression", compression)
     if partition_by:

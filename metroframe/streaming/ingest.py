@@ -13,10 +13,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from metroframe.sinks.observed import observe_rows, rows_of
 from metroframe.sources.headers import SourceFile, hadoop_path, partition_values, read_csv_files
 
 MAX_FILE_AGE = "36500d"  # the source's default of a week would skip older files
@@ -93,11 +93,10 @@ def incremental_ingest(spark: SparkSession, source_path: str, schema: T.StructTy
             keys = {k for f in files for k in partition_values(f.path, source_path)}
             full = T.StructType([f for f in schema.fields if f.name not in keys] + [f for f in schema.fields if f.name in keys])
             rows = session.read.format(fmt).options(**(options or {})).option("basePath", source_path).schema(full).load([f.path for f in files])
-        seen = Observation()
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows, seen = observe_rows(rows)
         out = (transform(rows) if transform is not None else rows).write.mode("append").option("mapreduce.output.basename", name)
         (out.partitionBy(*partition_by) if partition_by else out).parquet(sink_path)
-        count = seen.get["rows"]
+        count = rows_of(seen)
         _put(session, sink_path, batch, "done", {"batch": batch, "files": [f.path for f in files], "rows": count})
         taken += count
 

@@ -60,9 +60,11 @@ def test_stream_takes_columns_by_name(spark, tmp_dir):
     assert incremental_ingest(spark, land, SCHEMA, sink, ckpt, partition_by=["k"]) == 2
     put(f"{land}/k=y/3.csv", "extra,n\nz,3\n")
     assert incremental_ingest(spark, land, SCHEMA, sink, ckpt, partition_by=["k"]) == 1
+    put(f"{land}/k=y/4.csv", "")
+    put(f"{land}/k=y/5.csv", "n,a\n")
     assert incremental_ingest(spark, land, SCHEMA, sink, ckpt, partition_by=["k"]) == 0
     assert {tuple(r) for r in spark.read.parquet(sink).select("a", "n", "k").collect()} == {("가", 1, "x"), ("나", 2, "x"), (None, 3, "y")}
-    assert [(r["rows"], len(r["files"])) for r in ledger(spark, sink).orderBy("batch").collect()] == [(2, 2), (1, 1)]
+    assert [(r["rows"], len(r["files"])) for r in ledger(spark, sink).orderBy("batch").collect()] == [(2, 2), (1, 1), (0, 1)]  # empty files are not files to the stream
 
 
 def test_stream_batch_that_runs_again(spark, tmp_dir):

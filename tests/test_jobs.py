@@ -4,6 +4,7 @@ raw CSV snapshots -> curated Parquet -> L2 union -> marts."""
 import os
 
 from metroframe.plans import jobs as J
+from metroframe.sinks.versions import read_published
 
 BOM = "﻿"
 
@@ -55,21 +56,21 @@ def test_raw_to_marts(spark, tmp_dir):
     J.event_info_job(spark, f"{raw}/event-info", f"{cur}/event")
     quality = J.library_job(spark, f"{raw}/library", f"{cur}/library")
     J.library_job(spark, f"{raw}/library", f"{cur}/library")  # a rerun replaces, never duplicates
-    assert spark.read.parquet(f"{cur}/library").count() == 1
+    assert read_published(spark, f"{cur}/library").count() == 1
     assert J.best_loan_job(spark, f"{raw}/loans", f"{cur}/loans", f"{tmp_dir}/ckpt") == 1
     assert J.best_loan_job(spark, f"{raw}/loans", f"{cur}/loans", f"{tmp_dir}/ckpt") == 0
     assert quality.first()["passed"] is True
 
-    bus = spark.read.parquet(f"{cur}/bus")
+    bus = read_published(spark, f"{cur}/bus")
     assert sorted(r["bus_name"] for r in bus.collect()) == ["먼정류장", "역삼정류장"]  # latest only, unknown prefix out
-    ev = spark.read.parquet(f"{cur}/event").first()
+    ev = read_published(spark, f"{cur}/event").first()
     assert (ev["cul_keyword_1"], ev["cul_keyword_2"], ev["cul_keyword_3"]) == ("음악", "공연", "재즈")
     assert ev["cul_is_free"] is True and ev["cul_latitude"] == 37.5001
 
     J.entity_union_job(spark, f"{cur}/library", f"{cur}/event", f"{cur}/loans", f"{mart}/entities")
     J.facility_locations_job(spark, f"{cur}/bus", f"{cur}/subway", f"{cur}/park", f"{mart}/facilities")
     J.accessibility_job(spark, f"{mart}/entities", f"{mart}/facilities", f"{mart}/accessibility")
-    acc = {r["entity_name"]: r for r in spark.read.parquet(f"{mart}/accessibility").collect()}
+    acc = {r["entity_name"]: r for r in read_published(spark, f"{mart}/accessibility").collect()}
     assert set(acc) == {"역삼도서관", "봄 음악회", "책"}
     lib = acc["역삼도서관"]
     assert (lib["bus_stops_within_1km"], lib["subway_stations_within_1km"], lib["parks_within_1km"]) == (1, 1, 1)
@@ -83,4 +84,4 @@ def test_cli_runs_a_job(spark, tmp_dir):
 
     write(f"{tmp_dir}/raw/request_date=240601/a.csv", "CRTR_ID,CRTR_NM,LAT,LOT\n100000001,정류장,37.5,127.0\n")
     assert main(["bus-stops", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out"]) == 0
-    assert [r["bus_district"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()] == ["종로구"]
+    assert [r["bus_district"] for r in read_published(spark, f"{tmp_dir}/out").collect()] == ["종로구"]

@@ -196,9 +196,10 @@ ERROR_PAGE = 1  # the second page answers with an error code
 XML_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("S_SUPPKEY", "S_NAME", "S_ACCTBAL", "NOTE")])
 
 
-def _xml_pages(spark, d):
+def _xml_pages(spark, d, lost=None, cut=False):
     """supplier as API responses: pages of 25 <row> records, each file with a
-    RESULT/CODE; page 1 is an error page, and one extra page ends the feed."""
+    RESULT/CODE; page 1 is an error page, and one extra page ends the feed. ``lost`` is
+    a page left out; ``cut`` adds a page that breaks off, and an announced total."""
     s = tb.table(spark, d, "supplier")
     note = (F.when(F.col("s_nationkey") < 10, F.lit("<NOTE></NOTE>"))
             .when(F.col("s_nationkey") < 20, F.lit("<NOTE> A &amp; B </NOTE>")).otherwise(F.lit("")))
@@ -210,13 +211,18 @@ def _xml_pages(spark, d):
     ordered = F.array_sort(F.collect_list(F.struct("s_suppkey", "xml"))).getField("xml")
     docs = rows.groupBy("page").agg(F.array_join(ordered, "").alias("body"))
     code = F.when(F.col("page") == ERROR_PAGE, F.lit("ERROR-500")).otherwise(F.lit("INFO-000"))
-    files = docs.select("page", F.concat(F.lit("<response><RESULT><CODE>"), code, F.lit("</CODE><MESSAGE>m</MESSAGE>"
+    total = F.concat(F.lit("<list_total_count>"), F.lit(s.count()).cast("string"), F.lit("</list_total_count>")) if cut else F.lit("")
+    files = docs.select("page", F.concat(F.lit("<response>"), total, F.lit("<RESULT><CODE>"), code, F.lit("</CODE><MESSAGE>m</MESSAGE>"
                                                                                         "</RESULT>"), F.col("body"),
                                          F.lit("</response>")).alias("value"))
     end = files.agg(F.max("page").alias("page")).select(
         (F.col("page") + 1).alias("page"),
         F.lit("<response><CODE>INFO-200</CODE><MESSAGE>no data</MESSAGE></response>").alias("value"))
     path = scratch_path(spark, "supplier_xml")
+    if cut:
+        end = end.unionByName(end.select((F.col("page") + 1).alias("page"), F.lit("<response><RESULT><CODE>INFO-000</CODE><row>").alias("value")))
+    if lost is not None:
+        files = files.where(F.col("page") != lost)
     files.unionByName(end).repartition("page").write.partitionBy("page").text(path)
     return path
 
@@ -230,16 +236,11 @@ def _typed(df):
                      F.col("S_ACCTBAL").try_cast("double").alias("s_acctbal"), F.col("NOTE").alias("note"))
 
 
-def _read_xml(spark, path):
-    return (spark.read.format("xml").option("rowTag", "row").option("recursiveFileLookup", True)
-            .option("ignoreSurroundingSpaces", True).schema(XML_SCHEMA).load(path))
-
-
 @query("src_xml_records", XML_ROWS_SQL)
 def q_src_xml_records(spark, d):
     """SRC-6: every <row> of every page: child tag = column, text trimmed,
     entities decoded, empty element '', missing element null."""
-    return _typed(_read_xml(spark, _xml_pages(spark, d)))
+    return _typed(XML.read_xml_records(spark, _xml_pages(spark, d), "row", XML_SCHEMA))
 
 
 @query("src_xml_status_gate", f"SELECT * FROM ({XML_ROWS_SQL}) WHERE floor(s_suppkey / {PAGE_SIZE}) <> {ERROR_PAGE}")
@@ -256,13 +257,25 @@ WHERE floor(s_suppkey / {PAGE_SIZE}) <> {ERROR_PAGE} GROUP BY 1""")
 def q_set_concat_pages(spark, d):
     """SET-3: the good pages appended into one frame, columns united by name
     (one explicit schema); one row per page with its record count."""
-    path = _xml_pages(spark, d)
-    status = XML.status_of_files(spark, path)
-    good = status.where(F.col("code") == "INFO-000").select("file")
-    rows = _read_xml(spark, path).withColumn("file", F.col("_metadata.file_path"))
-    kept = rows.join(good, "file", "left_semi")
-    return (kept.groupBy(F.floor(F.col("S_SUPPKEY").cast("bigint") / PAGE_SIZE).alias("page"))
-            .agg(F.count(F.lit(1)).alias("records")))
+    pages = XML.parse_pages(XML.read_responses(spark, _xml_pages(spark, d)), XML_SCHEMA)
+    return pages.where(F.col("code") == "INFO-000").select("page", F.size("records").cast("bigint").alias("records"))
+
+
+LOST_PAGE = 2  # a page of which no file is there
+
+
+@query("src_xml_completeness", f"""
+WITH p AS (SELECT CAST(floor(s_suppkey / {PAGE_SIZE}) AS BIGINT) AS page, count(*) AS n FROM supplier GROUP BY 1),
+  t AS (SELECT max(page) AS last, sum(n) FILTER (page NOT IN ({ERROR_PAGE}, {LOST_PAGE})) AS got, sum(n) AS total FROM p)
+SELECT page, 'ERROR-500' AS code, 'm' AS message FROM p WHERE page = {ERROR_PAGE}
+UNION ALL SELECT page, 'MISSING-PAGE', NULL FROM p WHERE page = {LOST_PAGE}
+UNION ALL SELECT NULL, 'SHORT-FEED', got::BIGINT || ' of ' || total::BIGINT FROM t
+UNION ALL SELECT last + 2, 'MALFORMED', NULL FROM t""")
+def q_src_xml_completeness(spark, d):
+    """SRC-7: what keeps a feed from being complete: an error page, a page that is not there, one that
+    is cut off, and fewer records than announced."""
+    pages = XML.parse_pages(XML.read_responses(spark, _xml_pages(spark, d, lost=LOST_PAGE, cut=True)), XML_SCHEMA)
+    return XML.page_rejects(pages).select("page", "code", "message")
 
 
 # --- sinks ---------------------------------------------------------------------------------

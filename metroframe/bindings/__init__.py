@@ -29,5 +29,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every binding module (each registers its queries)."""
     from metroframe.bindings import (  # noqa: F401
-        catalog, curated, expressions, io, marts, spatial, streaming, text,
+        catalog, curated, expressions, ingest, io, marts, spatial, streaming, text,
     )

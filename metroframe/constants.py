@@ -33,6 +33,37 @@ BUS_STOP_CODE_LOOKUP = [
     ("강동구", 25, "124"),
 ]
 
+# --- fixed values: district -> code in requests for popular loans -----------
+LOAN_REGION = 11
+LOAN_PAGE_SIZE = 200
+LOAN_DISTRICT_CODES = [
+    ("강남구", 11230),
+    ("강동구", 11250),
+    ("강북구", 11090),
+    ("강서구", 11160),
+    ("관악구", 11210),
+    ("광진구", 11050),
+    ("구로구", 11170),
+    ("금천구", 11180),
+    ("노원구", 11110),
+    ("도봉구", 11100),
+    ("동대문구", 11060),
+    ("동작구", 11200),
+    ("마포구", 11140),
+    ("서대문구", 11130),
+    ("서초구", 11220),
+    ("성동구", 11040),
+    ("성북구", 11080),
+    ("송파구", 11240),
+    ("양천구", 11150),
+    ("영등포구", 11190),
+    ("용산구", 11030),
+    ("은평구", 11120),
+    ("종로구", 11010),
+    ("중구", 11020),
+    ("중랑구", 11070),
+]
+
 # --- fixed values: words dropped before keyword counting (20 words) --------
 KEYWORD_STOP_WORDS = [
     "금", "중", "일", "월", "서울", "문화", "정보", "신청", "행사", "관광",

@@ -19,6 +19,8 @@ def all_strings(*names: str) -> T.StructType:
 BEST_LOAN_RAW = all_strings("no", "ranking", "bookname", "authors", "publisher", "publication_year", "isbn13",
                             "addition_symbol", "vol", "class_no", "loan_count", "bookImageURL", "bookDtlUrl",
                             "class_major", "class_sub", "class_detailed")
+BEST_LOAN_RESPONSE = all_strings("no", "ranking", "bookname", "authors", "publisher", "publication_year", "isbn13",
+                                 "addition_symbol", "vol", "class_no", "class_nm", "loan_count", "bookImageURL", "bookDtlUrl")
 BUS_STOP_RAW = all_strings("CRTR_ID", "CRTR_NM", "CRTR_TYPE", "CRTR_NO", "LAT", "LOT", "BUS_ARVL_INFO_GUIDEM_INSTL")
 SUBWAY_STATION_RAW = all_strings("BLDN_ID", "BLDN_NM", "ROUTE", "LAT", "LOT")
 EVENT_PARSE_RAW = all_strings("CODENAME", "GUNAME", "TITLE", "DATE", "PLACE", "ORG_NAME", "USE_TRGT", "USE_FEE",

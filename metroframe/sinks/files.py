@@ -51,8 +51,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
      .partitionBy(*partition_by).parquet(path))
 
 
-def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite") -> None:
-    """SNK-4: header CSV, UTF-8, one folder per key, quoting as RFC 4180.
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mode: str = "overwrite", dynamic: bool = False) -> None:
+    """SNK-4: header CSV, UTF-8, one folder per key, quoting as RFC 4180. With ``dynamic`` an overwrite
+    replaces only the folders that ``df`` has rows for.
 
     No byte-order mark is written; readers accept files with or without one.
     """
@@ -61,6 +62,8 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mod
          .option("encoding", "UTF-8").option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

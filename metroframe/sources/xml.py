@@ -18,7 +18,7 @@ from metroframe import constants as K
 
 PAGE_IN_PATH = r"page[=_-]?([0-9]+)"
 # what a page can be rejected for, beside the code it gives itself
-MALFORMED, NO_CODE, MISSING, SHORT = "MALFORMED", "NO-CODE", "MISSING-PAGE", "SHORT-FEED"
+MALFORMED, NO_CODE, ERROR, MISSING, SHORT = "MALFORMED", "NO-CODE", "ERROR", "MISSING-PAGE", "SHORT-FEED"
 
 
 def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
@@ -43,21 +43,28 @@ def _nested(tags: Sequence[str], leaf: T.DataType) -> T.StructField:
 
 
 def parse_pages(responses: DataFrame, records: T.StructType, record_path: Sequence[str] = ("row",), *, page: Column | None = None,
-                feed: Column | None = None, total_tag: str = "list_total_count") -> DataFrame:
+                feed: Column | None = None, total_tag: str = "list_total_count", error_tag: str | None = None,
+                default_code: str | None = None) -> DataFrame:
     """SRC-7: ``responses`` (file, body) with feed, page, code, message, total, malformed and records (an array of structs).
 
     ``record_path`` leads from the root element to the records. ``page`` is the number of the page within its ``feed`` (by
-    default from the file's path, all files one feed). Where both RESULT/CODE and CODE are there, the first counts.
+    default from the file's path, all files one feed). Where both RESULT/CODE and CODE are there, the first counts. An
+    API without codes has an ``error_tag``, which makes a page an error, and a ``default_code`` for other pages.
     """
     status = [T.StructField("CODE", T.StringType()), T.StructField("MESSAGE", T.StringType())]
     schema = T.StructType([T.StructField("RESULT", T.StructType(status)), *status, T.StructField(total_tag, T.LongType()),
-                           _nested(record_path, T.ArrayType(records)), T.StructField("_corrupt_record", T.StringType())])
+                           _nested(record_path, T.ArrayType(records)), *([T.StructField(error_tag, T.StringType())] if error_tag else []),
+                           T.StructField("_corrupt_record", T.StringType())])
     parsed = responses.select("*", F.from_xml("body", schema.json(), {"ignoreSurroundingSpaces": "true"}).alias("x"))
     given = lambda name: F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in (f"x.RESULT.{name}", f"x.{name}")])
+    code, message = given("CODE"), given("MESSAGE")
+    if error_tag:
+        failed = F.col(f"x.{error_tag}").isNotNull()
+        code, message = F.when(failed, ERROR).otherwise(code), F.when(failed, F.col(f"x.{error_tag}")).otherwise(message)
     number = F.nullif(F.regexp_extract("file", PAGE_IN_PATH, 1), F.lit("")).cast("long") if page is None else page.cast("long")
     return parsed.select(
-        "file", (F.lit("") if feed is None else feed).alias("feed"), number.alias("page"), given("CODE").alias("code"),
-        given("MESSAGE").alias("message"), F.col(f"x.{total_tag}").alias("total"),
+        "file", (F.lit("") if feed is None else feed).alias("feed"), number.alias("page"), F.coalesce(code, F.lit(default_code)).alias("code"),
+        message.alias("message"), F.col(f"x.{total_tag}").alias("total"),
         (F.col("x").isNull() | F.col("x._corrupt_record").isNotNull()).alias("malformed"),
         F.coalesce(F.col("x." + ".".join(record_path)), F.array()).cast(T.ArrayType(records)).alias("records"))
 

@@ -8,7 +8,7 @@ from metroframe import constants as K
 from metroframe.bindings import query
 from metroframe.bindings import tables as tb
 from metroframe.functions.geo import haversine_sql
-from metroframe.plans.marts import entity_union, facility_union, integrated_accessibility
+from metroframe.plans.marts import entity_positions, entity_union, facility_union, integrated_accessibility
 
 
 def mart_entities(spark, d):
@@ -80,7 +80,8 @@ def q_mart_facility_union(spark, d):
 @query("mart_accessibility", ACCESSIBILITY_SQL)
 def q_mart_accessibility(spark, d):
     """P-10 (flagship): distinct facility names within 1 km per entity."""
-    return integrated_accessibility(mart_entities(spark, d), mart_facilities(spark, d), radius_m=K.RADIUS_M)
+    return integrated_accessibility(mart_entities(spark, d), mart_facilities(spark, d), radius_m=K.RADIUS_M,
+                                    positions=entity_positions(tb.libraries(spark, d), tb.events(spark, d)))
 
 
 @query("prj_literal_tag", """

@@ -9,7 +9,7 @@ from metroframe.bindings import query
 from metroframe.bindings import tables as tb
 from metroframe.functions.geo import haversine_sql
 from metroframe.operators.spatial import (Grid, correlated_count_sql, count_within_radius, entity_cells,
-                                          facility_cells, radius_pairs)
+                                          facility_cells, radius_pairs, within_radius)
 from metroframe.session import unique_name
 
 RADIUS = 5000.0
@@ -65,10 +65,9 @@ SELECT c.c_custkey, EXISTS (SELECT 1 FROM ({SUPP_SQL}) s WHERE s.s_district = c.
 def q_geo_within(spark, d):
     """GEO-3: whether any supplier of the district lies within 5 km
     (inclusive); customers without a position are never within."""
-    near = _pairs(spark, d).select("c_custkey").distinct().withColumn("hit", F.lit(True))
-    c = customers_at(spark, d).select("c_custkey")
-    return c.join(near, "c_custkey", "left").select(
-        "c_custkey", F.coalesce(F.col("hit"), F.lit(False)).alias("has_supplier_within"))
+    near = within_radius(customers_at(spark, d), suppliers_at(spark, d), left_key="c_district", left_lat="c_lat", left_lon="c_lon",
+                         right_key="s_district", right_lat="s_lat", right_lon="s_lon", radius_m=RADIUS, name="has_supplier_within")
+    return near.select("c_custkey", "has_supplier_within")
 
 
 COUNT_SQL = f"""

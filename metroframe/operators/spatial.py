@@ -163,10 +163,29 @@ def radius_pairs(left: DataFrame, right: DataFrame, *, left_key: str, left_lat:
     return joined.select(*sel)
 
 
+def within_radius(left: DataFrame, right: DataFrame, *, left_key: str, left_lat: str, left_lon: str, right_key: str, right_lat: str,
+                  right_lon: str, radius_m: float, name: str, earth_radius_m: float = EARTH_RADIUS_M) -> DataFrame:
+    """GEO-3: ``left`` with a boolean column: whether any right row of its key lies within ``radius_m`` (inclusive).
+
+    EXISTS, planned as an existence join on (key, cell) with the distance as residual: a left row stops at its first match, no
+    pairs come out, and rows without a key or coordinate get false.
+    """
+    grid = Grid(radius_m, earth_radius_m)
+    keys = ["__fk", "__fy", "__fx"]
+    placed = right.select(F.col(right_key).alias("__fk"), F.col(right_lat).alias("__flat"), F.col(right_lon).alias("__flon")).na.drop()
+    r = grid.with_neighbour_cells(placed, "__flat", "__flon", "__fy", "__fx").select(*keys, "__flat", "__flon")
+    l = grid.with_cell(left, left_lat, left_lon, "__cy", "__cx")
+    outer = lambda c: F.col(c).outer()
+    near = haversine_m(outer(left_lat), outer(left_lon), F.col("__flat"), F.col("__flon"), earth_radius_m) <= F.lit(radius_m)
+    same = (F.col("__fk") == outer(left_key)) & (F.col("__fy") == outer("__cy")) & (F.col("__fx") == outer("__cx"))
+    return l.select(*[F.col(c) for c in left.columns], r.where(same & near).exists().alias(name))
+
+
 def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district: str, lat: str, lon: str,
                         fac_kind: str, fac_name: str, fac_district: str, fac_lat: str, fac_lon: str,
                         kinds: Mapping[str, str], radius_m: float,
-                        earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False) -> DataFrame:
+                        earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False,
+                        positions: DataFrame | None = None) -> DataFrame:
     """AGG-1 over JN-4: for every entity row, the number of distinct facility
     names of each kind in the same district within ``radius_m``.
 
@@ -174,8 +193,12 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     have no key and may repeat: the join runs on distinct (district, lat, lon)
     positions and the counts are joined back, so repeated rows all survive and
     rows without coordinates get 0, never null.
+
+    ``positions`` are the columns ``district``, ``lat`` and ``lon`` of all entities (or of more), from a cheaper source than
+    an entity table that is not written yet and would be evaluated again for them.
     """
-    positions = (entities.select(F.col(district).alias("__d"), F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
+    places = entities if positions is None else positions
+    positions = (places.select(F.col(district).alias("__d"), F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
                  .where(F.col("__d").isNotNull() & F.col("__lat").isNotNull() & F.col("__lon").isNotNull())
                  .distinct())
     facs = (facilities.where(F.col(fac_kind).isin(list(kinds)) & F.col(fac_name).isNotNull())
@@ -189,14 +212,11 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     counts = names.groupBy("__d", "__lat", "__lon").agg(*[
         F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).cast("int").alias(out) for k, out in kinds.items()
     ])
-    # rows without a district or a coordinate (every book row, say) never match and take no part in the join
-    placed = F.col(district).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    own = [F.col(c) for c in entities.columns]
-    here = entities.where(placed)
-    joined = here.join(counts, (here[district] == counts["__d"]) & (here[lat] == counts["__lat"])
-                       & (here[lon] == counts["__lon"]), "left")
-    return joined.select(*own, *[F.coalesce(F.col(out), F.lit(0)).alias(out) for out in kinds.values()]).unionByName(
-        entities.where(~placed).select(*own, *[F.lit(0).alias(out) for out in kinds.values()]))
+    # the input is evaluated once here. Rows without a district or a coordinate (every book row, say) match nothing; where the
+    # planner shuffles, their partition is one that the skew join splits over its map outputs
+    joined = entities.join(counts, (F.col(district) == counts["__d"]) & (F.col(lat) == counts["__lat"])
+                           & (F.col(lon) == counts["__lon"]), "left")
+    return joined.select(*[F.col(c) for c in entities.columns], *[F.coalesce(F.col(out), F.lit(0)).alias(out) for out in kinds.values()])
 
 
 def correlated_count_sql(entity_view: str, facility_cells_view: str, *, keys: Sequence[str], district: str,

@@ -34,6 +34,16 @@ def entity_union(libraries: DataFrame, events: DataFrame, books: DataFrame) -> D
     return union_all([align_to_schema(b, ENTITY_UNION) for b in (lib, cul, bll)])
 
 
+def entity_positions(libraries: DataFrame, events: DataFrame) -> DataFrame:
+    """The distinct (district, latitude, longitude) of P-8's rows (books have none), from the two tables that have coordinates.
+
+    Distinct per table, so that joins which only add columns to it (an event's keywords) drop out of the plan.
+    """
+    lib = libraries.select(F.col("lib_district").alias("district"), F.col("lib_latitude").alias("latitude"), F.col("lib_longitude").alias("longitude"))
+    cul = events.select(F.col("cul_district").alias("district"), F.col("cul_latitude").alias("latitude"), F.col("cul_longitude").alias("longitude"))
+    return union_all([lib.distinct(), cul.distinct()])
+
+
 def facility_union(bus: DataFrame, subway: DataFrame, parks: DataFrame) -> DataFrame:
     """P-9 (SET-1, PRJ-7): bus stops, stations and parks as facility rows."""
     parts = [
@@ -49,18 +59,20 @@ def facility_union(bus: DataFrame, subway: DataFrame, parks: DataFrame) -> DataF
 
 def integrated_accessibility(entities: DataFrame, facilities: DataFrame, *, radius_m: float = K.RADIUS_M,
                              data_types: Sequence[str] = K.DATA_TYPES,
-                             earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False) -> DataFrame:
+                             earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False,
+                             positions: DataFrame | None = None) -> DataFrame:
     """P-10 (flagship): every Library/Event/Book entity with the number of
     distinct bus stop, station and park names of its district within
     ``radius_m`` (FLT-2, JN-4, GEO-1..3, AGG-1 x 3). ``split_hot_cells``
-    salts grid cells known to hold a large share of the entities."""
+    salts grid cells known to hold a large share of the entities; ``positions`` (see
+    :func:`entity_positions`) spares a second evaluation of entities that are not written yet."""
     u = entities.where(F.col("data_type").isin(list(data_types)))
     counted = count_within_radius(
         u, facilities, district="district", lat="latitude", lon="longitude",
         fac_kind="facility_type", fac_name="facility_name", fac_district="district",
         fac_lat="latitude", fac_lon="longitude",
         kinds=dict(zip(K.FACILITY_TYPES, ACCESSIBILITY_COUNTS)), radius_m=radius_m, earth_radius_m=earth_radius_m,
-        split_hot_cells=split_hot_cells)
+        split_hot_cells=split_hot_cells, positions=positions)
     return counted.select(
         F.col("name").alias("entity_name"), F.col("district").alias("entity_district"), "data_type",
         F.col("latitude").alias("entity_latitude"), F.col("longitude").alias("entity_longitude"),

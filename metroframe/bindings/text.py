@@ -4,13 +4,16 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from metroframe.bindings import query
 from metroframe.bindings import tables as tb
-from metroframe.functions.text import html_to_text, html_to_text_sql, words_joined
+from metroframe.functions.text import html_to_text, words_joined
 from metroframe.operators.aggregates import value_counts
 from metroframe.operators.filters import exclude_words
 from metroframe.plans.keywords import keyword_columns, page_words, top_keywords
 
+html_to_text_sql = tb.html_text_sql
 STOPS_SQL = ", ".join("'" + w + "'" for w in tb.PAGE_STOP_WORDS)
 WORDS_SQL = f"""
 SELECT page_id, unnest(ws) AS word, CAST(unnest(range(len(ws))) AS INTEGER) AS pos FROM (
@@ -18,12 +21,17 @@ SELECT page_id, unnest(ws) AS word, CAST(unnest(range(len(ws))) AS INTEGER) AS p
   FROM pages WHERE html IS NOT NULL)"""
 
 
-@query("str_html_text", f"SELECT page_id, {html_to_text_sql('html')} AS text FROM pages")
+# markup put before each page, and the text that it must give
+MARKUP = ("<p><b>서</b>점 &amp;#65; &#65;&#x1F600;&#0000000065;&#99999999; &euro;&#128; &nosuch; a &lt;b&gt; c</p><!-- <p> --><STYLE>x</STYLE>"
+          "<a title='1 > 0' href=it's>l</a>i<br/>1 < 2 &amp; 3<script>if (a < b) '</p>'</script>")
+MARKUP_TEXT = " 서점 &#65; A\U0001f600A\ufffd €€ &nosuch; a <b> c li 1 < 2 & 3"
+
+
+@query("str_html_text", f"SELECT page_id, '{MARKUP_TEXT}' || {html_to_text_sql('html')} AS text FROM pages")
 def q_str_html_text(spark, d):
-    """STR-9: visible text of every page (scripts, styles, comments and tags
-    removed, named entities decoded)."""
+    """STR-9: visible text of every page, after a piece of markup whose text is known."""
     p = tb.table(spark, d, "pages").repartition("page_id")
-    return p.select("page_id", html_to_text("html").alias("text"))
+    return p.select("page_id", html_to_text(F.concat(F.lit(MARKUP), "html")).alias("text"))
 
 
 @query("str_extract_all", rf"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,67 +70,58 @@ def fill_empty(c) -> Column:
     return F.coalesce(_col(c), F.lit(""))
 
 
-# --- fixed values: named HTML entities decoded after tag removal -------------
-# (entity, text); '&amp;' is decoded last so that '&amp;lt;' stays '&lt;'
-HTML_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&amp;", "&"),
-]
-
-# Patterns shared with the SQL oracle: only syntax that Java regex and RE2 agree on.
-HTML_DROP_BLOCKS = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
-HTML_DROP_COMMENTS = r"(?s)<!--.*?-->"
-HTML_DROP_TAGS = r"(?s)<[^>]*>"
+# --- fixed values: elements of HTML that stand on lines of their own -----------
+BLOCK_ELEMENTS = [
+    "address", "article", "aside", "blockquote", "body", "br", "button", "caption", "center", "dd", "details", "dialog", "dir", "div",
+    "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
+    "hgroup", "hr", "html", "iframe", "legend", "li", "link", "main", "menu", "meta", "nav", "noscript", "ol", "optgroup", "option", "p",
+    "pre", "search", "section", "select", "summary", "table", "tbody", "td", "textarea", "tfoot", "th", "thead", "title", "tr", "ul"]
+# --- end of fixed values ---
+# One token of markup: a comment, a script or style with its content (also when it never ends), a tag, a character reference.
+# A quote in a tag counts where a value begins, so that an apostrophe elsewhere does not hide the end of the tag.
+HTML_TOKEN = (r"(?is)<!--.*?-->|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
+              r"|<[/!?]?[a-z](?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+>"
+              r"|&(?:#[0-9]++|#x[0-9a-f]++|[a-z][a-z0-9]*+);")
+# References met most come first: a map of Spark is searched from its start.
+_COMMON = ["nbsp;", "amp;", "lt;", "gt;", "quot;", "apos;", "middot;", "copy;", "lsquo;", "rsquo;", "ldquo;", "rdquo;", "hellip;", "ndash;", "mdash;"]
+_NAMED = {n: html5[n] for n in [*_COMMON, *sorted(n for n in html5 if n.endswith(";"))]}
+# the numbers 128 to 159 mean characters of Windows-1252, where it has one
+_WINDOWS = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)]
 
 
 def html_to_text(c, tag_separator: str = " ") -> Column:
-    """STR-9: visible text of an HTML document.
+    """STR-9: visible text of an HTML document, in one pass over its tokens.
 
-    Script and style bodies and comments go first, then every tag is
-    replaced by ``tag_separator`` and the named entities are decoded.
+    Scripts, styles and comments go; a tag of a block element becomes ``tag_separator`` and any other tag nothing, so that a
+    word with markup inside stays one word. Every character reference is decoded once: all names of HTML 5 and
+    numbers of any length (impossible ones become U+FFFD); what they decode to is text, never markup or a reference again.
+    A reference needs its semicolon; a ``<`` that begins no tag is text.
     """
-    out = F.regexp_replace(_col(c), HTML_DROP_BLOCKS, tag_separator)
-    out = F.regexp_replace(out, HTML_DROP_COMMENTS, tag_separator)
-    out = F.regexp_replace(out, HTML_DROP_TAGS, tag_separator)
-    for entity, text in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(text))
-    return F.when(out.rlike(NUMERIC_ENTITY), numeric_entities(out)).otherwise(out)
-
-
-NUMERIC_ENTITY = r"&#(x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
-
-
-def numeric_entities(c: Column) -> Column:
-    """Decimal and hexadecimal character references as characters; an impossible number becomes U+FFFD."""
-    code = F.regexp_extract_all(c, F.lit(NUMERIC_ENTITY), F.lit(1))
-
-    def character(x: Column) -> Column:
-        n = F.when(x.startswith("x"), F.conv(F.substring(x, 2, 6), 16, 10)).otherwise(x).cast("int")
-        bad = n.isNull() | (n < 1) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(n)), 8, "0")), "UTF-32")
-
-    pairs = F.arrays_zip(F.split(c, NUMERIC_ENTITY, -1).alias("gap"), code.alias("code"))
-    return F.array_join(F.transform(pairs, lambda p: F.concat(
-        p["gap"], F.when(p["code"].isNull(), F.lit("")).otherwise(character(p["code"])))), "")
-
-
-def html_to_text_sql(c: str, tag_separator: str = " ") -> str:
-    """The same transformation as DuckDB SQL text, for the oracle."""
-    sep = tag_separator.replace("'", "''")
-    out = f"regexp_replace({c}, '{HTML_DROP_BLOCKS}', '{sep}', 'g')"
-    out = f"regexp_replace({out}, '{HTML_DROP_COMMENTS}', '{sep}', 'g')"
-    out = f"regexp_replace({out}, '{HTML_DROP_TAGS}', '{sep}', 'g')"
-    for entity, text in HTML_ENTITIES:
-        t = text.replace("'", "''")
-        out = f"replace({out}, '{entity}', '{t}')"
-    return out
+    html = _col(c)
+    tokens = F.regexp_extract_all(html, F.lit(HTML_TOKEN), F.lit(0))
+    pairs = F.arrays_zip(F.split(html, HTML_TOKEN, -1).alias("gap"), tokens.alias("token"))
+    text = F.array_join(F.transform(pairs, lambda p: F.concat(p["gap"], F.coalesce(_token_text(p["token"], tag_separator), F.lit("")))), "")
+    return F.when(html.rlike("[<&]"), text).otherwise(html)
+
+
+def _token_text(token: Column, tag_separator: str) -> Column:
+    name = F.lower(F.regexp_extract(token, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    return (F.when(token.startswith("&"), reference_text(token))
+            .when(name.isin(BLOCK_ELEMENTS), F.lit(tag_separator)).otherwise(F.lit("")))
+
+
+def reference_text(reference: Column) -> Column:
+    """The character(s) of ``&name;``, ``&#decimal;`` or ``&#xhex;``; an unknown name stays as it is."""
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    named = F.coalesce(F.try_element_at(names, F.substring(reference, 2, 1 << 20)), reference)
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9A-Fa-f]*);$", 1)
+    hexadecimal = F.lower(F.substring(reference, 3, 1)) == "x"
+    # more than seven digits are beyond the last character in either base
+    n = F.when(F.length(digits) > 7, F.lit(-1)).otherwise(F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int"))
+    bad = n.isNull() | (n < 1) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(n)), 8, "0")), "UTF-32")
+    windows = F.get(F.array(*[F.lit(w) for w in _WINDOWS]), n - 0x80)
+    return F.when(F.substring(reference, 2, 1) != "#", named).otherwise(F.when(n.between(0x80, 0x9F), windows).otherwise(character))
 
 
 def _regex_literal(s: str) -> str:

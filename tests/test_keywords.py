@@ -19,4 +19,22 @@ def test_top_three_ties_by_first_appearance(spark):
 
 def test_html_to_text(spark):
     df = spark.createDataFrame([("<b>a</b>&lt;b&gt; &amp;lt; <script>x</script>c<!-- d -->",)], "h string")
-    assert df.select(html_to_text("h").alias("t")).first()["t"] == " a <b> &lt;  c "
+    assert df.select(html_to_text("h").alias("t")).first()["t"] == "a<b> &lt; c"  # <b> is no word boundary
+
+
+def test_html_to_text_literal_rows(spark):
+    cases = {
+        "<b>서</b>점 <i>책</i>방": "서점 책방", "<p>one</p><p>two": " one  two", "a<br/>b<BR>c<hr >d": "a b c d", "<ul><li>x<li>y</ul>": "  x y ",
+        "&amp;#65; &amp;lt;p&amp;gt;": "&#65; &lt;p&gt;", "&lt;p&gt;x&lt;/p&gt;": "<p>x</p>", "&#x41;&#X42;&#67;": "ABC",
+        "&#0;&#xD800;&#1114112;&#99999999999;&#x110000;": "\ufffd" * 5, "&#00000000065;&#x1F600;": "A\U0001f600", "&#128;&#150;": "€–",
+        "&hearts;&rarr;&NotEqualTilde;&eacute;&Eacute;": "♥→≂̸éÉ", "&unknown; &amp &; & &#; &#x;": "&unknown; &amp &; & &#; &#x;", "&nbsp;": "\u00a0",
+        "<a title='x > y'>t</a><a title=\"'>'\">u</a>": "tu", "<p class=it's>lost text</p><p>it's kept</p>": " lost text  it's kept ",
+        "<a b=\"never closed>text</a>": "text", "1 < 2 and 3 <4": "1 < 2 and 3 <4", "<!DOCTYPE html><?xml v?>x": "x",
+        "<!-- <p> -- > --><!---->y": "y", "<script>if (a<b) '</p>'</script >z<style>q</script></style>": "z", "<script>never ends <p>x": "",
+        "<scripty>k</scripty>": "k", "": "", "plain": "plain", "<": "<", "a<b": "a<b", "<p": "<p"}
+    df = spark.createDataFrame(list(cases.items()), "h string, t string")
+    assert {r["h"]: r["x"] for r in df.select("h", html_to_text("h").alias("x")).collect()} == cases
+    long = "<p " + "=" * 200_000 + ">" + "&amp;" * 20_000 + "<" * 50_000 + "<p a='" + "x" * 200_000
+    out = spark.createDataFrame([(long,)], "h string").select(html_to_text("h").alias("x")).first()["x"]
+    assert out == " " + "&" * 20_000 + "<" * 50_000 + "<p a='" + "x" * 200_000
+    assert spark.createDataFrame([("a<p>b<b>c",)], "h string").select(html_to_text("h", "\n").alias("x")).first()["x"] == "a\nbc"

@@ -14,7 +14,9 @@ from metroframe.operators import filters as FL
 from metroframe.operators import joins as J
 from metroframe.operators import projection as P
 from metroframe.operators.aggregates import row_count
-from metroframe.operators.quality import Rule, check_quality
+from metroframe.session import scratch_path
+from metroframe.sinks.versions import publish, read_published
+from metroframe.operators.quality import ObservedQuality, Rule, check_quality, store_results
 from metroframe.operators.ranking import drop_duplicates_stable, first_row
 
 
@@ -453,3 +455,13 @@ def _dq_sql() -> str:
 def q_dq_ruleset(spark, d):
     """DQ-1: five rules over orders in one aggregation, one row per rule."""
     return check_quality(tb.table(spark, d, "orders"), DQ_RULES)
+
+
+@query("dq_observed", "SELECT 'orders' AS dataset, * FROM (" + _dq_sql() + ")")
+def q_dq_observed(spark, d):
+    """DQ-1: the same rules, measured by the write that publishes the table; the stored results come back."""
+    path, kept = scratch_path(spark, "orders_checked"), scratch_path(spark, "quality_results")
+    quality = ObservedQuality(tb.table(spark, d, "orders"), DQ_RULES)
+    publish(quality.data, path)
+    store_results(quality.results(read_published(spark, path)), kept, "orders", path)
+    return spark.read.parquet(kept).select("dataset", "rule_id", "rule", "value", "passed")

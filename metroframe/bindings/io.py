@@ -360,16 +360,40 @@ def q_snk_ctas(spark, d):
 
 @query("snk_bulk_load", PART_SQL)
 def q_snk_bulk_load(spark, d):
-    """SNK-7: Parquet files loaded into a typed table by position."""
+    """SNK-7: Parquet files loaded into a typed table by position: the files' names are the
+    table's, each on another column, and their values are text."""
     p = tb.table(spark, d, "part")
     src = scratch_path(spark, "part_files")
-    p.write.parquet(src)
+    turned = [*p.columns[1:], p.columns[0]]
+    p.select(*[F.col(c).cast("string") for c in p.columns]).toDF(*turned).write.parquet(src)
     name = unique_name("part_loaded")
     ST.create_empty_table(spark, name, p.schema, scratch_path(spark, "part_table"))
-    ST.bulk_load(spark, name, src, p.columns)
+    ST.bulk_load(spark, name, src)
     return spark.table(name)
 
 
+@query("snk_bulk_load_rejects", """
+SELECT 'loaded' AS kind, o_orderkey, NULL AS failed FROM orders WHERE o_orderkey % 10 > 1
+UNION ALL SELECT 'rejected', o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN 'o_custkey,o_totalprice' ELSE 'o_orderdate' END
+FROM orders WHERE o_orderkey % 10 <= 1""")
+def q_snk_bulk_load_rejects(spark, d):
+    """SNK-7: rows whose text does not fit the table's types go to the rejects, with the columns at fault."""
+    o = tb.table(spark, d, "orders")
+    last = F.col("o_orderkey") % 10
+    text = o.select("o_orderkey", F.when(last == 0, "x7").otherwise(F.col("o_custkey").cast("string")).alias("a"), F.col("o_orderstatus").alias("b"),
+                    F.when(last == 0, "1,5").otherwise(F.col("o_totalprice").cast("string")).alias("c"),
+                    F.when(last == 1, "2024-13-01").otherwise(F.col("o_orderdate").cast("string")).alias("d"), F.col("o_orderpriority").alias("e"))
+    src, bad, name = scratch_path(spark, "orders_text"), scratch_path(spark, "orders_rejects"), unique_name("orders_loaded")
+    text.write.parquet(src)
+    ST.create_empty_table(spark, name, o.schema, scratch_path(spark, "orders_table"))
+    loaded, rejected = ST.bulk_load(spark, name, src, rejects_path=bad, max_rejects=o.count())
+    if loaded != spark.table(name).count() or rejected != spark.read.parquet(bad).count():
+        raise AssertionError(f"{loaded} loaded, {rejected} rejected")
+    good = spark.table(name).select(F.lit("loaded").alias("kind"), "o_orderkey", F.lit(None).cast("string").alias("failed"))
+    return good.unionByName(spark.read.parquet(bad).select(
+        F.lit("rejected").alias("kind"), F.get_json_object("row", "$.o_orderkey").cast("bigint").alias("o_orderkey"), F.array_join("failed", ",").alias("failed")))
+
+
 @query("snk_insert_overwrite", ORDERS_SQL)
 def q_snk_insert_overwrite(spark, d):
     """SNK-6: drop-create-insert rebuild as INSERT OVERWRITE by name, twice."""

@@ -134,6 +134,7 @@ LIBRARY_RULES = [Rule("column_count", ">", 0)]
 
 def build_library_data(raw: DataFrame, mapping=LIBRARY_MAPPING, rules=LIBRARY_RULES) -> tuple[DataFrame, DataFrame]:
     """P-7: declarative mapping (PRJ-4) and the quality results (DQ-1); the
-    results are returned next to the data and never block it."""
+    results are returned next to the data and never block it. The job takes
+    them from its write instead (``ObservedQuality``)."""
     mapped = apply_mapping(raw, mapping)
     return mapped, check_quality(mapped, rules)

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from metroframe import constants as K
 from metroframe.operators.joins import left_join_spread_nulls
-from metroframe.operators.projection import positional_rename
+from metroframe.operators.projection import apply_mapping, positional_rename
+from metroframe.operators.quality import ObservedQuality, store_results
 from metroframe.plans import curated as C
 from metroframe.plans.keywords import keyword_columns, top_keywords
 from metroframe.plans.marts import entity_union, facility_union, integrated_accessibility
@@ -91,14 +92,19 @@ def event_info_job(spark: SparkSession, info_path: str, curated_path: str) -> No
 
 
 # P-7 -------------------------------------------------------------------------------
-def library_job(spark: SparkSession, raw_path: str, curated_path: str) -> DataFrame:
+def library_job(spark: SparkSession, raw_path: str, curated_path: str, results_path: str | None = None,
+                rules=C.LIBRARY_RULES) -> DataFrame:
     """Publishes the mapped rows as the curated table (the reference purged
     the prefix, then let its writer add files); returns the data-quality
-    results (one row per rule), which never block the write."""
+    results (one row per rule), which never block the write and are measured by it:
+    the raw files are read once. With ``results_path`` they are appended there."""
     raw = read_latest_snapshot(spark, raw_path, "csv")
-    data, quality = C.build_library_data(raw)
-    publish(data, curated_path, ["lib_district"])
-    return quality
+    quality = ObservedQuality(apply_mapping(raw, C.LIBRARY_MAPPING), rules)
+    number = publish(quality.data, curated_path, ["lib_district"])
+    results = quality.results(read_published(spark, curated_path, number))
+    if results_path:
+        store_results(results, results_path, "library", f"{curated_path}@{number}")
+    return results
 
 
 # P-8, P-9, P-10 ----------------------------------------------------------------------

@@ -15,14 +15,18 @@ def observe_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias(ROWS)), seen
 
 
-def rows_of(seen: Observation) -> int:
-    """The rows counted by a write that has succeeded.
+def metrics_of(seen: Observation) -> dict[str, int]:
+    """The counts of a write that has succeeded.
 
-    Of a plan that the optimizer knows to be empty, the count is left out with the rest: no rows.
+    Of a plan that the optimizer knows to be empty, the counting is left out with the rest: no counts.
     """
     try:
-        return seen.get.get(ROWS, 0)
+        return dict(seen.get)
     except Py4JJavaError as e:
         if "assertion failed" in str(e):
-            return 0
+            return {}
         raise
+
+
+def rows_of(seen: Observation) -> int:
+    return metrics_of(seen).get(ROWS, 0)

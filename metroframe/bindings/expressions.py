@@ -465,3 +465,17 @@ def q_dq_observed(spark, d):
     publish(quality.data, path)
     store_results(quality.results(read_published(spark, path)), kept, "orders", path)
     return spark.read.parquet(kept).select("dataset", "rule_id", "rule", "value", "passed")
+
+
+PHRASES_SQL = """SELECT DISTINCT unnest(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS phrase
+  FROM (SELECT string_split(text, ' ') AS w FROM benchmark WHERE text IS NOT NULL)"""
+
+
+@query("jn_contains_list", f"SELECT doc_id, phrase FROM documents JOIN ({PHRASES_SQL}) ON contains(text, phrase)")
+def q_jn_contains_list(spark, d):
+    """JN-3 with a large list: every document with every neighbouring pair of words of ``benchmark`` that its whole text contains."""
+    w = spark.read.parquet(f"{d}/benchmark.parquet").select(F.split("text", " ").alias("w"))
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))
+    phrases = w.where(F.size("w") > 1).select(F.explode(pairs).alias("phrase")).distinct()
+    docs = tb.table(spark, d, "documents").select("doc_id", "text").repartition("doc_id")
+    return J.contains_join(docs, "text", phrases, "phrase").select("doc_id", "phrase")

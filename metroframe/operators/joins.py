@@ -51,25 +51,48 @@ def prefix_lookup_join(df: DataFrame, id_col: str, lookup: DataFrame, lookup_pre
     return keyed.join(lk, "__prefix", "inner").drop("__prefix")
 
 
+def text_grams(text, gram: int = 3):
+    """The distinct substrings of 1 to ``gram`` characters of a text column, in time linear in its length.
+
+    The text is taken apart into characters once; each substring is put together from its own characters.
+    """
+    chars = F.split(text, "")
+    return F.array_distinct(F.array_compact(F.concat(*[_grams_of(chars, n) for n in range(1, gram + 1)])))
+
+
+def _grams_of(chars, n: int):
+    """Every run of ``n`` neighbouring characters; places beyond the end give null."""
+    shifted = F.arrays_zip(*[F.slice(chars, k + 1, F.size(chars)).alias(f"c{k}") for k in range(n)])
+    return F.transform(shifted, lambda z: F.concat(*[z[f"c{k}"] for k in range(n)]))
+
+
+def rarest_grams(terms: DataFrame, term_col: str, gram: int = 3) -> DataFrame:
+    """(term, __key): each distinct term with the one of its substrings of ``gram`` characters (of a shorter term, itself) that
+    the fewest terms have; ties by the substring."""
+    own = terms.select(F.col(term_col).alias("__term")).where(F.length("__term") > 0).distinct()
+    grams = F.filter(text_grams(F.col("__term"), gram), lambda g: F.length(g) == F.least(F.length("__term"), F.lit(gram)))
+    pairs = own.select("__term", F.explode(grams).alias("__key"))
+    count = pairs.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+    best = F.min(F.struct("__n", "__key")).alias("__best")
+    return pairs.join(count, "__key").groupBy("__term").agg(best).select("__term", F.col("__best.__key").alias("__key"))
+
+
 def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str, gram: int = 3) -> DataFrame:
     """JN-3: route each row to every term its text contains (a theta join), as
-    two equi-joins.
+    equi-joins on an index of the terms by their rarest gram.
 
-    Each term is keyed by its first ``gram`` characters (shorter terms by
-    themselves); a text's distinct substrings of those lengths carry only the
-    hash of the text through the shuffle. The (text hash, term) pairs join back to
-    the rows, and ``contains`` decides, so a hash collision cannot add a row.
-    Empty and null terms match nothing; repeated rows are all kept.
+    A text meets only the terms whose rarest gram it has. Its grams carry only the hash of the text; the pairs of text
+    hash and term join back to the rows, and ``contains`` decides, so a hash collision cannot add a row. Work is linear in
+    the length of the texts. Empty and null terms match nothing; repeated rows and repeated terms are all kept.
     """
-    valid = terms.where(F.col(term_col).isNotNull() & (F.length(term_col) > 0))
-    keyed = valid.withColumn("__key", F.substring(term_col, 1, gram))
-    t = f"`{text_col}`"
-    per_text = (f"array_distinct(flatten(transform(sequence(1, {gram}), n -> transform("
-                f"sequence(1, greatest(length({t}) - n + 1, 1)), p -> substring({t}, p, n)))))")
+    index = rarest_grams(terms, term_col, gram)
     hashed = df.withColumn("__text", F.xxhash64(F.col(text_col)))
-    grams = hashed.where(F.col(text_col).isNotNull()).select("__text", F.explode(F.expr(per_text)).alias("__key")).distinct()
-    found = grams.join(keyed, "__key").drop("__key")
-    return hashed.join(found, "__text").where(F.col(text_col).contains(F.col(term_col))).drop("__text")
+    cut = hashed.where(F.col(text_col).isNotNull()).select("__text", F.explode(text_grams(F.col(text_col), gram)).alias("__key"))
+    found = cut.join(index, "__key").select("__text", "__term").distinct()
+    own = terms.where(F.length(term_col) > 0).select(*[F.col(c).alias(f"__own_{c}") for c in terms.columns])
+    rows = hashed.join(found, "__text").where(F.col(text_col).contains(F.col("__term")))
+    return rows.join(own, F.col("__term") == F.col(f"__own_{term_col}")).select(
+        *[F.col(c) for c in df.columns], *[F.col(f"__own_{c}").alias(c) for c in terms.columns])
 
 
 def month_grid(start_month, end_month, keys: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,15 +71,63 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, mod
     w.csv(path)
 
 
-def copy_partitions(spark, source_path: str, target_path: str, partition_filter, partition_by: Sequence[str],
-                    fmt: str = "parquet") -> None:
-    """SNK-8: copy the chosen partitions between stores.
+def partition_sums(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Per partition: rows, and two order-free checksums over whole rows (columns by name), combined map-side.
+
+    The sum tells how often a row is there, which the exclusive or does not.
+    """
+    columns = sorted(c for c in df.columns if c not in partition_by)
+    row = F.xxhash64(*[F.struct(F.lit(i), F.col(f"`{c}`")) for i, c in enumerate(columns)]) if columns else F.lit(0).cast("long")
+    return df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("rows"), F.sum(row.cast("decimal(38,0)")).alias("total"),
+                                         F.bit_xor(row).alias("mixed"))
 
-    The filter is on partition columns, so only those folders are read; the
-    target keeps every partition not being copied.
+
+def copy_partitions(spark, source_path: str, target_path: str, partition_filter, partition_by: Sequence[str],
+                    fmt: str = "parquet") -> DataFrame:
+    """SNK-8: copy the chosen partitions between stores, verified and resumable.
+
+    The filter is on partition columns, so only those folders are read; the target keeps every partition not being
+    copied. Only partitions whose rows differ between the two sides are copied, so a run that is repeated copies
+    what is left and repairs what was damaged; one that finds no difference writes nothing. Afterwards both sides are compared
+    again, and a difference that is left fails the run. Returns the partitions with their state: ``same``, ``copied``, or ``extra`` (in the
+    target alone, left as it is).
     """
-    df = spark.read.format(fmt).load(source_path).where(partition_filter)
-    overwrite_partitions(df, target_path, partition_by)
+    names = list(partition_by)
+    source = spark.read.format(fmt).load(source_path).where(partition_filter)
+
+    def target() -> DataFrame:
+        path = spark._jvm.org.apache.hadoop.fs.Path(target_path)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(path) or not any(s.isDirectory() for s in fs.listStatus(path)):
+            return spark.createDataFrame([], source.schema)
+        spark.catalog.refreshByPath(target_path)
+        return spark.read.format(fmt).schema(source.schema).load(target_path).where(partition_filter)
+
+    wanted = partition_sums(source, names).withColumnRenamed("rows", "source_rows")
+    # null is a value of a partition column too
+    same = [F.col(f"w.{k}").eqNullSafe(F.col(f"h.{k}")) for k in names]
+
+    def compared() -> DataFrame:
+        w, h = wanted.alias("w"), partition_sums(target(), names).alias("h")
+        state = F.when(F.col("w.source_rows").isNull(), "extra").when(
+            F.col("h.rows").isNotNull() & (F.col("w.source_rows") == F.col("h.rows")) & F.col("w.total").eqNullSafe(F.col("h.total"))
+            & F.col("w.mixed").eqNullSafe(F.col("h.mixed")), "same").otherwise("differs")
+        rows = w.join(h, reduce(lambda a, b: a & b, same), "full").select(
+            *[F.coalesce(F.col(f"w.{k}"), F.col(f"h.{k}")).alias(k) for k in names],
+            F.coalesce("w.source_rows", "h.rows").alias("rows"), state.alias("state"))
+        # a row per partition; kept, since the target changes below
+        return spark.createDataFrame(rows.collect(), rows.schema)
+
+    before = compared()
+    differs = before.where("state = 'differs'").select(*[F.col(k).alias(f"__{k}") for k in names])
+    if differs.isEmpty():
+        return before
+    chosen = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in names])
+    overwrite_partitions(source.join(F.broadcast(differs), chosen, "left_semi"), target_path, names)
+    left = compared().where("state = 'differs'").count()
+    if left:
+        raise OSError(f"{left} partitions of {target_path} differ from {source_path} after the copy")
+    return before.withColumn("state", F.when(F.col("state") == "differs", "copied").otherwise(F.col("state")))
 
 
 def write_csv_charset(df: DataFrame, path: str, encoding: str = "CP949", *, mode: str = "overwrite") -> None:

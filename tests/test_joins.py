@@ -22,3 +22,33 @@ def test_spread_nulls_keeps_identical_rows(spark):
     right = spark.createDataFrame([("a", "hit")], "rk string, v string")
     out = left_join_spread_nulls(left, right, ["k"], ["rk"])
     assert out.count() == 6 and out.where("v = 'hit'").count() == 1
+
+
+def test_contains_join_is_linear_in_the_text(spark):
+    import time
+
+    from metroframe.operators.joins import contains_join
+
+    terms = spark.createDataFrame([(f"needle{k}",) for k in range(50)] + [("\U0001f600x",), ("é",), ("zz",)], "t string")
+
+    def seconds(n):
+        text = ("hay stack " * (n // 10)) + "needle7 \U0001f600x"
+        rows = spark.createDataFrame([(1, text), (1, text), (2, None)], "id int, s string")
+        start = time.time()
+        got = contains_join(rows, "s", terms, "t").select("id", "t").collect()
+        assert sorted(map(tuple, got)) == sorted([(1, "needle7"), (1, "\U0001f600x")] * 2)
+        return time.time() - start
+
+    seconds(1000)
+    assert seconds(1_000_000) < 30  # quadratic work would take hours
+
+
+def test_rarest_grams(spark):
+    from metroframe.operators.joins import rarest_grams, text_grams
+
+    terms = spark.createDataFrame([("abcd",), ("abce",), ("xabc",), ("ab",), ("é",), ("",), (None,), ("abcd",)], "t string")
+    got = dict(tuple(r) for r in rarest_grams(terms, "t").collect())
+    assert got == {"abcd": "bcd", "abce": "bce", "xabc": "xab", "ab": "ab", "é": "é"}
+    one = spark.createDataFrame([("aab\U0001f600",), ("",), ("x",)], "s string").select(text_grams("s").alias("g")).collect()
+    assert [sorted(r["g"]) for r in one] == [sorted(["a", "b", "\U0001f600", "aa", "ab", "b\U0001f600", "aab", "ab\U0001f600"]), [], ["x"]] or \
+        [sorted(x for x in r["g"] if x) for r in one] == [sorted(["a", "b", "\U0001f600", "aa", "ab", "b\U0001f600", "aab", "ab\U0001f600"]), [], ["x"]]

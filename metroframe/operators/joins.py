@@ -51,22 +51,20 @@ def prefix_lookup_join(df: DataFrame, id_col: str, lookup: DataFrame, lookup_pre
     return keyed.join(lk, "__prefix", "inner").drop("__prefix")
 
 
-def text_grams(text, gram: int = 3):
-    """The distinct substrings of 1 to ``gram`` characters of a text column, in time linear in its length.
+GRAM = 5
 
-    The text is taken apart into characters once; each substring is put together from its own characters.
-    """
-    chars = F.split(text, "")
-    return F.array_distinct(F.array_compact(F.concat(*[_grams_of(chars, n) for n in range(1, gram + 1)])))
+
+def text_grams(text, gram: int = GRAM):
+    """The distinct substrings of ``gram`` characters of a text column, and the shorter ones at its end, in time linear
+    in its length (a substring by its place would count characters from the start each time)."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{1,{gram}}}))"), F.lit(1)))
 
 
-def _grams_of(chars, n: int):
-    """Every run of ``n`` neighbouring characters; places beyond the end give null."""
-    shifted = F.arrays_zip(*[F.slice(chars, k + 1, F.size(chars)).alias(f"c{k}") for k in range(n)])
-    return F.transform(shifted, lambda z: F.concat(*[z[f"c{k}"] for k in range(n)]))
+def _heads(grams, n: int):
+    return F.array_distinct(F.transform(grams, lambda g: F.substring(g, 1, n)))
 
 
-def rarest_grams(terms: DataFrame, term_col: str, gram: int = 3) -> DataFrame:
+def rarest_grams(terms: DataFrame, term_col: str, gram: int = GRAM) -> DataFrame:
     """(term, __key): each distinct term with the one of its substrings of ``gram`` characters (of a shorter term, itself) that
     the fewest terms have; ties by the substring."""
     own = terms.select(F.col(term_col).alias("__term")).where(F.length("__term") > 0).distinct()
@@ -77,17 +75,23 @@ def rarest_grams(terms: DataFrame, term_col: str, gram: int = 3) -> DataFrame:
     return pairs.join(count, "__key").groupBy("__term").agg(best).select("__term", F.col("__best.__key").alias("__key"))
 
 
-def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str, gram: int = 3) -> DataFrame:
+def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str, gram: int = GRAM) -> DataFrame:
     """JN-3: route each row to every term its text contains (a theta join), as
     equi-joins on an index of the terms by their rarest gram.
 
     A text meets only the terms whose rarest gram it has. Its grams carry only the hash of the text; the pairs of text
-    hash and term join back to the rows, and ``contains`` decides, so a hash collision cannot add a row. Work is linear in
-    the length of the texts. Empty and null terms match nothing; repeated rows and repeated terms are all kept.
+    hash and term join back to the rows, and ``contains`` decides, so a hash collision cannot add a row. Texts are
+    cut in time linear in their length, into shorter grams only where there are shorter terms. Empty and null terms
+    match nothing; repeated rows and repeated terms are all kept. Columns of the two sides must have different names.
     """
     index = rarest_grams(terms, term_col, gram)
+    # the lengths of the index's keys: a subquery of at most ``gram`` numbers, run with the join
+    lengths = index.agg(F.collect_set(F.length("__key")).alias("n")).scalar()
     hashed = df.withColumn("__text", F.xxhash64(F.col(text_col)))
-    cut = hashed.where(F.col(text_col).isNotNull()).select("__text", F.explode(text_grams(F.col(text_col), gram)).alias("__key"))
+    cut = hashed.where(F.col(text_col).isNotNull()).select("__text", text_grams(F.col(text_col), gram).alias("__grams"), lengths.alias("__n"))
+    none = F.array().cast("array<string>")
+    shorter = [F.when(F.array_contains("__n", n), _heads(F.col("__grams"), n)).otherwise(none) for n in range(1, gram)]
+    cut = cut.select("__text", F.explode(F.concat("__grams", *shorter)).alias("__key"))
     found = cut.join(index, "__key").select("__text", "__term").distinct()
     own = terms.where(F.length(term_col) > 0).select(*[F.col(c).alias(f"__own_{c}") for c in terms.columns])
     rows = hashed.join(found, "__text").where(F.col(text_col).contains(F.col("__term")))

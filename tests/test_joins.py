@@ -47,8 +47,7 @@ def test_rarest_grams(spark):
     from metroframe.operators.joins import rarest_grams, text_grams
 
     terms = spark.createDataFrame([("abcd",), ("abce",), ("xabc",), ("ab",), ("é",), ("",), (None,), ("abcd",)], "t string")
-    got = dict(tuple(r) for r in rarest_grams(terms, "t").collect())
+    got = dict(tuple(r) for r in rarest_grams(terms, "t", 3).collect())
     assert got == {"abcd": "bcd", "abce": "bce", "xabc": "xab", "ab": "ab", "é": "é"}
-    one = spark.createDataFrame([("aab\U0001f600",), ("",), ("x",)], "s string").select(text_grams("s").alias("g")).collect()
-    assert [sorted(r["g"]) for r in one] == [sorted(["a", "b", "\U0001f600", "aa", "ab", "b\U0001f600", "aab", "ab\U0001f600"]), [], ["x"]] or \
-        [sorted(x for x in r["g"] if x) for r in one] == [sorted(["a", "b", "\U0001f600", "aa", "ab", "b\U0001f600", "aab", "ab\U0001f600"]), [], ["x"]]
+    one = spark.createDataFrame([("aab\U0001f600é",), ("",), ("x",)], "s string").select(text_grams("s", 3).alias("g")).collect()
+    assert set(one[0]["g"]) >= {"aab", "ab\U0001f600", "b\U0001f600é", "\U0001f600é", "é"} and one[1]["g"] == [] and one[2]["g"] == ["x"]

@@ -84,6 +84,13 @@ def q_mart_accessibility(spark, d):
                                     positions=entity_positions(tb.libraries(spark, d), tb.events(spark, d)))
 
 
+@query("mart_accessibility_cells", ACCESSIBILITY_SQL)
+def q_mart_accessibility_cells(spark, d):
+    """P-10 on two levels: inner sub-cells answer from their name sets, distances are computed at the border only."""
+    return integrated_accessibility(mart_entities(spark, d), mart_facilities(spark, d), radius_m=K.RADIUS_M,
+                                    positions=entity_positions(tb.libraries(spark, d), tb.events(spark, d)), parts=4)
+
+
 @query("prj_literal_tag", """
 SELECT s_name AS name, 'Library' AS data_type FROM supplier
 UNION ALL SELECT c_name, 'Event' FROM customer

@@ -185,7 +185,7 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
                         fac_kind: str, fac_name: str, fac_district: str, fac_lat: str, fac_lon: str,
                         kinds: Mapping[str, str], radius_m: float,
                         earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False,
-                        positions: DataFrame | None = None) -> DataFrame:
+                        positions: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """AGG-1 over JN-4: for every entity row, the number of distinct facility
     names of each kind in the same district within ``radius_m``.
 
@@ -195,7 +195,9 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     rows without coordinates get 0, never null.
 
     ``positions`` are the columns ``district``, ``lat`` and ``lon`` of all entities (or of more), from a cheaper source than
-    an entity table that is not written yet and would be evaluated again for them.
+    an entity table that is not written yet and would be evaluated again for them. With ``parts`` cells are cut
+    into parts x parts sub-cells and distances computed at the border of the radius only (:class:`CellPairs`): for
+    data with many entities and facilities within a radius of each other. The result is the same.
     """
     places = entities if positions is None else positions
     positions = (places.select(F.col(district).alias("__d"), F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
@@ -205,6 +207,9 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
             .select(F.col(fac_kind).alias("__kind"), F.col(fac_name).alias("__name"),
                     F.col(fac_district).alias("__fd"), F.col(fac_lat).alias("__flat"), F.col(fac_lon).alias("__flon"))
             .distinct())
+    if parts is not None:
+        facs = facs.where(F.col("__fd").isNotNull() & F.col("__flat").isNotNull() & F.col("__flon").isNotNull())
+        return _with_counts(entities, CellPairs(positions, facs, radius_m, earth_radius_m, parts).counts(kinds), district, lat, lon, kinds)
     pairs = radius_pairs(positions, facs, left_key="__d", left_lat="__lat", left_lon="__lon",
                          right_key="__fd", right_lat="__flat", right_lon="__flon",
                          radius_m=radius_m, earth_radius_m=earth_radius_m, split_hot_cells=split_hot_cells)
@@ -212,6 +217,10 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     counts = names.groupBy("__d", "__lat", "__lon").agg(*[
         F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).cast("int").alias(out) for k, out in kinds.items()
     ])
+    return _with_counts(entities, counts, district, lat, lon, kinds)
+
+
+def _with_counts(entities: DataFrame, counts: DataFrame, district: str, lat: str, lon: str, kinds: Mapping[str, str]) -> DataFrame:
     # the input is evaluated once here. Rows without a district or a coordinate (every book row, say) match nothing; where the
     # planner shuffles, their partition is one that the skew join splits over its map outputs
     joined = entities.join(counts, (F.col(district) == counts["__d"]) & (F.col(lat) == counts["__lat"])
@@ -219,6 +228,95 @@ def count_within_radius(entities: DataFrame, facilities: DataFrame, *, district:
     return joined.select(*[F.col(c) for c in entities.columns], *[F.coalesce(F.col(out), F.lit(0)).alias(out) for out in kinds.values()])
 
 
+def _cos_low(lo: str, hi: str) -> str:
+    return f"least(cos(radians({lo})), cos(radians({hi})))"
+
+
+def _cos_high(lo: str, hi: str) -> str:
+    return f"(CASE WHEN {lo} <= 0 AND {hi} >= 0 THEN 1.0D ELSE greatest(cos(radians({lo})), cos(radians({hi}))) END)"
+
+
+def box_distances_sql(a: str, b: str, earth_radius_m: float) -> tuple[str, str]:
+    """(lower, upper) bounds of the distance between any point of box ``a`` and any of box ``b``, as SQL.
+
+    A box has the columns <name>_lat0, _lat1, _lon0, _lon1. Both parts of the haversine are bounded by themselves; the
+    way round the date line counts for the lower bound.
+    """
+    col = lambda box, c: f"{box}_{c}"
+    (a0, a1, al, ar), (b0, b1, bl, br) = ([col(x, c) for c in ("lat0", "lat1", "lon0", "lon1")] for x in (a, b))
+    lat_min, lat_max = f"greatest(0.0D, {b0} - {a1}, {a0} - {b1})", f"greatest({b1} - {a0}, {a1} - {b0})"
+    beside, round_ = f"greatest(0.0D, {bl} - {ar}, {al} - {br})", f"greatest(0.0D, 360.0D - (greatest({ar}, {br}) - least({al}, {bl})))"
+    lon_min, lon_max = f"least({beside}, {round_})", f"least(180.0D, greatest({br} - {al}, {ar} - {bl}))"
+    half = lambda x: f"pow(sin(radians({x}) / 2), 2)"
+    low = f"{half(lat_min)} + {_cos_low(a0, a1)} * {_cos_low(b0, b1)} * {half(lon_min)}"
+    high = f"{half(lat_max)} + {_cos_high(a0, a1)} * {_cos_high(b0, b1)} * {half(lon_max)}"
+    return tuple(f"({2 * earth_radius_m!r}D * asin(sqrt(least(1.0D, {x}))))" for x in (low, high))
+
+
+def _boxes(points: DataFrame, keys: Sequence[str], lat: str, lon: str, name: str) -> DataFrame:
+    return points.groupBy(*keys).agg(F.min(lat).alias(f"{name}_lat0"), F.max(lat).alias(f"{name}_lat1"),
+                                     F.min(lon).alias(f"{name}_lon0"), F.max(lon).alias(f"{name}_lon1"))
+
+
+class CellPairs:
+    """AGG-1's candidates on two levels, for dense data.
+
+    Each grid cell is cut into ``parts`` x ``parts`` sub-cells. A pair of sub-cells, one of positions and one of facilities, is
+    told apart by the boxes around their points: ``inner`` when even the furthest points are within the radius, so
+    that all its facility names count for all its positions; dropped when the nearest are not; ``border`` otherwise. Names
+    that a sub-cell already has from inner ones need no comparison, so distances are computed for border names only. The boxes
+    are of the points themselves, hence the bounds hold whatever the rounding of cells.
+    """
+
+    MARGIN = 1e-9  # relative; a pair this near to the radius is compared
+
+    def __init__(self, positions: DataFrame, facilities: DataFrame, radius_m: float, earth_radius_m: float, parts: int):
+        self.radius_m, self.earth_radius_m, self.parts = radius_m, earth_radius_m, parts
+        grid = Grid(radius_m, earth_radius_m)
+        own = grid.with_cell(positions, "__lat", "__lon", "__cy", "__cx")
+        self.positions = self._part(own, grid, "__lat", "__lon").withColumnRenamed("__part", "__e")
+        placed = self._part(grid.with_cell(facilities, "__flat", "__flon", "__oy", "__ox"), grid, "__flat", "__flon", "__oy", "__ox")
+        # a sub-cell of facilities is known by its own cell and part; it is near to the cells its points are near to
+        self.facilities = placed.withColumn("__f", F.xxhash64("__fd", "__oy", "__ox", "__part")).drop("__oy", "__ox", "__part")
+        near = grid.with_neighbour_cells(self.facilities.select("__fd", "__f", "__flat", "__flon"), "__flat", "__flon", "__cy", "__cx") \
+            .select(F.col("__fd").alias("__d"), "__f", "__cy", "__cx").distinct()
+        cell = ["__d", "__cy", "__cx"]
+        self.cell = [*cell, "__e"]
+        places = _boxes(self.positions, self.cell, "__lat", "__lon", "e")
+        low, high = box_distances_sql("e", "f", earth_radius_m)
+        kind = f"CASE WHEN {high} <= {radius_m * (1 - self.MARGIN)!r}D THEN 'inner' WHEN {low} <= {radius_m * (1 + self.MARGIN) + 1e-6!r}D THEN 'border' END"
+        pairs = places.join(near, cell).join(_boxes(self.facilities, ["__f"], "__flat", "__flon", "f"), "__f") \
+            .selectExpr(*self.cell, "__f", f"{kind} AS pair").where("pair IS NOT NULL")
+        names = self.facilities.select("__f", "__kind", "__name").distinct()
+        self.inner = pairs.where("pair = 'inner'").join(names, "__f").select(*self.cell, "__kind", "__name").distinct()
+        border = pairs.where("pair = 'border'").join(self.facilities.drop("__fd"), "__f").drop("__f", "pair")
+        self.border = border.join(self.inner, [*self.cell, "__kind", "__name"], "left_anti")
+
+    def _part(self, df: DataFrame, grid: Grid, lat: str, lon: str, cy: str = "__cy", cx: str = "__cx") -> DataFrame:
+        """Which of the cell's parts a point is in; a point that rounding puts beside its cell is in the nearest."""
+        n = grid.n_x_sql(f"`{cy}`")
+        row = f"(({lat} + 90.0D) / {grid.lat_step!r}D - {cy}) * {self.parts}"
+        col = f"(({lon} + 180.0D) * {n} / 360.0D - {cx}) * {self.parts}"
+        clamp = lambda x: f"greatest(0, least({self.parts - 1}, CAST(floor({x}) AS INT)))"
+        return df.selectExpr("*", f"{clamp(row)} * {self.parts} + {clamp(col)} AS __part")
+
+    def compared(self) -> DataFrame:
+        """Position and border facility of every distance that is computed."""
+        return self.positions.join(self.border, self.cell)
+
+    def counts(self, kinds: Mapping[str, str]) -> DataFrame:
+        """__d, __lat, __lon and a count of distinct names per kind, for positions that have any."""
+        def per_kind(names: DataFrame, keys: Sequence[str]) -> DataFrame:
+            return names.groupBy(*keys).agg(*[F.sum(F.when(F.col("__kind") == k, 1).otherwise(0)).alias(out) for k, out in kinds.items()])
+
+        near = self.compared().where(haversine_m("__lat", "__lon", "__flat", "__flon", self.earth_radius_m) <= F.lit(self.radius_m))
+        place = ["__d", "__lat", "__lon"]
+        at_border = per_kind(near.select(*place, "__kind", "__name").distinct(), place)
+        inside = self.positions.join(per_kind(self.inner, self.cell), self.cell).select(*place, *kinds.values())
+        both = inside.unionByName(at_border)
+        return both.groupBy(*place).agg(*[F.sum(out).cast("int").alias(out) for out in kinds.values()])
+
+
 def correlated_count_sql(entity_view: str, facility_cells_view: str, *, keys: Sequence[str], district: str,
                          lat: str, lon: str, cy: str, cx: str, outputs: Mapping[str, str], radius_m: float,
                          select_cols: Sequence[str], earth_radius_m: float = EARTH_RADIUS_M,

@@ -120,7 +120,7 @@ def facility_locations_job(spark: SparkSession, bus_path: str, subway_path: str,
 
 
 def accessibility_job(spark: SparkSession, entity_path: str, facility_path: str, out_path: str, *,
-                      radius_m: float = K.RADIUS_M) -> None:
+                      radius_m: float = K.RADIUS_M, parts: int | None = None) -> None:
     out = integrated_accessibility(read_published(spark, entity_path), read_published(spark, facility_path),
-                                   radius_m=radius_m)
+                                   radius_m=radius_m, parts=parts)
     publish(out, out_path)

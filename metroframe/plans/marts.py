@@ -60,19 +60,20 @@ def facility_union(bus: DataFrame, subway: DataFrame, parks: DataFrame) -> DataF
 def integrated_accessibility(entities: DataFrame, facilities: DataFrame, *, radius_m: float = K.RADIUS_M,
                              data_types: Sequence[str] = K.DATA_TYPES,
                              earth_radius_m: float = EARTH_RADIUS_M, split_hot_cells: bool = False,
-                             positions: DataFrame | None = None) -> DataFrame:
+                             positions: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """P-10 (flagship): every Library/Event/Book entity with the number of
     distinct bus stop, station and park names of its district within
     ``radius_m`` (FLT-2, JN-4, GEO-1..3, AGG-1 x 3). ``split_hot_cells``
     salts grid cells known to hold a large share of the entities; ``positions`` (see
-    :func:`entity_positions`) spares a second evaluation of entities that are not written yet."""
+    :func:`entity_positions`) spares a second evaluation of entities that are not written yet. ``parts`` cuts
+    the cells of dense data (see ``count_within_radius``)."""
     u = entities.where(F.col("data_type").isin(list(data_types)))
     counted = count_within_radius(
         u, facilities, district="district", lat="latitude", lon="longitude",
         fac_kind="facility_type", fac_name="facility_name", fac_district="district",
         fac_lat="latitude", fac_lon="longitude",
         kinds=dict(zip(K.FACILITY_TYPES, ACCESSIBILITY_COUNTS)), radius_m=radius_m, earth_radius_m=earth_radius_m,
-        split_hot_cells=split_hot_cells, positions=positions)
+        split_hot_cells=split_hot_cells, positions=positions, parts=parts)
     return counted.select(
         F.col("name").alias("entity_name"), F.col("district").alias("entity_district"), "data_type",
         F.col("latitude").alias("entity_latitude"), F.col("longitude").alias("entity_longitude"),

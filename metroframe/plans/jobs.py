@@ -10,6 +10,8 @@ and publish theirs. Paths are folders of any Hadoop-compatible store.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,8 @@ from metroframe.plans.keywords import keyword_columns, top_keywords
 from metroframe.plans.marts import entity_union, facility_union, integrated_accessibility
 from metroframe.schemas import BEST_LOAN_RAW
 from metroframe.sinks.files import write_csv
-from metroframe.sinks.versions import publish, read_published
+from metroframe.sinks.tables import bulk_load, create_empty_table
+from metroframe.sinks.versions import current_path, publish, publish_table, read_published
 from metroframe.sources.csv import read_csv_charset
 from metroframe.sources.snapshot import read_latest_snapshot
 from metroframe.streaming.ingest import incremental_ingest, reset_ingest
@@ -108,19 +111,34 @@ def library_job(spark: SparkSession, raw_path: str, curated_path: str, results_p
 
 
 # P-8, P-9, P-10 ----------------------------------------------------------------------
-def entity_union_job(spark: SparkSession, library_path: str, event_path: str, loan_path: str, out_path: str) -> None:
+def _out(df: DataFrame, path: str, table: str | None) -> int:
+    return publish_table(df, table, path) if table else publish(df, path)
+
+
+def entity_union_job(spark: SparkSession, library_path: str, event_path: str, loan_path: str, out_path: str,
+                     table: str | None = None) -> int:
+    """P-8; with ``table`` the catalog table of that name is pointed at the new version. Returns the version."""
     lib, cul, bll = (read_published(spark, p) for p in (library_path, event_path, loan_path))
-    publish(entity_union(lib, cul, bll), out_path)
+    return _out(entity_union(lib, cul, bll), out_path, table)
 
 
 def facility_locations_job(spark: SparkSession, bus_path: str, subway_path: str, park_path: str,
-                           out_path: str) -> None:
+                           out_path: str, table: str | None = None) -> int:
     bus, sta, park = (read_published(spark, p) for p in (bus_path, subway_path, park_path))
-    publish(facility_union(bus, sta, park), out_path)
+    return _out(facility_union(bus, sta, park), out_path, table)
 
 
 def accessibility_job(spark: SparkSession, entity_path: str, facility_path: str, out_path: str, *,
-                      radius_m: float = K.RADIUS_M, parts: int | None = None) -> None:
+                      radius_m: float = K.RADIUS_M, parts: int | None = None, table: str | None = None) -> int:
     out = integrated_accessibility(read_published(spark, entity_path), read_published(spark, facility_path),
                                    radius_m=radius_m, parts=parts)
-    publish(out, out_path)
+    return _out(out, out_path, table)
+
+
+def load_table_job(spark: SparkSession, table: str, schema: T.StructType, published_path: str, table_path: str,
+                   rejects_path: str | None = None, max_rejects: int = 0) -> tuple[int, int]:
+    """A typed table built anew and loaded by position from the current version of a published one (SNK-7);
+    returns the numbers of rows loaded and rejected."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    create_empty_table(spark, table, schema, f"{table_path}/{uuid.uuid4().hex}")
+    return bulk_load(spark, table, current_path(spark, published_path), rejects_path=rejects_path, max_rejects=max_rejects)

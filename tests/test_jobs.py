@@ -79,6 +79,24 @@ def test_raw_to_marts(spark, tmp_dir):
     assert (book["bus_stops_within_1km"], book["subway_stations_within_1km"], book["parks_within_1km"]) == (0, 0, 0)
 
 
+def test_tables_follow_the_jobs(spark, tmp_dir):
+    from metroframe.schemas import FACILITY_LOCATIONS
+
+    bus = spark.createDataFrame([("정류장", 37.5, 127.0, "강남구")], "bus_name string, bus_latitude double, bus_longitude double, bus_district string")
+    sta = spark.createDataFrame([], "sta_name string, sta_latitude double, sta_longitude double, sta_district string")
+    park = spark.createDataFrame([], "park_name string, park_latitude double, park_longitude double, park_district string")
+    for k, (name, df) in enumerate((("bus", bus), ("sta", sta), ("park", park), ("bus", bus.union(bus)))):
+        df.write.mode("overwrite").parquet(f"{tmp_dir}/{name}")
+        if k >= 2:
+            J.facility_locations_job(spark, f"{tmp_dir}/bus", f"{tmp_dir}/sta", f"{tmp_dir}/park", f"{tmp_dir}/fac", table="jobs_facilities")
+            assert spark.table("jobs_facilities").count() == k - 1
+    for _ in range(2):  # a rerun builds the table anew
+        assert J.load_table_job(spark, "jobs_loaded", FACILITY_LOCATIONS, f"{tmp_dir}/fac", f"{tmp_dir}/loaded") == (2, 0)
+        assert spark.table("jobs_loaded").count() == 2 and spark.table("jobs_loaded").first()["facility_name"] == "정류장"
+    for t in ("jobs_facilities", "jobs_loaded"):
+        spark.sql(f"DROP TABLE {t}")
+
+
 def test_cli_runs_a_job(spark, tmp_dir):
     from metroframe.cli import main
 

@@ -79,10 +79,10 @@ def q_ingest_events(spark, d):
         return ingest_events(spark, responses, raw, ledger, [*DISTRICTS, QUIET])
 
     put("240105", feed.where("page <= 1").unionByName(end.withColumn("page", F.lit(2).cast("long"))))
-    put("240612", feed.where("page <> 3"))
+    put("240612", feed.where("page <> 1"))
     put("240701", pages)
     first, _ = run()
-    put("240612", feed.where("page = 3"))
+    put("240612", feed.where("page = 1"))
     second, latest = run()
     third, _ = run()
     if (first.requests, second.requests, third.requests) != (1, 1, 0):

@@ -269,7 +269,7 @@ WITH p AS (SELECT CAST(floor(s_suppkey / {PAGE_SIZE}) AS BIGINT) AS page, count(
   t AS (SELECT max(page) AS last, sum(n) FILTER (page NOT IN ({ERROR_PAGE}, {LOST_PAGE})) AS got, sum(n) AS total FROM p)
 SELECT page, 'ERROR-500' AS code, 'm' AS message FROM p WHERE page = {ERROR_PAGE}
 UNION ALL SELECT page, 'MISSING-PAGE', NULL FROM p WHERE page = {LOST_PAGE}
-UNION ALL SELECT NULL, 'SHORT-FEED', got::BIGINT || ' of ' || total::BIGINT FROM t
+UNION ALL SELECT NULL, 'SHORT-FEED', got::BIGINT || ' of ' || total::BIGINT FROM t WHERE got < total
 UNION ALL SELECT last + 2, 'MALFORMED', NULL FROM t""")
 def q_src_xml_completeness(spark, d):
     """SRC-7: what keeps a feed from being complete: an error page, a page that is not there, one that

@@ -59,13 +59,15 @@ def read_csv_charset(spark: SparkSession, path: str, encoding: str = "CP949",
     """SRC-3: CSV in a legacy charset such as CP949 / EUC-KR.
 
     Spark 4 refuses non-standard charsets unless ``spark.sql.legacy.javaCharsets``
-    is on, and checks it again whenever the scan runs. The setting is turned
-    on for this read only: the text is decoded once into a reliable checkpoint
+    is on, and checks it again whenever the scan runs. In a session that has it on
+    this is a plain lazy read. Otherwise the setting is turned on for this read only: the text is decoded once into a reliable checkpoint
     (in the shared ``spark.checkpoint.dir``), which later plans read instead
     of the CSV, so no other query runs with the legacy setting.
     """
     from metroframe.session import shared_dir
 
+    if spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "true":
+        return read_csv(spark, path, schema, encoding=encoding, infer=infer)
     shared_dir(spark)
     with legacy_charsets(spark):
         df = read_csv(spark, path, schema, encoding=encoding, infer=infer).checkpoint(eager=True)

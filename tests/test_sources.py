@@ -35,6 +35,9 @@ def test_cp949_round_trip(spark, tmp_dir):
     assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") in ("false", None)
     # decoded once: later actions do not need the legacy setting
     assert back.count() == 1
+    with CSV.legacy_charsets(spark):  # a session that allows the charset reads the files themselves
+        lazy = CSV.read_csv_charset(spark, path, "CP949", "district string, stations string, n int")
+        assert lazy.inputFiles() and [tuple(r) for r in lazy.collect()] == [tuple(r) for r in back.collect()]
 
 
 def test_latest_snapshot_reads_only_the_newest(spark, tmp_dir):

@@ -110,7 +110,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir)).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("bigint").alias("n_kept"))
 
 
 @query("op13_personal_data")

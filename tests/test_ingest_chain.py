@@ -112,3 +112,15 @@ def test_events_land_when_their_feed_is_whole(spark, place):
     assert I.ingest_events(spark, r, place["raw"], place["ledger"], districts)[0].requests == 0
     none, rows = I.ingest_events(spark, f"{r}/none", f"{place['raw']}/none", f"{place['ledger']}/none", districts)
     assert none.requests == 0 and rows.count() == 0
+
+
+def test_command_line(spark, place, capsys):
+    from metroframe.cli import main
+
+    put(f"{place['responses']}/district=강남구/year=2024/month=1/a.xml", loans("하나"))
+    put(f"{place['responses']}/district=중구/year=2024/month=1/a.xml", "<response><error>x</error></response>")
+    common = ["--ledger", place["ledger"], "--start", "202401", "--end", "202401", "--districts", "강남구", "중구"]
+    assert main(["loan-requests", *common]) == 0 and capsys.readouterr().out.count("dtl_region") == 2
+    assert main(["land-loans", "--responses", place["responses"], "--raw", place["raw"], *common]) == 1
+    assert '{"requests": 1, "rows": 1}' in capsys.readouterr().out
+    assert main(["loan-requests", *common]) == 0 and "중구" in capsys.readouterr().out

@@ -36,7 +36,7 @@ from metroframe.session import scratch_path
 # digits, letters and every byte of a character beyond ASCII
 LETTERS = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 ITEM_TERMS = 1 << 20
-SHARD = 1 << 19
+SHARD = 1 << 18
 BLOCK = 16
 FIRST = 8  # blocks an item looks at before it sets its own threshold
 PROBES = 64
@@ -253,7 +253,8 @@ def build_index(table: DataFrame, items: Items, n: int, length: int, weight: np.
     path = scratch_path(table.sparkSession, "search_index")
     rows = (table.filter(F.octet_length("terms") > 0).mapInArrow(run, INDEX)
             .select(F.monotonically_increasing_id().alias("shard"), "*"))
-    rows.write.option("compression", "zstd").parquet(path)
+    # a reader holds the rows of a file at once: two shards, whatever the size of the corpus
+    rows.write.option("compression", "zstd").option("maxRecordsPerFile", 2).parquet(path)
     return table.sparkSession.read.schema(rows.schema).parquet(path)
 
 

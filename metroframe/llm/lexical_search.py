@@ -36,8 +36,8 @@ from metroframe.session import scratch_path
 # digits, letters and every byte of a character beyond ASCII
 LETTERS = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 ITEM_TERMS = 1 << 20
-SHARD = 1 << 18
-BLOCK = 16
+SHARD = 1 << 19
+BLOCK = 64
 FIRST = 8  # blocks an item looks at before it sets its own threshold
 PROBES = 64
 SKETCH = 32

@@ -52,6 +52,7 @@ def prefix_lookup_join(df: DataFrame, id_col: str, lookup: DataFrame, lookup_pre
 
 
 GRAM = 5
+KEY_WORDS = 1 << 14  # 2^20 bits for the hashes of a containment join's keys
 
 
 def text_grams(text, gram: int = GRAM):
@@ -75,28 +76,51 @@ def rarest_grams(terms: DataFrame, term_col: str, gram: int = GRAM) -> DataFrame
     return pairs.join(count, "__key").groupBy("__term").agg(best).select("__term", F.col("__best.__key").alias("__key"))
 
 
+def _key_bits(index: DataFrame, words: int):
+    """The keys' hashes as ``words`` numbers of 64 bits each, in a subquery that runs with the join: of a bounded size whatever
+    the number of terms, and without false negatives."""
+    h = F.pmod(F.xxhash64("__key"), F.lit(words * 64))
+    bits = index.select(h.alias("__h")).groupBy(F.expr("CAST(__h DIV 64 AS BIGINT)").alias("__w")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(__h % 64 AS INT)))").alias("__b"))
+    every = index.sparkSession.range(words).join(bits, F.col("id") == F.col("__w"), "left")
+    rows = F.array_sort(F.collect_list(F.struct("id", F.coalesce("__b", F.lit(0).cast("long")).alias("b"))))
+    return every.agg(F.transform(rows, lambda r: r["b"]).alias("bits")).scalar()
+
+
+def _may_be_key(gram, bits):
+    h = F.pmod(F.xxhash64(gram), F.lit(KEY_WORDS * 64))
+    return F.getbit(F.get(bits, F.shiftright(h, 6).cast("int")), (h % 64).cast("int")) == 1
+
+
 def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str, gram: int = GRAM) -> DataFrame:
     """JN-3: route each row to every term its text contains (a theta join), as
     equi-joins on an index of the terms by their rarest gram.
 
     A text meets only the terms whose rarest gram it has. Its grams carry only the hash of the text; the pairs of text
     hash and term join back to the rows, and ``contains`` decides, so a hash collision cannot add a row. Texts are
-    cut in time linear in their length, into shorter grams only where there are shorter terms. Empty and null terms
+    cut in time linear in their length, into shorter grams only where there are shorter terms, and a gram whose hash no
+    key of the index has goes no further. The sides made from terms are the ones hashed; rows are streamed past them and
+    never broadcast, whatever sizes the planner expects. Empty and null terms
     match nothing; repeated rows and repeated terms are all kept. Columns of the two sides must have different names.
     """
-    index = rarest_grams(terms, term_col, gram)
+    keys = rarest_grams(terms, term_col, gram)
     # the lengths of the index's keys: a subquery of at most ``gram`` numbers, run with the join
-    lengths = index.agg(F.collect_set(F.length("__key")).alias("n")).scalar()
+    lengths = keys.agg(F.collect_set(F.length("__key")).alias("n")).scalar()
+    own = terms.where(F.length(term_col) > 0).groupBy(F.col(term_col).alias("__term")).agg(
+        F.collect_list(F.struct(*terms.columns)).alias("__own"))
     hashed = df.withColumn("__text", F.xxhash64(F.col(text_col)))
-    cut = hashed.where(F.col(text_col).isNotNull()).select("__text", text_grams(F.col(text_col), gram).alias("__grams"), lengths.alias("__n"))
-    none = F.array().cast("array<string>")
-    shorter = [F.when(F.array_contains("__n", n), _heads(F.col("__grams"), n)).otherwise(none) for n in range(1, gram)]
-    cut = cut.select("__text", F.explode(F.concat("__grams", *shorter)).alias("__key"))
-    found = cut.join(index, "__key").select("__text", "__term").distinct()
-    own = terms.where(F.length(term_col) > 0).select(*[F.col(c).alias(f"__own_{c}") for c in terms.columns])
-    rows = hashed.join(found, "__text").where(F.col(text_col).contains(F.col("__term")))
-    return rows.join(own, F.col("__term") == F.col(f"__own_{term_col}")).select(
-        *[F.col(c) for c in df.columns], *[F.col(f"__own_{c}").alias(c) for c in terms.columns])
+    every = F.regexp_extract_all(F.col(text_col), F.lit(rf"(?s)(?=(.{{1,{gram}}}))"), F.lit(1))
+    cut = hashed.where(F.col(text_col).isNotNull()).select("__text", F.explode(every).alias("__gram"))
+    # the subqueries' values stay out of the rows: as columns they would be copied with every gram
+    bits, whole = _key_bits(keys, KEY_WORDS), F.col("__gram")
+    heads = [F.when(_may_be_key(whole, bits), whole)]
+    heads += [F.when(F.array_contains(lengths, n) & _may_be_key(F.left(whole, F.lit(n)), bits), F.left(whole, F.lit(n))) for n in range(1, gram)]
+    cut = cut.where(F.coalesce(*heads).isNotNull()).select("__text", F.explode(F.array(*heads)).alias("__key"))
+    cut = cut.where(F.col("__key").isNotNull()).distinct()
+    found = cut.join(keys.join(own, "__term").hint("shuffle_hash"), "__key").drop("__key")
+    rows = hashed.join(found.hint("shuffle_hash"), "__text").where(F.col(text_col).contains(F.col("__term")))
+    return rows.select(*[F.col(c) for c in df.columns], F.explode("__own").alias("__o")).select(
+        *[F.col(c) for c in df.columns], *[F.col("__o")[c].alias(c) for c in terms.columns])
 
 
 def month_grid(start_month, end_month, keys: DataFrame) -> DataFrame:

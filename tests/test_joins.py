@@ -51,3 +51,16 @@ def test_rarest_grams(spark):
     assert got == {"abcd": "bcd", "abce": "bce", "xabc": "xab", "ab": "ab", "é": "é"}
     one = spark.createDataFrame([("aab\U0001f600é",), ("",), ("x",)], "s string").select(text_grams("s", 3).alias("g")).collect()
     assert set(one[0]["g"]) >= {"aab", "ab\U0001f600", "b\U0001f600é", "\U0001f600é", "é"} and one[1]["g"] == [] and one[2]["g"] == ["x"]
+
+
+def test_contains_join_keeps_all_repeats_and_broadcasts_no_rows(spark):
+    from metroframe.operators.joins import contains_join
+
+    texts = [(1, "abcdefgh"), (1, "abcdefgh"), (2, "xab"), (None, "ab"), (3, ""), (4, None), (5, "a\nbcdefg\U0001f600"), (6, "zz")]
+    listed = [("abcdef", 1), ("abcdef", 1), ("ab", 2), ("ab", 3), ("bcdefg", None), ("\U0001f600", 4), ("h", 5), ("", 6), (None, 7)]
+    rows, terms = spark.createDataFrame(texts, "id int, s string"), spark.createDataFrame(listed, "t string, n int")
+    out = contains_join(rows, "s", terms, "t")
+    expected = [(i, s, t, n) for i, s in texts for t, n in listed if s is not None and t and t in s]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, expected))
+    plan = out._jdf.queryExecution().executedPlan().toString()  # the planner takes this little table for broadcastable
+    assert "NestedLoop" not in plan and "BroadcastHashJoin [__text" not in plan and plan.count("ShuffledHashJoin") >= 2

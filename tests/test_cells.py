@@ -98,3 +98,32 @@ def test_within_radius_is_an_existence_join(spark):
     assert {r["id"]: r["near"] for r in out.collect()} == expected and 0 < sum(expected.values()) < len(expected)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ExistenceJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("place,radius", [("city", 1500.0), ("date line", 1500.0), ("pole", 1000.0), ("city", 0.0)])
+def test_pairs_dealt_by_cell_and_salt_equal_brute_force(spark, place, radius):
+    e, f, entities, facilities = tables(spark, 7, place)
+    options = dict(left_key="d", left_lat="lat", left_lon="lon", right_key="fd", right_lat="flat", right_lon="flon", radius_m=radius)
+    expected = [(i, name) for i, d, lat, lon in e for _, name, fd, flat, flon in f
+                if d is not None and d == fd and None not in (lat, lon, flat, flon) and distance((lat, lon), (flat, flon)) <= radius]
+    key = lambda rows: sorted(((r["id"], r["name"]) for r in rows), key=str)
+    assert key(radius_pairs(entities, facilities, **options).collect()) == sorted(expected, key=str)
+    spread = radius_pairs(entities, facilities, ways=3, **options)
+    assert key(spread.collect()) == sorted(expected, key=str)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan  # small sides, but each task gets a share of the pairs
+
+
+def test_scalar_subquery_counts_names_without_pairs_in_the_shuffle(spark):
+    from metroframe.operators.spatial import Grid, correlated_count_sql, entity_cells, facility_cells
+
+    e, f, entities, facilities = tables(spark, 5, "city")
+    entity_cells(entities, Grid(1500.0), "lat", "lon").createOrReplaceTempView("t_cells_e")
+    cells = facility_cells(facilities.where("fd is not null and flat is not null"), Grid(1500.0), "flat", "flon")
+    cells.selectExpr("kind", "name", "fd AS district", "flat AS lat", "flon AS lon", "cy", "cx").createOrReplaceTempView("t_cells_f")
+    sql = correlated_count_sql("t_cells_e", "t_cells_f", keys=["d"], district="d", lat="lat", lon="lon", cy="cy", cx="cx", outputs=KINDS,
+                               radius_m=1500.0, select_cols=["id"])
+    expected = counted(entities, facilities, 1500.0)
+    out = spark.sql(sql)
+    assert {r["id"]: (r["n_bus"], r["n_park"]) for r in out.collect()} == expected and any(map(any, expected.values()))
+    assert "places = 1" in sql and "GROUP BY" in sql

@@ -38,3 +38,17 @@ def test_html_to_text_literal_rows(spark):
     out = spark.createDataFrame([(long,)], "h string").select(html_to_text("h").alias("x")).first()["x"]
     assert out == " " + "&" * 20_000 + "<" * 50_000 + "<p a='" + "x" * 200_000
     assert spark.createDataFrame([("a<p>b<b>c",)], "h string").select(html_to_text("h", "\n").alias("x")).first()["x"] == "a\nbc"
+
+
+def test_pages_are_dealt_by_the_bytes_of_their_files(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from metroframe.plans.keywords import spread_pages, top_keywords
+
+    source = spark.range(400).select(F.col("id").alias("page_id"), F.expr("concat('<p>', sha2(cast(id AS string), 512), ' red red blue')").alias("html"))
+    source.coalesce(1).write.parquet(f"{tmp_dir}/pages")
+    pages = spark.read.parquet(f"{tmp_dir}/pages")
+    parts = lambda n: spread_pages(spark, pages, "page_id", n).rdd.getNumPartitions()
+    assert parts(1 << 30) == 4 and 8 <= parts(4000) <= 2 * parts(8000) + 1 and parts(1000) > 3 * parts(4000)
+    key = lambda df: sorted(map(tuple, top_keywords(df, "page_id", "html", pattern="[a-z]+", stop_words=[]).collect()))
+    assert key(spread_pages(spark, pages, "page_id", 4000)) == key(pages)

@@ -50,5 +50,6 @@ def test_pages_are_dealt_by_the_bytes_of_their_files(spark, tmp_dir):
     pages = spark.read.parquet(f"{tmp_dir}/pages")
     parts = lambda n: spread_pages(spark, pages, "page_id", n).rdd.getNumPartitions()
     assert parts(1 << 30) == 4 and 8 <= parts(4000) <= 2 * parts(8000) + 1 and parts(1000) > 3 * parts(4000)
+    assert spread_pages(spark, pages, "page_id", 1 << 30, 20).rdd.getNumPartitions() == 20
     key = lambda df: sorted(map(tuple, top_keywords(df, "page_id", "html", pattern="[a-z]+", stop_words=[]).collect()))
     assert key(spread_pages(spark, pages, "page_id", 4000)) == key(pages)

@@ -8,6 +8,11 @@ halves go on alike. An interval without a cut is one group. What a walk has pass
 is left out of the halves, so each end is passed a bounded number of times. All intervals of a
 level, over all texts of a step, are halved at once in numpy.
 
+Both sides cut before a single space between two other characters, so there a word with the space before it
+is aligned on its own: a task aligns each different word once, remembers a bounded number of them, and joins
+their results to those of a text. A text with another word (empty, with white space at an end, with U+2581,
+very long, or not given back by the bytes of both sides) is aligned whole.
+
 A link is a pair of an A and a B token whose byte ranges overlap: one for each stretch between
 neighbouring ends of either side. Pairs of ids are counted per task, then over the corpus. The FREQUENT
 commonest pairs (of a fixed number, 9 MB) go to every task with their counts; a document's other pairs are joined with the table
@@ -23,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +38,14 @@ from pyspark.sql import functions as F
 
 from metroframe.llm import vectext as V
 from metroframe.llm.common import slices
-from metroframe.llm.token_files import _Pieces
+from metroframe.llm.token_files import NEW, _Pieces
 from metroframe.session import scratch_path
 
 FREQUENT = 1 << 19
 COMPACT = 4_000_000  # pairs a task holds before it merges equal ones
 EMIT = 1_000_000
+WORDS = 700_000  # words a worker remembers
+WORD_LENGTH = 256  # a text with a longer one is aligned whole
 
 
 def byte_letters() -> dict[str, int]:
@@ -88,6 +96,8 @@ class TokenizerPair:
         self.a, self.b = _Table(a), _Table(b)
         self.width_a, self.width_b = ("<u2" if len(x) <= 1 << 16 else "<u4" for x in (a, b))
         self.pieces = _Pieces(self.tok, self.width_a, " ")
+        # no piece goes on after a space, and none is broken at one
+        self.words = _Words(self) if self.cuts and not any("▁" in p.lstrip("▁") for p in pieces) else None
         decimal = [str(i).encode() for i in range(max(len(a), len(b)))]
         wide = max(map(len, decimal)) + 1
         self.decimal = np.frombuffer(b"".join(d.ljust(wide) for d in decimal), np.uint8).reshape(-1, wide)
@@ -120,7 +130,59 @@ class TokenizerPair:
 
     def encode_b(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         found = self.model.encode(texts.to_pylist(), num_threads=1)
-        return np.concatenate([np.array(f, self.width_b) for f in found]), np.array([len(f) for f in found])
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), self.width_b, int(n.sum())), n
+
+
+class _Words:
+    """Aligned words, each with a space before it: the columns of :func:`_whole`, a row per word, in buffers that grow."""
+
+    def __init__(self, pair: TokenizerPair):
+        self.pair = pair
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.known = 0
+        self.data = [np.zeros(1 << 16, np.uint8) for _ in range(4)]
+        self.ends = [np.zeros(1 << 12, np.int32) for _ in range(4)]
+
+    def slots(self, keys: list[str]) -> np.ndarray:
+        """The row of each word (all different), -1 for one that cannot stand alone; new ones are aligned together."""
+        got = np.fromiter(map(self.slot.get, keys, repeat(NEW)), np.int64, len(keys))
+        new = np.flatnonzero(got == NEW).tolist()
+        if new and len(self.slot) + len(new) > WORDS:
+            self.forget()
+            new = range(len(keys))
+        if new:
+            got[new] = self._learn([keys[i] for i in new])
+        return got
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        got = np.full(len(words), -1)
+        alone = [k for k, w in enumerate(words) if w and len(w) <= WORD_LENGTH and w == w.strip() and "▁" not in w]
+        if alone:
+            columns = _whole(self.pair, pa.array([words[k] for k in alone], pa.string()))
+            same = np.diff(_binary(columns[0])[1]) > 0
+            got[np.array(alone)[same]] = np.arange(self.known, self.known + int(same.sum()))
+            for c, column in enumerate(columns):
+                self._add(c, *_binary(column.filter(pa.array(same))))
+            self.known += int(same.sum())
+        self.slot.update(zip(words, got.tolist(), strict=True))
+        return got
+
+    def _add(self, c: int, raw: np.ndarray, at: np.ndarray) -> None:
+        used, end = int(self.ends[c][self.known]), self.known + len(at)
+        if used + len(raw) > len(self.data[c]):
+            self.data[c] = np.concatenate([self.data[c][:used], np.zeros(used + 2 * len(raw), np.uint8)])
+        if end > len(self.ends[c]):
+            self.ends[c] = np.concatenate([self.ends[c], np.zeros(end, np.int32)])
+        self.data[c][used:used + len(raw)] = raw
+        self.ends[c][self.known:end] = used + at
+
+    def column(self, c: int) -> pa.Array:
+        ends = self.ends[c][:self.known + 1]
+        return pa.Array.from_buffers(pa.binary(), self.known, [None, pa.py_buffer(ends), pa.py_buffer(self.data[c][:ends[-1]])])
 
 
 _pairs: dict[tuple[str, str], TokenizerPair] = {}
@@ -171,10 +233,41 @@ def common_cuts(ea: np.ndarray, eb: np.ndarray, first: np.ndarray, last: np.ndar
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def _aligned(pair: TokenizerPair, texts: pa.Array) -> dict[str, list]:
-    """Columns of :func:`align` for texts that are neither null nor empty."""
+def _aligned(pair: TokenizerPair, texts: pa.Array) -> list[pa.Array]:
+    """:func:`_whole` for texts that are neither null nor empty, by their words where these can stand alone."""
+    if pair.words is None:
+        return _whole(pair, texts)
+    lists = pc.split_pattern(texts, " ")
+    at = lists.offsets.to_numpy().astype(np.int64)
+    at, found = at - at[0], lists.flatten().dictionary_encode()
+    slot = pair.words.slots(found.dictionary.to_pylist())[found.indices.to_numpy()]
+    odd = np.logical_or.reduceat(slot < 0, at[:-1])
+    rest = _whole(pair, texts.filter(pa.array(odd))) if odd.any() else None
+    plain = pa.array(slot[~np.repeat(odd, np.diff(at))])
+    to = np.concatenate([[0], np.cumsum(np.diff(at)[~odd])])
+    out = []
+    for c in range(4):
+        raw, ends = _binary(pair.words.column(c).take(plain))
+        column = _column(raw, ends[to])
+        if rest is not None:
+            order = np.empty(len(texts), np.int64)
+            order[np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])] = np.arange(len(texts))
+            column = pa.concat_arrays([column, rest[c]]).take(pa.array(order))
+        out.append(column)
+    return out
+
+
+def _column(raw, ends) -> pa.Array:
+    """A binary column of the bytes between the ends (from 0)."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+
+
+def _whole(pair: TokenizerPair, texts: pa.Array) -> list[pa.Array]:
+    """a_ids, b_ids and sizes of :func:`align`, and the written groups with a ``;`` at the end, for texts that are neither null nor
+    empty; nothing for texts that are not given back."""
     ids_a, n_a = pair.encode_a(texts)
     ids_b, n_b = pair.encode_b(texts)
+    pair.pieces.forget()  # words are remembered aligned
     end_a, end_b = np.cumsum(pair.a.size[ids_a]), np.cumsum(pair.b.size[ids_b])
     last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
     data, at = V.buffer(texts)
@@ -197,7 +290,6 @@ def _aligned(pair: TokenizerPair, texts: pa.Array) -> dict[str, list]:
     cut_b = np.searchsorted(end_b, end_a[cut_a])
     size_a, size_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
     until = np.searchsorted(cut_a, last_a - 1, side="right")  # groups up to the end of each text
-    groups = np.diff(until, prepend=0)
     # the written form: tokens in order of groups, A before B, each with the mark that follows it
     order = np.empty(len(ids_a) + len(ids_b), np.int64)
     mark = np.full(len(order), ord(","), np.uint8)
@@ -209,16 +301,13 @@ def _aligned(pair: TokenizerPair, texts: pa.Array) -> dict[str, list]:
     mark[place_b[cut_b]] = ord(";")
     rows, digits = pair.decimal[order], pair.digits[order]
     rows[np.arange(len(order)), digits] = mark
-    # the last mark of a text is not written
     written = digits + 1
-    written[(last_a + last_b)[some] - 1] -= 1
-    text = rows[np.arange(rows.shape[1]) < written[:, None]].tobytes()
-    done = np.concatenate([[0], np.cumsum(written)])[np.concatenate([[0], last_a + last_b])].tolist()
-    digest = [hashlib.sha256(text[i:j]).hexdigest() if j > i else "" for i, j in zip(done, done[1:], strict=False)]
+    text = rows[np.arange(rows.shape[1]) < written[:, None]]
+    done = np.concatenate([[0], np.cumsum(written)])[np.concatenate([[0], last_a + last_b])]
     sizes = np.stack([size_a, size_b], axis=1).astype("<u4")
-    cut = lambda x, to: [x[i:j].tobytes() for i, j in zip([0, *to[:-1]], to, strict=True)]
-    return {"a_ids": cut(ids_a, last_a.tolist()), "b_ids": cut(ids_b, last_b.tolist()), "sizes": cut(sizes, until.tolist()),
-            "n_a": n_a.tolist(), "n_b": n_b.tolist(), "n_groups": groups.tolist(), "groups_sha256": digest}
+    ends = lambda last, wide: np.concatenate([[0], last]) * wide
+    return [_column(ids_a, ends(last_a, ids_a.itemsize)), _column(ids_b, ends(last_b, ids_b.itemsize)),
+            _column(sizes, ends(until, 8)), _column(text, done)]
 
 
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, a_ids binary, b_ids binary, "
@@ -233,22 +322,24 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_i
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pair_of(byte_path, piece_path)
-        blank = {"n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": "", "a_ids": b"", "b_ids": b"", "sizes": b""}
+        size_a, size_b = np.dtype(pair.width_a).itemsize, np.dtype(pair.width_b).itemsize
         for b in batches:
             _, at = V.buffer(b.column(1))
             for i, j in slices(at):
                 texts = b.column(1).slice(i, j - i).fill_null("")
-                full = np.flatnonzero(np.diff(at[i:j + 1]) > 0)
-                out = {k: [v] * (j - i) for k, v in blank.items()}
-                if len(full):
-                    got = _aligned(pair, texts.take(pa.array(full)))
-                    for k, column in out.items():
-                        for row, value in zip(full.tolist(), got[k], strict=True):
-                            column[row] = value
-                types = {k: pa.string() if isinstance(v, str) else pa.binary() if isinstance(v, bytes) else pa.int64()
-                         for k, v in blank.items()}
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *[pa.array(v, types[k]) for k, v in out.items()]],
-                                                 names=["doc_id", *out])
+                full = np.diff(at[i:j + 1]) > 0
+                if full.any():
+                    place = pa.array(np.cumsum(full) - 1, mask=~full)
+                    columns = [c.take(place).fill_null(b"") for c in _aligned(pair, texts.filter(pa.array(full)))]
+                else:
+                    columns = [pa.array([b""] * (j - i), pa.binary())] * 4
+                a_ids, b_ids, sizes, (raw, to) = *columns[:3], _binary(columns[3])
+                counts = [np.diff(_binary(c)[1]) // w for c, w in ((a_ids, size_a), (b_ids, size_b), (sizes, 8))]
+                # the last mark of a text is not written
+                digest = [hashlib.sha256(raw[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(to.tolist(), to[1:].tolist(), strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), *map(pa.array, counts), pa.array(digest, pa.string()), a_ids, b_ids, sizes],
+                    names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "a_ids", "b_ids", "sizes"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return _kept(rows.mapInArrow(run, ALIGNED).select(F.monotonically_increasing_id().alias("row_key"), "*"), "aligned")

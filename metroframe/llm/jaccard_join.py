@@ -12,12 +12,14 @@ Block counts go by size bands [2**k, 2**(k+1)); a set within a factor 1.25 of
 the next band emits keys there too, so each similar pair meets in one band. A
 set with too few non-empty blocks emits all of them and its smallest shingles.
 
-Keys are joined through pivots: each set of a bucket is compared with two of
+Keys are joined through pivots: each set of a bucket is compared with three of
 the bucket's only, exactly, after a Hamming test of a 512-bit sketch: its smallest set, the
-same over many buckets, and one that a hash of key and set picks, another in each, which ties
-together groups of near copies around the limit, not all of them linked with the smallest.
+same over many buckets, and its neighbours in an order by a hash of key and set, others in each bucket, which
+tie together groups of near copies around the limit, not all of them linked with the smallest.
 Then pairs of a bucket that are in different components are compared, so no link between
-components is lost and few near copies are left to be paired.
+components is lost and few near copies are left to be paired. Such a pair is made where no key
+among the BEFORE preceding ones of each set, in order of keys, is in both lists: at its first common key
+always, at later ones seldom, however many keys the two sets share.
 
 Equal sets share a 64-bit id; two different sets get the same one with a
 probability of 2**-64 a pair.
@@ -44,6 +46,7 @@ from metroframe.llm.common import bit_filter, components, may_hold, slices, writ
 
 K = 5
 SKETCH_WORDS = 8  # 512 bits
+BEFORE = 16  # preceding keys that go with a key of a set; only spares work
 SEEN_LIMIT = 200_000  # ids a task remembers to emit a copy's keys once; only spares work
 U = np.uint64
 
@@ -207,8 +210,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = written(docs.mapInArrow(_keys, "key bigint, sid bigint")
                       .withColumn("pivot", F.first("sid").over(bucket))
                       .filter("sid <> pivot").distinct(), "jaccard_buckets")
-    picked = buckets.groupBy("key").agg(F.min_by("sid", F.xxhash64("key", "sid")).alias("p"))
-    spread = (buckets.join(picked, "key").filter("sid <> p")
+    ring = Window.partitionBy("key").orderBy(F.xxhash64("key", "sid"), "sid")
+    spread = (buckets.select("sid", F.lead("sid").over(ring).alias("p")).filter("p is not null")
               .select(F.least("sid", "p").alias("x"), F.greatest("sid", "p").alias("y")))
     star = buckets.select(F.col("pivot").alias("x"), F.col("sid").alias("y")).union(spread).distinct()
     star = star.join(_side(info, "x"), "x").join(_side(info, "y"), "y").filter(_may_link(percent))
@@ -219,13 +222,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .withColumn("component", F.coalesce("component", "sid")))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .filter("lo <> hi").select("key")
-    rest = written(placed.join(mixed, "key", "left_semi").select("key", "sid", "component").join(info, "sid"),
-                   "jaccard_rest")
-    left, right = _side(rest, "x", "key", F.col("component").alias("cx")), \
-        _side(rest, "y", "key", F.col("component").alias("cy"))
-    # size and sketch decide inside the join: sets that merely share a passage give no rows
+    earlier = Window.partitionBy("sid").orderBy("key").rowsBetween(-BEFORE, -1)
+    rest = written(placed.join(mixed, "key", "left_semi").select("key", "sid", "component")
+                   .withColumn("before", F.collect_list("key").over(earlier)).join(info, "sid"), "jaccard_rest")
+    left, right = _side(rest, "x", "key", F.col("component").alias("cx"), F.col("before").alias("before_x")), \
+        _side(rest, "y", "key", F.col("component").alias("cy"), F.col("before").alias("before_y"))
+    # size, sketch and earlier keys decide inside the join: sets that merely share a passage give no rows, others few
     more = left.join(right, (left["key"] == right["key"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy"))
-                     & _may_link(percent)).select("x", "y", "n_x", "n_y").distinct()
+                     & _may_link(percent) & ~F.arrays_overlap("before_x", "before_y")) \
+        .select("x", "y", "n_x", "n_y").distinct()
     late = written(_verified(more, docs, percent), "jaccard_links")
     if not late.isEmpty():
         groups = components(links.union(late))

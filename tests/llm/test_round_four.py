@@ -27,3 +27,42 @@ def test_words_are_aligned_once_and_like_whole_texts(monkeypatch):
     pair.words.forget()
     T._aligned(pair, pa.array([plain] * 50))
     assert sorted(seen) == sorted(set(plain.split(" ")))
+
+
+def test_pairs_of_sets_that_share_many_keys_are_made_few_times(spark, monkeypatch):
+    from metroframe.llm import jaccard_join as J
+
+    # two texts of a similarity below the limit, of which many blocks are equal, linked with nothing
+    base = prose(21, 3000).split()
+    rows = [(k, " ".join(base[:k * 12] + [f"n{k}x{i}" for i in range(330)] + base[k * 12 + 330:])) for k in range(1, 9)]
+    made = []
+    monkeypatch.setattr(J, "_verified", lambda near, docs, percent, of=J._verified: (made.append(near), of(near, docs, percent))[1])
+    kept = {}
+    monkeypatch.setattr(J, "written", lambda df, name, of=J.written: kept.setdefault(name, of(df, name)) if name == "jaccard_rest" else of(df, name))
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {}
+    for k, text in rows:
+        w = text.lower().split()
+        sets[k] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    least = {k: k for k in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    least[a] = min(least[a], least[b])
+    assert got == least
+    rest = kept["jaccard_rest"].select("key", "sid", "component", "before").collect()
+    by = {}
+    for r in rest:
+        by.setdefault(r["key"], []).append(r)
+    shared, pairs, times = 0, set(), 0
+    for group in by.values():
+        for x in group:
+            for y in group:
+                if x["sid"] < y["sid"] and x["component"] != y["component"]:
+                    shared += 1
+                    pairs.add((x["sid"], y["sid"]))
+                    times += not set(x["before"]) & set(y["before"])
+    made_here = {(r["x"], r["y"]) for r in made[1].select("x", "y").collect()}
+    assert made_here <= pairs and pairs
+    assert len(pairs) <= times < shared / 5

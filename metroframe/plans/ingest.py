@@ -25,7 +25,7 @@ from metroframe.plans.jobs import best_loan_job
 from metroframe.schemas import BEST_LOAN_RAW, BEST_LOAN_RESPONSE, EVENT_PARSE_RAW
 from metroframe.session import scratch_path
 from metroframe.sinks.files import write_csv
-from metroframe.sources.headers import hadoop_path, list_files
+from metroframe.sources.headers import hadoop_path, has_files, list_files
 from metroframe.sources.manifest import child_values
 from metroframe.sources.xml import page_rejects, page_rows, parse_pages, read_responses
 
@@ -127,11 +127,13 @@ def land_events(spark: SparkSession, responses_path: str, raw_path: str, ledger_
     """
     known = {r["request_date"] for r in read_ledger(spark, ledger_path, EVENT_LEDGER).collect()}  # a row per date
     new = {d: p for d, p in child_values(spark, responses_path, "request_date").items() if d not in known}
-    files = [f.path for p in new.values() for f in list_files(spark, p)]
-    if not files:
+    folders = [p for p in new.values() if has_files(spark, p)]
+    if not folders:
         return Landed(0, 0, _no_rejects(spark))
     feed = F.regexp_extract("file", "request_date=([^/]+)/", 1)
-    pages = _written(parse_pages(read_responses(spark, files), EVENT_PARSE_RAW, feed=feed), "event_pages")
+    # Spark lists the dates' folders, in tasks where they are many; names that begin with _ are left out as elsewhere
+    found = read_responses(spark, folders).where(~F.col("file").rlike("request_date=[^/]+/(?:[^/]+/)*_"))
+    pages = _written(parse_pages(found, EVENT_PARSE_RAW, feed=feed), "event_pages")
     ends = pages.where(F.col("code") == K.STATUS_NO_DATA).select("feed").distinct()
     endless = pages.select("feed").distinct().join(ends, "feed", "left_anti").select(
         "feed", F.lit(None).cast("long").alias("page"), F.lit(None).cast("string").alias("file"), F.lit("NO-END").alias("code"),

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-SEGMENTS = 400_000  # segments and pairs a worker remembers; beyond it forgets and starts anew
-PAIRS = 400_000
+SEGMENTS = 1 << 16  # a worker remembers so many segments and pairs used last, and up to as many from before
+PAIRS = 1 << 16
 KEPT_LENGTH = 48  # longer segments are not remembered
 YIELD_BYTES = 8 << 20
 PROBES = ["", " ", "a", "  a  b ", "\n\nx\t y", "a▁b", "ﬁ é", "<s>a</s>", "　\U0001f600", "0123   45"]
@@ -77,7 +77,7 @@ class SentencePieceTable:
                     raise ValueError("a piece holds a space mark after another character")
         self.automaton.make_automaton()
         self.starts = [self._merged(p) == [p] if p in self.id else False for p in self.text]
-        self.pairs: dict[int, bool] = {}
+        self.pairs = _Recent(PAIRS, self._fit)
         self.segments = _Segments(self)
         for probe in PROBES:
             ids = self.encode(probe)
@@ -98,28 +98,21 @@ class SentencePieceTable:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, left: int, right: int) -> bool:
-        """Whether the two tokens are the encoding of their joined string."""
-        key = left << 32 | right
-        known = self.pairs.get(key)
-        if known is None:
-            a, b = self.text[left], self.text[right]
-            known = self._merged(a + b) == [a, b]
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
-        return known
+    def _fit(self, pair: int) -> bool:
+        """Whether two tokens (the first times 2**32, plus the second) are the encoding of their joined string."""
+        a, b = self.text[pair >> 32], self.text[pair & 0xFFFFFFFF]
+        return self._merged(a + b) == [a, b]
 
     def segment(self, text: str) -> list[int]:
         """Ids of a segment (with space marks), by the prefix table."""
         last, size = [-1] * (len(text) + 1), [1] * (len(text) + 1)
-        starts, fits = self.starts, self.fits
+        starts, pairs = self.starts, self.pairs
         for end, (token, length) in self.automaton.iter(text):
             end += 1
             if last[end] < 0:
                 before = end - length
                 # -1: the start, or a character that is no piece
-                if starts[token] if before == 0 or last[before] < 0 else fits(last[before], token):
+                if starts[token] if before == 0 or last[before] < 0 else pairs[last[before] << 32 | token]:
                     last[end], size[end] = token, length
         ids, end = [], len(text)
         while end:
@@ -165,33 +158,40 @@ class SentencePieceTable:
             return out.decode("utf-8", "each_byte").encode()
 
 
-class _Segments(dict):
-    """Ids, as bytes, of the segment made of one space mark and the key."""
+class _Recent(dict):
+    """Values of ``make``: the last ``size`` keys, and those of the ``size`` before that are still asked for."""
 
-    def __init__(self, table: SentencePieceTable):
-        self.table, self.bare = table, {}
+    def __init__(self, size: int, make):
+        self.size, self.make, self.before = size, make, {}
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.table.segment(text), "<u4").tobytes()
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class _Segments(_Recent):
+    """Ids, as bytes, of the segment made of one space mark (after a line feed: ``bare``, none) and the key."""
+
+    def __init__(self, table: SentencePieceTable, mark: str = MARK):
+        super().__init__(SEGMENTS, self._ids)
+        self.table, self.mark = table, mark
+        self.bare = _Segments(table, "") if mark else self
+
+    def _ids(self, key: str) -> bytes:
+        return np.array(self.table.segment(self.mark + key.replace(" ", MARK)), "<u4").tobytes()
 
     def __missing__(self, key: str) -> bytes:
         if "\n" in key and "\n" not in self.table.id:
             head, *rest = key.split("\n")
             feed = np.array([self.table.byte_id[10]], "<u4").tobytes()
-            out = [self[head]]
-            for r in rest:
-                if r not in self.bare:
-                    if len(self.bare) >= SEGMENTS:
-                        self.bare.clear()
-                    self.bare[r] = self._ids(r.replace(" ", MARK))
-                out += [feed, self.bare[r]]
-            return b"".join(out)
-        ids = self._ids(MARK + key.replace(" ", MARK))
-        if len(key) <= KEPT_LENGTH:
-            if len(self) >= SEGMENTS:
-                self.clear()
-            self[key] = ids
-        return ids
+            return feed.join([self[head], *[self.bare[r] for r in rest]])
+        return super().__missing__(key) if len(key) <= KEPT_LENGTH else self._ids(key)
 
 
 _tables: dict[str, SentencePieceTable] = {}

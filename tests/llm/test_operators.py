@@ -44,6 +44,29 @@ def test_sentencepiece_equals_library(docs, empty):
         assert table.decode(np.array(ids, "<u4")).decode() == lib.decode(ids)
 
 
+def test_sentencepiece_memory(monkeypatch):
+    """What a worker remembers stays small however long lines are and however many words there are."""
+    import sentencepiece
+    from metroframe.llm import sentencepiece_codec as codec
+
+    def held(table):
+        return sum(len(k) + len(v) for s in {id(s): s for s in (table.segments, table.segments.bare)}.values() for k, v in s.items())
+
+    lib, r = sentencepiece.SentencePieceProcessor(model_file=PIECES), random.Random(7)
+    table = codec.SentencePieceTable(PIECES)
+    for _ in range(20):
+        text = "\n".join("".join(r.choice("abcdefgh") for _ in range(2000)) for _ in range(5))
+        assert table.encode(text).tolist() == lib.encode(text)
+    assert held(table) < 10_000
+    monkeypatch.setattr(codec, "SEGMENTS", 8)
+    monkeypatch.setattr(codec, "PAIRS", 8)
+    table = codec.SentencePieceTable(PIECES)
+    for _ in range(100):
+        text = "".join(r.choice(["the", " ", "\n", "é", "ing", "0", "ab"]) for _ in range(40))
+        assert table.encode(text).tolist() == lib.encode(text)
+        assert all(len(x) + len(x.before) <= 16 for x in (table.segments, table.segments.bare, table.pairs))
+
+
 def base_counts(text):
     w = WORD.findall(text or "")
     windows = defaultdict(list)

@@ -10,8 +10,8 @@ linear in the text however long a run without spaces is.
 
 No piece holds the space mark after another character, and a character that is
 no piece (it becomes its bytes) takes part in no merge, so a text is cut before
-each run of space marks and at line feeds; tables of segments met before are
-kept in a bounded memory per Python worker.
+each run of space marks and at line feeds; the ids of segments met twice and
+the pairs tested are kept in a bounded memory per Python worker.
 
 For models with identity normalisation, a dummy prefix and byte fallback; a
 model that encodes probe strings otherwise is refused.
@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-SEGMENTS = 1 << 16  # a worker remembers so many segments and pairs used last, and up to as many from before
-PAIRS = 1 << 16
+SEGMENTS = 1 << 17  # a worker remembers so many segments and pairs used last, and up to as many from before
+PAIRS = 1 << 18
+MARKS = 1 << 20  # bytes that tell which segments were met once: one is remembered when it comes again
 KEPT_LENGTH = 48  # longer segments are not remembered
-YIELD_BYTES = 8 << 20
+YIELD_BYTES = 2 << 20
 PROBES = ["", " ", "a", "  a  b ", "\n\nx\t y", "a▁b", "ﬁ é", "<s>a</s>", "　\U0001f600", "0123   45"]
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
@@ -133,7 +134,7 @@ class SentencePieceTable:
             return b""
         parts = text.replace(MARK, " ").split(" ")
         if "" not in parts:
-            return b"".join([self.segments[p] for p in parts])
+            return b"".join(map(self.segments.__getitem__, parts))
         out, marks = [], 0
         for p in parts:  # a run of spaces belongs to the word after it
             if p:
@@ -159,18 +160,28 @@ class SentencePieceTable:
 
 
 class _Recent(dict):
-    """Values of ``make``: the last ``size`` keys, and those of the ``size`` before that are still asked for."""
+    """Values of ``make``: the last ``size`` keys, and those of the ``size`` before that are still asked for.
 
-    def __init__(self, size: int, make):
+    With ``marks`` a key counts when it comes again, so that keys met once push none out.
+    """
+
+    def __init__(self, size: int, make, marks: int = 0):
         self.size, self.make, self.before = size, make, {}
+        self.marks = bytearray(marks)
 
     def __missing__(self, key):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
+            if self.marks:
+                at = hash(key) % len(self.marks)
+                if not self.marks[at]:
+                    self.marks[at] = 1
+                    return value
         if len(self) >= self.size:
             self.before = dict(self)
             self.clear()
+            self.marks = bytearray(len(self.marks))
         self[key] = value
         return value
 
@@ -179,7 +190,7 @@ class _Segments(_Recent):
     """Ids, as bytes, of the segment made of one space mark (after a line feed: ``bare``, none) and the key."""
 
     def __init__(self, table: SentencePieceTable, mark: str = MARK):
-        super().__init__(SEGMENTS, self._ids)
+        super().__init__(SEGMENTS if mark else (SEGMENTS + 1) // 2, self._ids, MARKS)
         self.table, self.mark = table, mark
         self.bare = _Segments(table, "") if mark else self
 

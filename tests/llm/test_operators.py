@@ -67,6 +67,22 @@ def test_sentencepiece_memory(monkeypatch):
         assert all(len(x) + len(x.before) <= 16 for x in (table.segments, table.segments.bare, table.pairs))
 
 
+def test_sentencepiece_keeps_what_comes_again(monkeypatch):
+    import sentencepiece
+    from metroframe.llm import sentencepiece_codec as codec
+
+    monkeypatch.setattr(codec, "SEGMENTS", 64)
+    table, lib, r = codec.SentencePieceTable(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES), random.Random(9)
+    made, segment = [], table.segment
+    table.segment = lambda text: made.append(text) or segment(text)
+    often = [f"often{k}" for k in range(40)]
+    for k in range(20):  # between two uses of a word come 300 that are met once
+        text = " ".join([*often, *(f"x{k}y{j}{r.choice('abc')}" for j in range(300)), "a\n" + "\n".join(often[:9])])
+        assert table.encode(text).tolist() == lib.encode(text)
+    assert sum(t.lstrip("▁").startswith("often") for t in made) <= 2 * (40 + 9)
+    assert all(len(x) + len(x.before) <= 128 for x in (table.segments, table.segments.bare))
+
+
 def base_counts(text):
     w = WORD.findall(text or "")
     windows = defaultdict(list)

@@ -242,5 +242,6 @@ def encode_decode(df: DataFrame, model_path: str, text_col: str = "text", ids_co
                         [*part.columns, pa.array(ids, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string())],
                         names=[f.name for f in schema.fields])
                     ids, texts, size, at = [], [], 0, n + 1
+        table.segments = _Segments(table)  # a worker lives on for other stages; the pairs are few and stay
 
     return rows.mapInArrow(run, schema)

@@ -64,3 +64,35 @@ def test_contains_join_keeps_all_repeats_and_broadcasts_no_rows(spark):
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, expected))
     plan = out._jdf.queryExecution().executedPlan().toString()  # the planner takes this little table for broadcastable
     assert "NestedLoop" not in plan and "BroadcastHashJoin [__text" not in plan and plan.count("ShuffledHashJoin") >= 2
+
+
+def test_contains_join_in_place_and_by_grams_agree_with_every_pair(spark):
+    import random
+
+    from metroframe.operators.joins import FEW_TERMS, REACH, contains_join
+
+    draw = random.Random(3)
+    some = lambda n: "".join(draw.choice("ab? \U0001f600\U0001f601é한\0.]\\^-&[\n") for _ in range(draw.randint(0, n)))
+    texts = [(k % 17, some(draw.choice([3, 40, 200]))) for k in range(60)] + [(1, None), (None, "ab"), (2, "\U0001f600b")]
+    texts += texts[:5]
+    listed = [(some(3), k) for k in range(30)] + [("", 1), (None, 2), ("?b", 3), ("?b", 4), ("\0a", 5)]
+    long = [t for _, t in texts if t and len(t) > 2 * REACH][:4]
+    listed += [(t[1:REACH + n], n) for t in long for n in (-9, 0, 1, 2, 9)] + listed[:4]
+    rows, terms = spark.createDataFrame(texts, "id int, s string"), spark.createDataFrame(listed, "t string, n int")
+    expected = sorted(str((i, s, t, n)) for i, s in texts for t, n in listed if s is not None and t and t in s)
+    for few in (FEW_TERMS, 0):
+        got = contains_join(rows, "s", terms, "t", few=few).collect()
+        assert sorted(str(tuple(r)) for r in got) == expected
+
+
+def test_contains_join_hashes_nothing_that_grows_with_the_rows(spark):
+    from metroframe.operators.joins import contains_join
+
+    rows = spark.createDataFrame([(k, f"a {k} b c d") for k in range(20)], "id int, s string")
+    terms = spark.createDataFrame([("a 1",), ("b c",), ("c d",)], "t string")
+    for how in ({}, {"few": 0}):
+        out = contains_join(rows, "s", terms, "t", **how).select("id", "t")
+        assert len(out.collect()) == 20 * 2 + 11
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # what the texts contain is met in a merge join, which spills; a hashed side has to fit in a task's memory
+        assert "HashJoin [__text" not in plan and "SortMergeJoin [__text" in plan

@@ -164,7 +164,7 @@ def contains_join(df: DataFrame, text_col: str, terms: DataFrame, term_col: str,
     task has to hold what its texts contain. Terms of up to ``REACH`` characters, if the list has at most ``few`` rows, are
     compared in place, at the anchors of a text: an exact answer without a shuffle of the text's grams. All others take the
     index by their rarest gram: a text meets only the terms whose rarest gram it has, its grams carry only the digest, and
-    ``contains`` decides. Which way the terms go is decided as the join runs, and a way without terms reads no text on.
+    ``contains`` decides. Which way the terms go is decided as the join runs; a way without terms drops the texts as it reads them.
     Texts are cut in time linear in their length, into shorter grams only where there are shorter terms, and a gram whose
     hash no key of the index has goes no further. Rows are never broadcast, whatever sizes the planner expects. Empty and
     null terms match nothing; repeated rows and repeated terms are all kept. Columns of the two sides must have different names.
